@@ -73,13 +73,13 @@ def sequence_file(spark, d):
     return read_sequence(spark, path, schema, sep="\t")
 
 
-@_R.add("SELECT l_shipdate, round(sum(l_extendedprice * l_discount), 2) AS revenue FROM lineitem WHERE l_quantity < 24 GROUP BY l_shipdate")
+@_R.add("SELECT l_shipdate, round(sum(l_extendedprice * l_discount), 4) AS revenue FROM lineitem WHERE l_quantity < 24 GROUP BY l_shipdate")
 def catalog_query(spark, d):
     view = f"lineitem_{uuid.uuid4().hex}"
     table(spark, d, "lineitem").createOrReplaceTempView(view)
     return read_query(
         spark,
-        f"SELECT l_shipdate, round(sum(l_extendedprice * l_discount), 2) AS revenue FROM {view} "
+        f"SELECT l_shipdate, round(sum(l_extendedprice * l_discount), 4) AS revenue FROM {view} "
         "WHERE l_quantity < 24 GROUP BY l_shipdate",
     )
 

@@ -143,7 +143,7 @@ def group_defaults(spark, d):
 
 
 @_R.add("""
-SELECT l_suppkey AS supplier, min(TRY_CAST(l_quantity AS BIGINT)) AS least, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+SELECT l_suppkey AS supplier, min(TRY_CAST(l_quantity AS BIGINT)) AS least, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
 FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1""")
 def job_group_with_ops(spark, d):
     spec = JobSpec(
@@ -155,4 +155,4 @@ def job_group_with_ops(spark, d):
             FieldMap("revenue", "revenue", "SUM"),
         ],
     )
-    return build(spark, spec).withColumn("revenue", F.round("revenue", 2))
+    return build(spark, spec).withColumn("revenue", F.round("revenue", 4))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalogue.common import Registry, table
 from millrace.operators.aggregate import summarize
 from millrace.operators.rowops import Filter, apply_ops, valid_rows
-from millrace.plans.ledger import Ledger, failed_latest, pending, process_files
+from millrace.plans.ledger import Ledger, current_rows, failed_latest, pending, process_files
 from millrace.plans.spec import parse_mapping
 from millrace.session import scratch_path
 from millrace.sinks.text import write_delimited
@@ -41,7 +41,7 @@ def ledger_run_twice(spark, d):
     _land(e, root, "second", "event_id % 2 = 1")
     process_files(spark, ledger, **job)
     process_files(spark, ledger, **job, mode="force")
-    return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value")
+    return current_rows(ledger, target, "events").select("event_id", "user_id", "event_type", "value")
 
 
 @_R.add("""

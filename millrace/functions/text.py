@@ -102,6 +102,16 @@ def iso_datetime(c: Column) -> Column:
     return F.replace(nonempty(F.regexp_extract(c, f"({shape})", 1)), F.lit("T"), F.lit(" "))
 
 
+def from_millis(c: Column, layout: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Milliseconds since 1970 as date text in the session time zone."""
+    return F.date_format(F.timestamp_millis(c.cast("bigint")), layout)
+
+
+def to_millis(c: Column, layout: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Date text as milliseconds since 1970; null when it does not fit the layout."""
+    return F.unix_millis(F.try_to_timestamp(c, F.lit(layout)))
+
+
 def bracketed(c: Column, opening: str, closing: str) -> Column:
     """Text between a leading and a trailing one-character mark, else null."""
     return F.when(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.functions.text import field
 from millrace.operators.rowops import REASON, VALID
+from millrace.session import spread
 
 
 def flat_map_rows(
@@ -52,7 +53,7 @@ def flat_map_rows(
             if close:
                 close()
 
-    rows = df.mapInPandas(work, marked)
+    rows = spread(df).mapInPandas(work, marked)
     return rows if keep_rejects else rows.drop(VALID, REASON)
 
 
@@ -67,7 +68,7 @@ def map_lines(
 
     lines = F.explode(F.split(hook(field(column)), "\n"))
     others = [field(c) for c in df.columns if c != column]
-    return df.select(lines.alias(column), *others)
+    return spread(df).select(lines.alias(column), *others)
 
 
 def prefix_with_file_name(df: DataFrame, length: int = 8, path_column: str = "_file_path") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from millrace.functions.text import field
 from millrace.operators.rowops import REASON, VALID, rejected_rows, valid_rows
+from millrace.session import open_writers
 
 
 @dataclass(frozen=True)
@@ -42,10 +43,11 @@ def observe_counts(marked: DataFrame, name: str) -> tuple[DataFrame, Observation
 def write_split(marked: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", **options) -> None:
     """Accepted and rejected rows to ``<path>/_valid=true`` and ``<path>/_valid=false``.
 
-    One write, so the input is computed once and nothing is cached.  Accepted
-    rows carry an empty reject reason.
+    One write, so the input is computed once and nothing is cached or sorted.
+    Accepted rows carry an empty reject reason.
     """
-    marked.write.format(fmt).options(**options).partitionBy(VALID).mode(mode).save(path)
+    with open_writers(marked.sparkSession, 2):
+        marked.write.format(fmt).options(**options).partitionBy(VALID).mode(mode).save(path)
 
 
 def read_split(spark, path: str, schema=None, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:

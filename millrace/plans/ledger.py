@@ -1,8 +1,10 @@
 """Ledger of processed files: skip what is done, rerun what failed.
 
 The ledger is an append-only table; a later row of a file supersedes an earlier
-one.  A run writes its data first and the ledger last, and the data of a file is
-replaced by file id, so a run that broke off can simply be repeated.
+one.  A run writes its rows to a folder of its own and the ledger last, which
+makes them current: readers take the rows of each file from its latest
+successful run.  A run that broke off leaves nothing visible, and a reprocessed
+file replaces its earlier rows without any folder being rewritten.
 """
 
 from __future__ import annotations
@@ -14,10 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.text import file_id
 from millrace.operators.latest import latest_per_key, within, without
-from millrace.operators.rowops import VALID, mark_valid
+from millrace.operators.rejects import write_split
+from millrace.operators.rowops import VALID, mark_valid, rejected_rows, valid_rows
 from millrace.plans.job import totals_by_file
 from millrace.session import collect_small, path_exists
-from millrace.sinks.tables import replace_file_rows
 from millrace.sources.files import MAX_LISTED_PATHS, manifest
 
 # Status of an attempt.
@@ -159,27 +161,43 @@ def process_files(
         return 0
     paths = [r[0] for r in listed]
     this_run = ledger.next_run()
-    marked = mark_valid(read(spark, paths)).withColumn("_plain", plain_path(F.col("_file_path")))
-    rows = marked.filter(F.col(VALID)).withColumn("file_id", file_id(source_id, F.col("_plain")))
-    base = chosen.select("source_id", "file_path", "file_id", "size", "modified")
-    stamp = {
-        "run_id": F.lit(this_run), "seq": F.lit(0), "job_id": F.lit(job_id),
-        "start_time": F.lit(run_time), "error_path": F.lit(None).cast("string"),
-    }
+    rows = mark_valid(read(spark, paths))
+    rows = rows.withColumn("file_id", file_id(source_id, plain_path(F.col("_file_path")))).drop("_file_path")
+    base = chosen.select("source_id", "file_path", "file_id", "size", "modified").withColumns(
+        {
+            "run_id": F.lit(this_run), "seq": F.lit(0), "job_id": F.lit(job_id),
+            "start_time": F.lit(run_time), "error_path": F.lit(None).cast("string"),
+        }
+    )
+    folder = f"{target.rstrip('/')}/run_id={this_run}"
     try:
-        replace_file_rows(rows.drop(VALID, "_reject_reason", "_plain", "_file_path"), target)
+        write_split(rows, folder, mode="overwrite")
     except Exception:
-        empty = F.lit(None).cast("bigint")
-        ledger.append(base.withColumns({**stamp, "status": F.lit(FAILED), "total": empty, "success": empty, "failed": empty}))
+        nothing = F.lit(None).cast("bigint")
+        ledger.append(
+            base.withColumns({"status": F.lit(FAILED), "total": nothing, "success": nothing, "failed": nothing})
+        )
         raise
-    totals = totals_by_file(marked, "_plain")
+    # counted on the rows just written: two narrow columns, not the source again
+    written = spark.read.schema(rows.schema).parquet(folder)
+    totals = totals_by_file(written, "file_id").withColumnRenamed("file_path", "file_id")
     zero = F.lit(0).cast("bigint")
-    done = base.join(totals, "file_path", "left").withColumns(
-        {
-            **stamp,
-            "status": F.lit(SUCCESS),
-            **{c: F.coalesce(F.col(c), zero) for c in ("total", "success", "failed")},
-        }
+    done = base.join(totals, "file_id", "left").withColumns(
+        {"status": F.lit(SUCCESS), **{c: F.coalesce(F.col(c), zero) for c in ("total", "success", "failed")}}
     )
     ledger.append(done)
     return len(paths)
+
+
+def current_rows(ledger: Ledger, target: str, job_id: str, rejected: bool = False) -> DataFrame:
+    """Accepted (or rejected) rows of every file's latest successful run.
+
+    The join reads only run folders the ledger names.
+    """
+    done = ledger.rows().filter((F.col("job_id") == job_id) & (F.col("status") == SUCCESS))
+    current = latest_attempts(done.select(*FILE_KEY, *ATTEMPT, "file_id"))
+    stored = ledger.spark.read.parquet(target).withColumns(
+        {"run_id": F.col("run_id").cast("bigint"), VALID: F.col(VALID).cast("boolean")}
+    )
+    rows = within(stored, current, ["run_id", "file_id"])
+    return rejected_rows(rows) if rejected else valid_rows(rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # A split write needs no local sort when both files may stay open.
-    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 
@@ -64,6 +63,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, count: int):
+    """Let a task keep ``count`` partition files open, so a partitioned write needs no sort."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(count, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def spread(df):
+    """Round-robin over all cores when the input is too small for Spark to split.
+
+    Meant before work that is heavy per row (Python hooks, XML).  Spark cuts
+    files into pieces of at least ``openCostInBytes``; only below one such piece
+    per core is a shuffle worth it, so large inputs are never moved.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    piece = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * piece else df
+
+
 def collect_small(df, limit: int, what: str) -> list:
     """Rows of a control table (bounds, parameters, file lists), never of data.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.slots import int_slot, segments, shard_of, string_slot
 from millrace.functions.text import field
 from millrace.operators.rowops import REASON, VALID, mark_valid
-from millrace.session import scratch_path
+from millrace.session import open_writers, scratch_path
 from millrace.sinks.jdbc import write_table
 from millrace.sources.jdbc import Database
 
@@ -86,7 +86,8 @@ def write_shard_files(
         shard = F.coalesce(F.try_element_at(F.create_map(*pairs), shard), shard.cast("string"))
     line = F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in file_values(df)])
     lines = keyed.select(line.alias("value"), shard.alias("_shard"))
-    lines.hint("rebalance", F.col("_shard")).write.mode(mode).partitionBy("_shard").text(path)
+    with open_writers(df.sparkSession, min(sharding.size, 32)):
+        lines.hint("rebalance", F.col("_shard")).write.mode(mode).partitionBy("_shard").text(path)
 
 
 def write_shard_tables(
@@ -104,7 +105,8 @@ def write_shard_tables(
     spark = df.sparkSession
     staged = scratch_path(spark, "shards") + "/rows"
     keyed = with_shard(df.filter(field(sharding.column).isNotNull()), sharding)
-    keyed.write.partitionBy("_shard").parquet(staged)
+    with open_writers(spark, min(sharding.size, 8)):
+        keyed.write.partitionBy("_shard").parquet(staged)
     rows = spark.read.schema(keyed.schema).parquet(staged)
     counts = {r["_shard"]: r["count"] for r in rows.groupBy("_shard").count().collect()}
     for i, db in enumerate(databases):

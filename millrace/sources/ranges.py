@@ -7,6 +7,7 @@ every row, also for rows outside the measured bounds and for null keys.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
@@ -112,13 +113,37 @@ def value_predicates(column: str, values: Sequence, dialect: str = "ansi") -> li
     ]
 
 
+def parameter_list(text: str) -> list[dict]:
+    """Literal parameters ``'a', 'b', 3``: one row of one parameter each."""
+    out = []
+    for item in text.split(","):
+        item = item.strip()
+        if len(item) > 1 and item[0] == item[-1] == "'":
+            item = item[1:-1]
+        out.append({"p": item})
+    return out
+
+
 def bind(template: str, row: Mapping, dialect: str = "ansi") -> str:
-    """``{NAME}`` macros, then ``?`` marks in column order, replaced by quoted literals."""
-    out = template
-    for name, value in row.items():
-        out = out.replace("{" + name + "}", sql_literal(value, dialect))
-    values = iter(row.values())
+    """Macros and ``?`` marks replaced by quoted literals.
+
+    Macros are ``{NAME}`` or ``{PARAM_MACROS[i]}`` by position; quotes a text
+    already has around a macro are taken into the literal.  ``?`` marks are
+    filled in column order.
+    """
+    values = dict(row)
+    values.update({f"PARAM_MACROS[{i}]": v for i, v in enumerate(row.values())})
+
+    def macro(m: re.Match) -> str:
+        name = m.group("name")
+        if name not in values:
+            return m.group(0)
+        value = values[name]
+        return sql_literal(str(value) if m.group("open") and value is not None else value, dialect)
+
+    out = re.sub(r"(?P<open>')?\{(?P<name>[^{}]+)\}(?(open)')", macro, template)
+    marks = iter(row.values())
     pieces = out.split("?")
     if len(pieces) - 1 > len(row):
         raise ValueError("more parameter marks than parameters")
-    return pieces[0] + "".join(sql_literal(next(values), dialect) + p for p in pieces[1:])
+    return pieces[0] + "".join(sql_literal(next(marks), dialect) + p for p in pieces[1:])
