@@ -71,5 +71,9 @@ def counters(documents: DataFrame, xml: str = "value") -> DataFrame:
 
 
 def read_measurements(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Measurement files, one document each (compressed ones by suffix)."""
-    return counters(spark.read.option("wholetext", "true").text(paths if isinstance(paths, str) else list(paths)))
+    """Measurement files, one document each (compressed ones by suffix).
+
+    A document is one row while it is parsed, so a file must stay well below
+    2 GiB; files are read in parallel.
+    """
+    return counters(spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True))

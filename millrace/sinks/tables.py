@@ -101,7 +101,7 @@ def ensure_table(spark: SparkSession, table: str, df: DataFrame, *, fmt: str = "
         place = f" LOCATION '{location}'" if location else ""
         spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{parts}{place}")
     elif truncate:
-        insert_into(spark.table(table).limit(0), table, overwrite=True)
+        insert_into(spark.createDataFrame([], spark.table(table).schema), table, overwrite=True)
 
 
 def write_rc_table(df: DataFrame, table: str, location: str | None = None) -> None:

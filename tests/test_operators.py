@@ -255,7 +255,7 @@ def test_null_row_key_is_skipped(spark):
 
 @pytest.mark.parametrize(
     "op, value, missing, expected",
-    [("LESS", "b", False, "acz"), ("LESS_OR_EQUAL", "b", False, "abcz"), ("EQUAL", "b", True, "b"), ("NOT_EQUAL", "b", True, "acd"[0:2] + "d"),
+    [("LESS", "b", False, "acz"), ("LESS_OR_EQUAL", "b", False, "abcz"), ("EQUAL", "b", True, "b"), ("NOT_EQUAL", "b", True, "acd"),
      ("GREATER", "b", True, "d"), ("GREATER_OR_EQUAL", "b", True, "bd"), ("NO_OP", "", True, "abcd"), ("NO_OP", "", False, "abcdz")],
 )
 def test_cell_filter(spark, op, value, missing, expected):
