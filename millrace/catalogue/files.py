@@ -89,8 +89,8 @@ def files_by_name(spark, d):
     # files matched by a pattern and files not matched are the whole folder
     path = scratch_path(spark, "names") + "/orders"
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    write_delimited(o.repartition(6, "o_orderkey"), path)
-    picked = dict(fields="o_orderkey bigint, o_orderpriority string", name_regex=r"part-0000[024]-.*")
+    write_delimited(o, path, max_rows_per_file=2000)
+    picked = dict(fields="o_orderkey bigint, o_orderpriority string", name_regex=r"part-.*-c\d*[02468]\.txt")
     inside = read_delimited(spark, path, **picked)
     outside = read_delimited(spark, path, **picked, name_regex_include=False)
     return inside.unionByName(outside)
@@ -100,7 +100,7 @@ def files_by_name(spark, d):
 def files_by_list(spark, d):
     path = scratch_path(spark, "names") + "/orders"
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    write_delimited(o.repartition(6, "o_orderkey"), path)
+    write_delimited(o, path, max_rows_per_file=2000)
     names = sorted(paths_from_query(spark, manifest(spark, path, r"part-.*").select("name")))
     fields = "o_orderkey bigint, o_orderpriority string"
     halves = [read_delimited(spark, path, fields, names=part) for part in (names[:2], names[2:])]

@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 from millrace.catalogue.common import Registry, table
 from millrace.operators.aggregate import summarize
 from millrace.operators.rowops import Filter
-from millrace.plans.job import build
+from millrace.plans.job import build, run
+from millrace.plans.properties import job_from_properties
 from millrace.plans.spec import FieldMap, JobSpec, parse_mapping
 from millrace.session import scratch_path
 from millrace.sinks.tables import write_partitioned
+from millrace.sinks.text import write_delimited
+from millrace.sources.text import read_delimited
 
 _R = Registry()
 QUERIES, SQL = _R.queries, _R.sql
@@ -156,3 +159,33 @@ def job_group_with_ops(spark, d):
         ],
     )
     return build(spark, spec).withColumn("revenue", F.round("revenue", 4))
+
+
+@_R.add("""
+SELECT o_orderstatus AS sid, count(*) AS rowcounts, min(o_totalprice) AS sprice, max(o_totalprice) AS mprice,
+       round(avg(o_totalprice), 4) AS avgprice, 'none' AS note
+FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1""")
+def job_from_flat_properties(spark, d):
+    root = scratch_path(spark, "flat")
+    write_delimited(table(spark, d, "orders"), root + "/in", sep="^")
+    spec = job_from_properties(
+        {
+            "input.sys.mr.mapred.type": "FILETEXT",
+            "mapreduce.input.fileinputformat.inputdir": root + "/in",
+            "input.mr.mapred.file.field.split.chars": r"\^",
+            "input.sys.mr.mapred.field.names": "key,customer,status,price,time,priority",
+            "input.sys.mr.mapred.map.senior.conf": "filter:{priority}:5.*",
+            "input.sys.mr.mapred.map.filter.flag": "false",
+            "output.sys.mr.mapred.type": "FILETEXT",
+            "mapreduce.output.fileoutputformat.outputdir": root + "/out",
+            "output.mr.mapred.file.field.split.chars": "|",
+            "output.sys.mr.mapred.field.names": "sid,sprice,mprice,avgprice,rowcounts,note",
+            "output.sys.mr.mapred.group.field.method.rel":
+                "sid:status:NONE,sprice:price:MIN,mprice:price:MAX,avgprice:price:AVG,rowcounts:key:COUNT",
+        }
+    )
+    run(spark, spec)
+    out = read_delimited(
+        spark, root + "/out", "sid string, sprice double, mprice double, avgprice double, rowcounts bigint, note string", "|"
+    )
+    return out.withColumns({"avgprice": F.round("avgprice", 4), "note": F.coalesce("note", F.lit("none"))})

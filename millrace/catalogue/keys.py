@@ -174,9 +174,10 @@ def split_timestamp_ranges(spark, d):
 SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS wrong, count(DISTINCT c_name) AS names FROM customer""")
 def split_text_ranges(spark, d):
     c = table(spark, d, "customer")
-    parts = _split_counts(c, range_predicates("c_name", "text", *_bounds(c, "c_name"), 8))
-    names = c.select("c_name").distinct().agg(F.count(F.lit(1)).alias("names"))
-    return parts.agg(F.sum("row_count").alias("row_count"), F.sum("wrong").alias("wrong")).join(names)
+    predicates = [F.expr(p) for p in range_predicates("c_name", "text", *_bounds(c, "c_name"), 8)]
+    hits = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(False)).cast("int") for p in predicates])
+    per_name = c.groupBy("c_name").agg(F.count(F.lit(1)).alias("n"), F.sum((hits != 1).cast("bigint")).alias("bad"))
+    return per_name.agg(F.sum("n").alias("row_count"), F.sum("bad").alias("wrong"), F.count(F.lit(1)).alias("names"))
 
 
 @_R.add("""

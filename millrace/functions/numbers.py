@@ -8,9 +8,21 @@ from pyspark.sql import Column, functions as F
 DECIMAL_LAYOUTS = ("0", "0.0", "0.00", "0.000000", "0.00000000", "#,##0", "#,##0.0", "#,##0.00")
 
 
+def number(c: Column) -> Column:
+    """Double in a text value, null when there is none.
+
+    Only ``NaN`` and ``Infinity`` in this spelling are numbers; Spark's cast
+    would also take words such as ``inf`` or ``nan``.
+    """
+    s = c.cast("string")
+    x = s.try_cast("double")
+    special = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    return F.when(special & ~F.trim(s).rlike(r"^[+-]?(NaN|Infinity|[0-9.].*)$"), F.lit(None)).otherwise(x)
+
+
 def lenient_double(c: Column, default: float = 0.0) -> Column:
     """Number in the value, or ``default`` when there is none."""
-    return F.coalesce(c.try_cast("double"), F.lit(float(default)))
+    return F.coalesce(number(c), F.lit(float(default)))
 
 
 def lenient_int(c: Column, default: int = 0) -> Column:

@@ -35,8 +35,8 @@ def parse_slice(text: str | int) -> tuple[int, int]:
 
 
 def int_slot(c: Column) -> Column:
-    """Low ten bits of the key; null keys use slot 0."""
-    return F.coalesce(c.cast("bigint").bitwiseAND(F.lit(SLOTS - 1)), F.lit(0)).cast("int")
+    """Low ten bits of the key; null keys and texts that are no whole number use slot 0."""
+    return F.coalesce(c.try_cast("bigint").bitwiseAND(F.lit(SLOTS - 1)), F.lit(0)).cast("int")
 
 
 def _slice_bounds(length: Column, start: int, end: int) -> tuple[Column, Column, int | None]:

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.functions.numbers import number
 from millrace.functions.text import field, nonempty
 from millrace.operators.project import apply_defaults, project
 from millrace.operators.rowops import apply_ops, valid_rows
@@ -20,7 +21,7 @@ METHODS = ("NONE", "SUM", "AVG", "MIN", "MAX", "COUNT")
 
 
 def _number(c: Column, dtype: T.DataType) -> Column:
-    return c.cast("double") if isinstance(dtype, T.NumericType) else c.try_cast("double")
+    return c.cast("double") if isinstance(dtype, T.NumericType) else number(c)
 
 
 def total(c: Column, dtype: T.DataType, nulls_as_zero: bool = True) -> Column:
@@ -42,13 +43,15 @@ def extreme(c: Column, dtype: T.DataType, largest: bool) -> Column:
     Typed columns use their own order.  For text the whole group decides: if
     every non-empty value is a number the order is numeric (equal numbers by
     their text) and the original text is returned, else the order is that of
-    the text.  Null and "" are ignored.
+    the text.  Null and "" are ignored.  Text needs sorted aggregation; where
+    the numbers themselves are enough, give the field a type (in the source
+    schema or as ``cast``) and it stays in hash aggregation.
     """
     best = F.max if largest else F.min
     if not isinstance(dtype, T.StringType):
         return best(c)
     s = nonempty(c)
-    x = s.try_cast("double")
+    x = number(s)
     as_number = best(F.when(x.isNotNull(), F.struct(x.alias("x"), s.alias("s"))))
     all_numeric = F.count(s) == F.count(x)
     return F.when(all_numeric, as_number["s"]).otherwise(best(s))

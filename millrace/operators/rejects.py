@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
@@ -40,6 +41,22 @@ def observe_counts(marked: DataFrame, name: str) -> tuple[DataFrame, Observation
     )
 
 
+def observed(seen: Observation, marked: DataFrame, patience: float = 5.0) -> RunCounts:
+    """Counts gathered by ``observe_counts``.
+
+    A sink that leaves the DataFrame API (a sequence file) reports nothing; the
+    rows are then counted by a query of their own.
+    """
+    until = time.monotonic() + patience
+    while not seen._jo.future().isCompleted():
+        if time.monotonic() > until:
+            total, valid, bad = count_rows(marked).first()
+            return RunCounts(total, valid, bad)
+        time.sleep(0.05)
+    counts = seen.get
+    return RunCounts(counts["input"], counts["valid"], counts["input"] - counts["valid"])
+
+
 def write_split(marked: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", **options) -> None:
     """Accepted and rejected rows to ``<path>/_valid=true`` and ``<path>/_valid=false``.
 

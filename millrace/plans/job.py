@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.operators.aggregate import summarize
 from millrace.operators.hooks import flat_map_rows
 from millrace.operators.project import apply_column_functions, project
-from millrace.operators.rejects import RunCounts, observe_counts, read_split, write_split
+from millrace.operators.rejects import RunCounts, observe_counts, observed, read_split, write_split
 from millrace.operators.rowops import REASON, VALID, apply_ops, mark_valid, rejected_rows, valid_rows
 from millrace.plans.spec import JobSpec, is_projection
 from millrace.session import scratch_path
@@ -80,8 +80,7 @@ def run(spark: SparkSession, spec: JobSpec, stage: bool = False) -> RunCounts:
         spec.sink(shape(marked, spec))
         if spec.reject_sink:
             spec.reject_sink(rejected_rows(marked_rows(spark, spec)))
-    counts = seen.get
-    return RunCounts(counts["input"], counts["valid"], counts["input"] - counts["valid"])
+    return observed(seen, marked_rows(spark, spec))
 
 
 def sample_rows(df: DataFrame, count: int = 10) -> DataFrame:

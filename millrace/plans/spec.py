@@ -95,7 +95,8 @@ class JobSpec:
         """Raise ``SpecError`` on the first problem; no data is read.
 
         ``columns`` are the columns the mapping may name: those of the source
-        after row operations.  ``input_fields`` is used when they are unknown.
+        after row operations.  When they are unknown, ``input_fields`` and the
+        columns that operations make are used, unless a row hook reshapes rows.
         """
         from millrace.operators.aggregate import METHODS
 
@@ -108,7 +109,10 @@ class JobSpec:
         for m in with_method:
             if m.method not in METHODS:
                 raise SpecError(f"method {m.method!r} is not supported")
-        known = columns if columns is not None else self.input_fields
+        pre, _ = self.parsed_ops()
+        known = columns
+        if known is None and self.input_fields and self.row_hook is None:
+            known = [*self.input_fields, *(op.dest for op in pre if hasattr(op, "dest"))]
         if known is not None:
             for m in mapping:
                 if m.src not in known:
@@ -131,5 +135,4 @@ class JobSpec:
             raise SpecError("a projection has no shuffle: use ops")
         if self.combine not in ("all", "last"):
             raise SpecError(f"unknown filter rule {self.combine!r}")
-        self.parsed_ops()
         return self

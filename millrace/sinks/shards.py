@@ -31,6 +31,10 @@ class Sharding:
     def size(self) -> int:
         return len(segments(list(self.counts), list(self.lengths)))
 
+    def has_key(self) -> Column:
+        c = field(self.column)
+        return (c.try_cast("bigint") if self.kind == "int" else c).isNotNull()
+
     def shard(self) -> Column:
         c = field(self.column)
         slot = int_slot(c) if self.kind == "int" else string_slot(c, self.hash_slice)
@@ -45,7 +49,7 @@ def with_shard(df: DataFrame, sharding: Sharding, name: str = "_shard") -> DataF
 def reject_null_keys(df: DataFrame, sharding: Sharding) -> DataFrame:
     """Rows without a key are rejected, in every kind of sharded write."""
     df = mark_valid(df)
-    has_key = field(sharding.column).isNotNull()
+    has_key = sharding.has_key()
     return df.withColumns(
         {VALID: field(VALID) & has_key, REASON: F.coalesce(field(REASON), F.when(~has_key, F.lit(NULL_KEY)))}
     )
@@ -79,7 +83,7 @@ def write_shard_files(
     mode: str = "errorifexists",
 ) -> None:
     """One folder per shard, ``<path>/_shard=<name>``; a large shard is spread over several files."""
-    keyed = with_shard(df.filter(field(sharding.column).isNotNull()), sharding)
+    keyed = with_shard(df.filter(sharding.has_key()), sharding)
     shard = F.col("_shard")
     if names:
         pairs = [x for k, v in names.items() for x in (F.lit(k), F.lit(v))]
@@ -104,7 +108,7 @@ def write_shard_tables(
         raise ValueError(f"{sharding.size} shards but {len(databases)} databases")
     spark = df.sparkSession
     staged = scratch_path(spark, "shards") + "/rows"
-    keyed = with_shard(df.filter(field(sharding.column).isNotNull()), sharding)
+    keyed = with_shard(df.filter(sharding.has_key()), sharding)
     with open_writers(spark, min(sharding.size, 8)):
         keyed.write.partitionBy("_shard").parquet(staged)
     rows = spark.read.schema(keyed.schema).parquet(staged)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.functions.text import full_match
 from millrace.session import collect_small
 
-MAX_LISTED_PATHS = 100_000
+MAX_LISTED_PATHS = 1_000_000
 
 
 def select_by_name(

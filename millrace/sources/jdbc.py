@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.session import collect_small
-from millrace.sources.ranges import bind, hash_predicates, range_predicates
+from millrace.sources.ranges import bind, hash_predicates, kind_of, range_predicates
 
 MAX_PARAMETER_ROWS = 10_000
 
@@ -56,16 +56,20 @@ def read_by_range(
     db: Database,
     table_or_query: str,
     column: str,
-    kind: str,
+    kind: str | None,
     partitions: int,
     bounds: tuple | None = None,
     where: str | None = None,
     dialect: str = "ansi",
 ) -> DataFrame:
-    """Ranges between min and max of the split column, found by one aggregate query."""
+    """Ranges between min and max of the split column, found by one aggregate query.
+
+    Without ``kind`` the type of the bounds decides.
+    """
     if bounds is None:
         source = read_table(spark, db, f"select min({column}) lo, max({column}) hi from {_relation(table_or_query)}")
         bounds = tuple(collect_small(source, 1, "bounds")[0])
+    kind = kind or kind_of(bounds[1])
     return read_table(
         spark, db, table_or_query, range_predicates(column, kind, *bounds, partitions, dialect), where
     )

@@ -16,6 +16,17 @@ _TEXT_CHARS = 8
 _BASE = 65536
 
 
+def kind_of(value) -> str:
+    """Range kind of a bound by its Python type."""
+    for kind, python in (
+        ("boolean", bool), ("integer", int), ("decimal", Decimal), ("float", float),
+        ("timestamp", dt.datetime), ("date", dt.date),
+    ):
+        if isinstance(value, python):
+            return kind
+    return "text"
+
+
 def sql_literal(value, dialect: str = "ansi") -> str:
     """A value as a quoted SQL literal."""
     if value is None:

@@ -85,13 +85,17 @@ def read_lines(
 ) -> DataFrame:
     """Lines as ``value`` (and ``_file_path``); compressed files are read by their suffix.
 
+    The default separator accepts ``\\n``, ``\\r\\n`` and ``\\r``; any other is taken literally.
+
     ``charset`` must keep the line separator's bytes apart from other text, as
     GBK and the ISO-8859 family do: files stay splittable because each line is
     decoded by itself.
     """
     if charset and charset.upper().replace("_", "-").startswith(("UTF-16", "UTF-32")):
         raise ValueError("UTF-16 and UTF-32 text cannot be split by bytes: use spark.read.csv(encoding=...)")
-    reader = spark.read.option("lineSep", line_sep)
+    reader = spark.read
+    if line_sep != "\n":
+        reader = reader.option("lineSep", line_sep)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if name_glob:

@@ -24,7 +24,9 @@ def stream_lines(
     provenance: bool = False,
 ) -> DataFrame:
     """New lines under a growing folder as a stream of ``value`` (and ``_file_path``)."""
-    reader = spark.readStream.option("lineSep", line_sep).option("recursiveFileLookup", "true")
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if line_sep != "\n":
+        reader = reader.option("lineSep", line_sep)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     df = reader.text(root)

@@ -169,3 +169,10 @@ def test_slots_and_segments(spark):
 def test_whole_key_slot_uses_utf16_units(spark):
     key = "a\U0001F600b"
     assert one(spark, slots.string_slot(F.col("k"), ":"), k=key) == hash_slot(key, 0, 0)
+
+
+def test_words_that_are_no_numbers(spark):
+    run = lambda v: one(spark, numbers.number(F.col("v")), v=v)
+    assert [run(v) for v in ("inf", "nan", "infinity", "-INF", "x", "")] == [None] * 6
+    assert run("Infinity") == float("inf") and run("1e999") == float("inf") and run(" 1.5 ") == 1.5
+    assert run("NaN") != run("NaN")
