@@ -8,13 +8,14 @@ from pyspark.sql import Column, functions as F, types as T
 
 _FIELD = re.compile(r"\{(.*?)\}")
 
-# The four date layouts a template may name, each with the shape
-# of the text prefix that is read and the pattern that reads it.
+# The four date layouts a template may name, each with the shape of
+# the text prefix that is read and what completes it to seconds.
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
 DATE_LAYOUTS = {
-    "yyyy-MM-dd": (r"^(\d{1,4}-\d{1,2}-\d{1,2})", "y-M-d"),
-    "yyyy-MM-dd HH": (r"^(\d{1,4}-\d{1,2}-\d{1,2} \d{1,2})", "y-M-d H"),
-    "yyyy-MM-dd HH:mm": (r"^(\d{1,4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2})", "y-M-d H:m"),
-    "yyyy-MM-dd HH:mm:ss": (r"^(\d{1,4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})", "y-M-d H:m:s"),
+    "yyyy-MM-dd": (rf"^({_DAY})", " 0:0:0"),
+    "yyyy-MM-dd HH": (rf"^({_DAY} \d{{1,2}})", ":0:0"),
+    "yyyy-MM-dd HH:mm": (rf"^({_DAY} \d{{1,2}}:\d{{1,2}})", ":0"),
+    "yyyy-MM-dd HH:mm:ss": (rf"^({_DAY} \d{{1,2}}:\d{{1,2}}:\d{{1,2}})", ""),
 }
 
 
@@ -50,9 +51,10 @@ def reformat_date(c: Column, layout: str, dtype: T.DataType) -> Column:
         return F.when(c.isNotNull(), F.lit(""))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.date_format(c, layout)
-    shape, reader = DATE_LAYOUTS[layout]
+    shape, rest = DATE_LAYOUTS[layout]
     head = nonempty(F.regexp_extract(F.trim(c.cast("string")), shape, 1))
-    parsed = F.try_to_timestamp(head, F.lit(reader))
+    # without time zone: no hour is skipped or doubled by a clock change
+    parsed = F.concat(head, F.lit(rest)).try_cast("timestamp_ntz")
     return F.when(c.isNotNull(), F.coalesce(F.date_format(parsed, layout), F.lit("")))
 
 
@@ -93,7 +95,8 @@ def expand_timestamp(c: Column) -> Column:
     name month or day 00 and give null; they are not rolled back.
     """
     digits = F.when(c.rlike(r"\A[0-9]{1,14}\z"), F.rpad(c, 14, "0"))
-    return F.date_format(F.try_to_timestamp(digits, F.lit("yyyyMMddHHmmss")), "yyyy-MM-dd HH:mm:ss")
+    text = F.regexp_replace(digits, r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")
+    return F.when(text.try_cast("timestamp_ntz").isNotNull(), text)
 
 
 def iso_datetime(c: Column) -> Column:

@@ -54,10 +54,9 @@ def unpack(value: Column, fields: Sequence[str], sep: str = ",") -> list[Column]
     if len(fields) == 1:
         return [value.alias(fields[0])]
     parts = F.split(value, re.escape(sep), len(fields))
-    return [
-        F.when(value.isNotNull(), F.coalesce(F.get(parts, F.lit(i)), F.lit(""))).alias(f)
-        for i, f in enumerate(fields)
-    ]
+    # the split stands outside any condition, so that it is evaluated once for all fields
+    missing = F.when(value.isNotNull(), F.lit(""))
+    return [F.coalesce(F.get(parts, F.lit(i)), missing).alias(f) for i, f in enumerate(fields)]
 
 
 def to_cells(df: DataFrame, key: Column, layout: Sequence[CellColumn], ts: Column, sep: str = ",") -> DataFrame:

@@ -141,13 +141,17 @@ def parse_fields(
     value = F.col("value")
     cut = F.regexp_replace(value, rf"(?:{pattern})+\z", "")
     body = cut if regex else F.when(value.endswith(sep), cut).otherwise(value)
-    parts = F.split(F.nullif(body, F.lit("")), pattern, -1)
+    others = [F.col(c) for c in lines.columns if c != "value"]
+    # the line is cut and split once, in a projection of its own, for all fields
+    cut_lines = lines.filter(value.rlike(r"[^\x00-\x20]")).select(body.alias("_line"), *others)
+    split_lines = cut_lines.select(
+        F.when(F.col("_line") != "", F.split(F.col("_line"), pattern, -1)).alias("_parts"), *others
+    )
     out = []
     for i, (name, dtype) in enumerate(types):
-        c = F.get(parts, F.lit(i))
+        c = F.get(F.col("_parts"), F.lit(i))
         out.append((c if isinstance(dtype, T.StringType) else c.try_cast(dtype)).alias(name))
-    others = [F.col(c) for c in lines.columns if c != "value"]
-    return lines.filter(value.rlike(r"[^\x00-\x20]")).select(*out, *others)
+    return split_lines.select(*out, *others)
 
 
 def read_delimited(
