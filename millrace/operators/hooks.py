@@ -9,12 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.functions.text import field
 from millrace.operators.rowops import REASON, VALID
 from millrace.session import spread
 
+_BATCH = 10_000
+
 
 def flat_map_rows(
     df: DataFrame,
@@ -29,31 +33,37 @@ def flat_map_rows(
 
     With ``keep_rejects`` a rejected row is passed on once, marked
     ``_valid = false``, with the columns it shares with ``schema``; otherwise it
-    disappears.  ``configure`` and ``close`` frame each task.
+    disappears.  ``configure`` and ``close`` frame each task.  Rows are plain
+    Python values: whole numbers stay whole also where a column has nulls.
     """
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     names = target.fieldNames()
     marked = T.StructType(
         [*target.fields, T.StructField(VALID, T.BooleanType()), T.StructField(REASON, T.StringType())]
     )
+    arrow = to_arrow_schema(marked)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if configure:
             configure()
         try:
             for batch in batches:
                 out = []
-                for row in batch.astype(object).where(batch.notna(), None).to_dict("records"):
+                for row in batch.to_pylist():
                     made = list(recode(dict(row)))
                     out += [{**{n: r.get(n) for n in names}, VALID: True, REASON: None} for r in made]
                     if not made and keep_rejects:
                         out.append({**{n: row.get(n) for n in names}, VALID: False, REASON: "hook gave no row"})
-                yield pd.DataFrame(out, columns=marked.fieldNames(), dtype=object)
+                    if len(out) >= _BATCH:
+                        yield pa.RecordBatch.from_pylist(out, schema=arrow)
+                        out = []
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=arrow)
         finally:
             if close:
                 close()
 
-    rows = spread(df).mapInPandas(work, marked)
+    rows = spread(df).mapInArrow(work, marked)
     return rows if keep_rejects else rows.drop(VALID, REASON)
 
 

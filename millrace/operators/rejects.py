@@ -14,11 +14,16 @@ from millrace.session import open_writers
 
 @dataclass(frozen=True)
 class RunCounts:
-    """Run totals; without aggregation ``input == output + filtered``."""
+    """Run totals of the source side, and the rows given to the sink.
+
+    ``input == output + filtered``; a projection stores ``output`` rows, a
+    group-by one row per group.  ``stored`` is None where the sink reports nothing.
+    """
 
     input: int
     output: int
     filtered: int
+    stored: int | None = None
 
 
 def count_rows(marked: DataFrame) -> DataFrame:
@@ -41,20 +46,30 @@ def observe_counts(marked: DataFrame, name: str) -> tuple[DataFrame, Observation
     )
 
 
-def observed(seen: Observation, marked: DataFrame, patience: float = 5.0) -> RunCounts:
-    """Counts gathered by ``observe_counts``.
+def _reported(seen: Observation, patience: float) -> dict | None:
+    """Metrics of an observation; they arrive shortly after the action, or never."""
+    until = time.monotonic() + patience
+    while not seen._jo.future().isCompleted():
+        if time.monotonic() > until:
+            return None
+        time.sleep(0.02)
+    return seen.get
+
+
+def observed(seen: Observation, marked: DataFrame, stored: Observation | None = None, patience: float = 5.0) -> RunCounts:
+    """Counts gathered by ``observe_counts`` (and of the stored rows).
 
     A sink that leaves the DataFrame API (a sequence file) reports nothing; the
     rows are then counted by a query of their own.
     """
-    until = time.monotonic() + patience
-    while not seen._jo.future().isCompleted():
-        if time.monotonic() > until:
-            total, valid, bad = count_rows(marked).first()
-            return RunCounts(total, valid, bad)
-        time.sleep(0.05)
-    counts = seen.get
-    return RunCounts(counts["input"], counts["valid"], counts["input"] - counts["valid"])
+    counts = _reported(seen, patience)
+    if counts is None:
+        total, valid, bad = count_rows(marked).first()
+        return RunCounts(total, valid, bad)
+    given = _reported(stored, patience) if stored is not None else None
+    return RunCounts(
+        counts["input"], counts["valid"], counts["input"] - counts["valid"], given["stored"] if given else None
+    )
 
 
 def write_split(marked: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", **options) -> None:

@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from millrace.operators.aggregate import summarize
 from millrace.operators.hooks import flat_map_rows
 from millrace.operators.project import apply_column_functions, project
 from millrace.operators.rejects import RunCounts, observe_counts, observed, read_split, write_split
 from millrace.operators.rowops import REASON, VALID, apply_ops, mark_valid, rejected_rows, valid_rows
-from millrace.plans.spec import JobSpec, is_projection
+from millrace.plans.spec import JobSpec, SpecError, is_projection
 from millrace.session import scratch_path
 from millrace.sources.archives import read_archive_lines
 from millrace.sources.text import parse_fields
@@ -65,22 +65,30 @@ def run(spark: SparkSession, spec: JobSpec, stage: bool = False) -> RunCounts:
     makes rows expensive or not repeatable: then ``stage`` writes the marked
     rows once to the shared scratch folder and both sinks read that.
     """
+    if not spec.validate_only and spec.sink is None:
+        raise SpecError("the job has no sink")
     marked, seen = observe_counts(marked_rows(spark, spec.validate()), f"rows-{uuid.uuid4().hex}")
+    stored = None
+
+    def deliver(result: DataFrame) -> None:
+        nonlocal stored
+        stored = Observation(f"stored-{uuid.uuid4().hex}")
+        spec.sink(result.observe(stored, F.count(F.lit(1)).alias("stored")))
+
     if spec.validate_only:
         marked.write.format("noop").mode("overwrite").save()
     elif stage:
         path = scratch_path(spark, "marked") + "/rows"
         write_split(marked, path)
-        schema = marked.schema
-        accepted, rejected = read_split(spark, path, schema)
-        spec.sink(shape(mark_valid(accepted), spec))
+        accepted, rejected = read_split(spark, path, marked.schema)
+        deliver(shape(mark_valid(accepted), spec))
         if spec.reject_sink:
             spec.reject_sink(rejected)
     else:
-        spec.sink(shape(marked, spec))
+        deliver(shape(marked, spec))
         if spec.reject_sink:
             spec.reject_sink(rejected_rows(marked_rows(spark, spec)))
-    return observed(seen, marked_rows(spark, spec))
+    return observed(seen, marked_rows(spark, spec), stored)
 
 
 def sample_rows(df: DataFrame, count: int = 10) -> DataFrame:

@@ -54,7 +54,8 @@ class JobSpec:
 
     ``source`` is a DataFrame or a callable taking the session; ``sink`` a
     callable taking the result.  Output fields are the targets of ``mapping``
-    unless ``output_fields`` lists them.
+    unless ``output_fields`` lists them; ``partition_by`` names those the sink
+    partitions by.  ``finalize`` and ``column_functions`` act just before the sink.
     """
 
     source: Any

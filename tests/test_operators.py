@@ -306,6 +306,13 @@ def test_row_hook(spark):
     assert tuple(count_rows(marked).first()) == (4, 2, 2)
 
 
+def test_hook_rows_keep_exact_values(spark):
+    df = spark.sql("SELECT * FROM VALUES (9007199254740993L, 1.10BD, timestamp_ntz'2020-01-01 00:00:00', array(1, 2)), (null, null, null, null) t(n, d, t, a)")
+    out = hooks.flat_map_rows(df, lambda r: [r, r], df.schema)
+    assert rows(out.distinct()) == rows(df) and out.count() == 4
+    assert hooks.flat_map_rows(df, lambda r: [], df.schema).count() == 0
+
+
 def test_hook_life_cycle(spark, scratch):
     import os
 

@@ -75,11 +75,16 @@ def test_run_counts_and_rejects(spark, scratch, stage):
         source=df, ops=[Filter("{s}", "[0-9]")], mapping="v:s",
         sink=lambda d: d.write.parquet(scratch + "/ok"), reject_sink=lambda d: d.write.parquet(scratch + "/bad"))
     counts = run(spark, spec, stage=stage)
-    assert (counts.input, counts.output, counts.filtered) == (100, 10, 90)
+    assert (counts.input, counts.output, counts.filtered, counts.stored) == (100, 10, 90, 10)
     assert spark.read.parquet(scratch + "/ok").columns == ["v"]
     assert (spark.read.parquet(scratch + "/ok").count(), spark.read.parquet(scratch + "/bad").count()) == (10, 90)
 
 
+def test_a_job_without_sink_is_refused(spark):
+    with pytest.raises(SpecError):
+        run(spark, JobSpec(source=spark.range(1), mapping="v:id"))
+
+
 def test_validate_only_run(spark):
     def sink(_):
         raise AssertionError("nothing may be stored")
@@ -99,7 +104,7 @@ def test_grouped_run_with_hook_and_text_source(spark, scratch):
         mapping="type:type:NONE,total:price:SUM,n:id:COUNT",
         sink=lambda d: d.write.parquet(scratch + "/o"))
     counts = run(spark, spec)
-    assert (counts.input, counts.filtered) == (4, 1)
+    assert (counts.input, counts.filtered, counts.stored) == (4, 1, 2)
     assert sorted(tuple(r) for r in spark.read.parquet(scratch + "/o").collect()) == [("a", 2.5, 2), ("b", 0.0, 1)]
 
 
