@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -78,6 +79,12 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, str] | None) -> DataFra
     )
 
 
+def split_column_function(name: str) -> tuple[str, str | None]:
+    """``amount_method(abs)method`` -> (amount, abs); any other name unchanged."""
+    m = re.fullmatch(r"(.+)_method\((.+)\)method", name)
+    return (m.group(1), m.group(2)) if m else (name, None)
+
+
 def apply_column_functions(df: DataFrame, functions: Mapping[str, str]) -> DataFrame:
     """Named function per column just before a write, from a fixed list of names."""
     unknown = set(functions.values()) - set(COLUMN_FUNCTIONS)

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import field
 from millrace.operators import cells
+from millrace.operators.project import split_column_function
 from millrace.plans.macros import substitute
-from millrace.plans.spec import JobSpec, SpecError, parse_defaults
+from millrace.plans.spec import JobSpec, SpecError, parse_defaults, parse_mapping
 from millrace.sinks.cells import put, write_bulk
 from millrace.sinks.jdbc import write_table
 from millrace.sinks.tables import insert_into
@@ -77,6 +79,9 @@ CELLS = {
     "stop": "mr.maperd.hbase.table.query.stoprow",
     "filter": "mr.maperd.hbase.table.query.filter",
     "families": "mr.maperd.hbase.table.query.familys",
+    "columns": "mr.maperd.hbase.table.query.familycolumns",
+    "times": "mr.maperd.hbase.table.query.timerange",
+    "time": "mr.maperd.hbase.table.query.timestamp",
     "key": "mr.maperd.hbase.table.rowkeyrule",
     "unique": "mr.maperd.hbase.use.onlyrowkey",
 }
@@ -128,11 +133,16 @@ def job_from_properties(
     if (p.get(MAP_PLUGIN) or p.get(REDUCE_PLUGIN)) and row_hook is None:
         raise SpecError("the job names a plugin: pass its Python form as row_hook")
     rejects = p.get(REJECT_PATH)
+    named = [split_column_function(n.lower()) for n in p.names(OUTPUT_FIELDS)]
+    mapping = [
+        replace(m, dest=split_column_function(m.dest)[0]) for m in parse_mapping(p.need(MAPPING))
+    ]
     spec = JobSpec(
         source=source if source is not None else _source(p, partitions),
-        mapping=p.need(MAPPING),
+        mapping=mapping,
         input_fields=p.names(INPUT_FIELDS),
-        output_fields=[n.lower() for n in p.names(OUTPUT_FIELDS)],
+        output_fields=[n for n, _ in named],
+        column_functions={n: f for n, f in named if f},
         row_hook=row_hook,
         ops=p.get(MAP_OPS, ""),
         post_shuffle_ops=p.get(REDUCE_OPS, ""),
@@ -186,9 +196,21 @@ def _positional(df: DataFrame, fields: list[str]) -> DataFrame:
 
 def _cell_rows(spark: SparkSession, p: _Reader) -> DataFrame:
     get = lambda name: p.get("input." + CELLS[name])
-    families = [f.strip() for f in (get("families") or "").split(",") if f.strip()]
+    listed = lambda name: [x.strip() for x in (get(name) or "").split(",") if x.strip()]
+    table = spark.table(p.need("input." + CELLS["table"]))
+    timed = isinstance(table.schema["ts"].dataType, (T.TimestampType, T.TimestampNTZType))
+    at = lambda millis: F.timestamp_millis(F.lit(int(millis))) if timed else int(millis)
+    times = listed("times")
+    bounds = dict(zip(("min_ts", "max_ts"), map(at, times))) if len(times) == 2 else {}
+    if get("time") not in (None, "-1"):
+        bounds["at_ts"] = at(get("time"))
     table = cells.scan(
-        spark.table(p.need("input." + CELLS["table"])), start_row=get("start"), stop_row=get("stop"), families=families
+        table,
+        start_row=get("start"),
+        stop_row=get("stop"),
+        families=listed("families"),
+        columns=[tuple(c.split(":", 1)) for c in listed("columns")],
+        **bounds,
     )
     filters = cells.parse_filters(get("filter")) if get("filter") else ()
     return cells.read_rows(table, cells.parse_layout(p.need("input." + CELLS["layout"])), get("sep") or ",", filters)
@@ -214,7 +236,7 @@ def _database_rows(spark: SparkSession, p: _Reader, partitions: int) -> DataFram
 
 def _sink(p: _Reader, run_time: dt.datetime | None) -> Callable[[DataFrame], None]:
     kind = p.need(OUTPUT_TYPE).split(",")[-1].strip()
-    order = [n.lower() for n in p.names(OUTPUT_FIELDS)]
+    order = [split_column_function(n.lower())[0] for n in p.names(OUTPUT_FIELDS)]
     sep, row_sep = p.get(OUT_FIELD_SEP, ","), p.get(OUT_ROW_SEP, "\n")
     codec = p.get(OUT_CODEC, "gzip") if p.flag(OUT_COMPRESS, False) else None
     if kind == TEXT:

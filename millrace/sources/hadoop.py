@@ -16,7 +16,8 @@ _INT = "org.apache.hadoop.io.IntWritable"
 def read_sequence_lines(spark: SparkSession, path: str, key_class: str = _INT) -> DataFrame:
     """Values of a sequence file as ``value``; Spark has no DataFrame source for the format."""
     pairs = spark.sparkContext.sequenceFile(path, key_class, _TEXT)
-    return spark.createDataFrame(pairs.map(lambda kv: (kv[1],)), T.StructType([T.StructField("value", T.StringType())]))
+    lines = T.StructType([T.StructField("value", T.StringType())])
+    return spark.createDataFrame(pairs.map(lambda kv: (kv[1],)), lines, verifySchema=False)
 
 
 def read_sequence(

@@ -284,6 +284,23 @@ def test_shard_counts_sum_to_the_input(spark):
     assert counts.agg(F.sum("row_count")).first()[0] == 5000
 
 
+def test_each_shard_goes_to_its_own_database(spark, scratch, monkeypatch):
+    """The write itself is replaced by a file write: no database is started."""
+    from millrace.sinks import shards
+    from millrace.sources.jdbc import Database
+
+    monkeypatch.setattr(shards, "write_table", lambda df, db, table: df.write.parquet(f"{scratch}/{db.url}/{table}"))
+    df = spark.range(3000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    counts = shards.write_shard_tables(df, Sharding("k", "int", [2], [512]), [Database("a"), Database("b")], "t")
+    assert sum(counts.values()) == 2700
+    for i, name in enumerate("ab"):
+        back = spark.read.parquet(f"{scratch}/{name}/t")
+        assert back.columns == ["k", "v"] and back.count() == counts[i]
+        assert back.filter((F.col("k").bitwiseAND(F.lit(1023)) >= 512) != F.lit(bool(i))).count() == 0
+    with pytest.raises(ValueError):
+        shards.write_shard_tables(df, Sharding("k", "int", [2], [512]), [Database("a")], "t")
+
+
 def test_file_values(spark):
     row = spark.sql("SELECT 1.25D a, 2D b, 0.1234567D c, timestamp_ntz'2020-01-02 03:04:05' t, 7 n")
     assert tuple(row.select(*file_values(row)).first()) == ("1.25", "2.0", ".123457", "2020-01-02 03:04:05", "7")

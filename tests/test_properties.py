@@ -92,6 +92,30 @@ def test_cell_types(spark, landed):
     assert sorted(tuple(r) for r in build(spark, p.job_from_properties(scan)).collect()) == [("1000", "2.5"), ("1001", "x")]
 
 
+def test_cell_time_range_and_columns(spark, landed):
+    frame = spark.createDataFrame(
+        [(f"r{i}", f, q, i * 1000, "v") for i in range(4) for f, q in (("f", "a"), ("f", "b"), ("g", "c"))],
+        "row_key string, family string, qualifier string, ms bigint, value string",
+    ).select("row_key", "family", "qualifier", F.timestamp_millis("ms").alias("ts"), "value")
+    view = "timed_" + os.path.basename(landed).replace("-", "_")
+    frame.createOrReplaceTempView(view)
+    scan = base(landed, **{
+        p.INPUT_TYPE: "HBASE", "input." + p.CELLS["table"]: view, "input." + p.CELLS["layout"]: "[f:a:[a]]-[f:b:[b]]-[g:c:[c]]",
+        "input." + p.CELLS["times"]: "1000,3000", "input." + p.CELLS["columns"]: "f:a,g:c",
+        p.INPUT_FIELDS: "row_key,a,b,c", p.OUTPUT_FIELDS: "k,a,b,c", p.MAPPING: "k:row_key,a:a,b:b,c:c"})
+    assert sorted(tuple(r) for r in build(spark, p.job_from_properties(scan)).collect()) == [("r1", "v", None, "v"), ("r2", "v", None, "v")]
+    one = {**scan, "input." + p.CELLS["times"]: "", "input." + p.CELLS["time"]: "3000"}
+    assert [r[0] for r in build(spark, p.job_from_properties(one)).collect()] == ["r3"]
+
+
+def test_column_functions_in_field_names(spark, landed):
+    props = base(landed, **{p.SKIP_LINES: "1", p.OUTPUT_FIELDS: "sid,msg_method(upper)method", p.MAPPING: "sid:id,msg_method(upper)method:message"})
+    out = build(spark, p.job_from_properties(props))
+    assert out.columns == ["sid", "msg"] and "HI" in [r["msg"] for r in out.collect()]
+    with pytest.raises(SpecError):
+        build(spark, p.job_from_properties({**props, p.OUTPUT_FIELDS: "sid,msg_method(drop)method", p.MAPPING: "sid:id,msg_method(drop)method:message"}))
+
+
 @pytest.mark.parametrize(
     "change",
     [
