@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.functions.text import field
 
@@ -12,15 +12,18 @@ from millrace.functions.text import field
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` columns of every key.
 
-    Written as an aggregate and not as a ranking window: each task keeps one
-    candidate per key before the shuffle, so a hot key is one row per task and
-    is never sorted as one group.  Equal ``order`` values are decided by the
-    remaining columns.
+    Equal ``order`` values are decided by the remaining columns.  Asking for
+    rank 1 only lets Spark keep one candidate per key and task before the
+    shuffle (a window group limit), so a hot key arrives as one row per task
+    and is never sorted as one group.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    best = F.max(F.struct(*[field(c) for c in [*order, *rest]])).alias("_best")
-    picked = df.groupBy(*[field(k) for k in keys]).agg(best)
-    return picked.select(*[field(c) if c in keys else F.col("_best")[c].alias(c) for c in df.columns])
+    unordered = (T.MapType, T.VariantType)
+    rest = [
+        f.name for f in df.schema.fields
+        if f.name not in keys and f.name not in order and not isinstance(f.dataType, unordered)
+    ]
+    ranked = Window.partitionBy(*[field(k) for k in keys]).orderBy(*[field(c).desc() for c in [*order, *rest]])
+    return df.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def without(df: DataFrame, seen: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:

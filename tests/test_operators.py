@@ -202,7 +202,15 @@ def test_latest_per_key_with_hot_key(spark):
     assert out.columns == ["k", "t", "x"]
     assert out.count() == 2001
     assert tuple(out.filter("k = 0").first()) == (0, 2997, "2997")
-    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_latest_per_key_ties_and_nulls(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", None, "z"), ("b", None, "q"), (None, 3, "n"), (None, 2, "m")], "k string, t int, v string")
+    assert rows(latest_per_key(df, ["k"], ["t"])) == sorted([("a", 1, "y"), ("b", None, "q"), (None, 3, "n")], key=repr)
+    tagged = df.withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    assert latest_per_key(tagged, ["k"], ["t"]).count() == 3
 
 
 def test_key_selection_with_nulls(spark):
