@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.functions.text import field
+from millrace.session import collect_small, scratch_path
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -53,7 +55,40 @@ def _select(df: DataFrame, seen: DataFrame, keys: Sequence[str], how: str, null_
     return df.join(renamed, cond, how)
 
 
-def row_window(df: DataFrame, order: Sequence[str | Column], limit: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset .. offset + limit`` of a total order (a page, not a way to split a table)."""
-    page = df.orderBy(*order)
-    return (page.offset(offset) if offset else page).limit(limit)
+_PAGE_ROWS = 1_000_000
+
+
+def row_window(
+    df: DataFrame, order: Sequence[str | Column], limit: int, offset: int = 0, page_rows: int = _PAGE_ROWS
+) -> DataFrame:
+    """Rows ``offset .. offset + limit`` of a total order (a page, not a way to split a table).
+
+    Up to ``page_rows`` rows deep this is Spark's top-k.  Deeper pages would
+    bring all rows before them to one task; there the table is sorted by ranges
+    into the shared scratch folder, each row gets its number within its range,
+    and the numbers of the ranges are added up, so only the page itself is read.
+    """
+    if offset + limit <= page_rows:
+        page = df.orderBy(*order)
+        return (page.offset(offset) if offset else page).limit(limit)
+    spark = df.sparkSession
+    path = scratch_path(spark, "page") + "/rows"
+    within_range = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    (
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumns({"_range": F.spark_partition_id(), "_at": within_range})
+        .write.parquet(path)
+    )
+    stored = spark.read.parquet(path)
+    counts = collect_small(stored.groupBy("_range").agg(F.count(F.lit(1)).alias("n")), 1_000_000, "ranges")
+    start, wanted = 0, []
+    for number, n in sorted(tuple(r) for r in counts):
+        low, high = max(offset - start, 0), min(offset + limit - start, n)
+        if low < high:
+            wanted.append((F.col("_range") == number) & (F.col("_at") >= low) & (F.col("_at") < high))
+        start += n
+    if not wanted:
+        return stored.limit(0).drop("_range", "_at")
+    page = stored.filter(reduce(lambda a, b: a | b, wanted))
+    return page.orderBy("_range", "_at").drop("_range", "_at")

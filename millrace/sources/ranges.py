@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 KINDS = ("integer", "decimal", "float", "boolean", "date", "timestamp", "text")
+# Dialects in which a backslash inside quotes is an escape.
+BACKSLASH_DIALECTS = ("mysql", "spark")
 _TEXT_CHARS = 8
 _BASE = 65536
 
@@ -44,7 +46,8 @@ def sql_literal(value, dialect: str = "ansi") -> str:
         return f"TIMESTAMP '{text}{f'.{value.microsecond:06d}' if value.microsecond else ''}'"
     if isinstance(value, dt.date):
         return f"TO_DATE('{value}', 'YYYY-MM-DD')" if dialect == "oracle" else f"DATE '{value}'"
-    return "'" + str(value).replace("'", "''") + "'"
+    text = str(value).replace("'", "''")
+    return "'" + (text.replace("\\", "\\\\") if dialect in BACKSLASH_DIALECTS else text) + "'"
 
 
 def _text_points(lo: str, hi: str, n: int) -> list[str]:
@@ -65,9 +68,9 @@ def _text_points(lo: str, hi: str, n: int) -> list[str]:
             code = x // _BASE ** (_TEXT_CHARS - 1 - i) % _BASE
             if code == 0:
                 break
-            # no half of a surrogate pair, and no quote or control character
-            code = 0xD7FF if 0xD800 <= code <= 0xDFFF else code
-            out.append(chr(code if code >= 0x30 else 0x30))
+            # no half of a surrogate pair, no quote, control character or backslash
+            code = 0xD7FF if 0xD800 <= code <= 0xDFFF else 0x5B if code == 0x5C else max(code, 0x30)
+            out.append(chr(code))
         return prefix + "".join(out)
 
     a, b = number(lo[shared:]), number(hi[shared:])

@@ -225,6 +225,14 @@ def test_row_window(spark):
     assert [r[0] for r in row_window(spark.range(10), ["id"], 3, 4).collect()] == [4, 5, 6]
 
 
+@pytest.mark.parametrize("offset, limit", [(0, 7), (120, 300), (9_990, 50), (20_000, 5), (3, 0)])
+def test_deep_row_window(spark, offset, limit):
+    df = spark.range(10_000).select(((F.col("id") * 7919) % 10_007).alias("a"), "id")
+    expected = [tuple(r) for r in df.orderBy("a", "id").collect()][offset:offset + limit]
+    assert [tuple(r) for r in row_window(df, ["a", "id"], limit, offset, page_rows=-1).collect()] == expected
+    assert [tuple(r) for r in row_window(df, ["a", "id"], limit, offset).collect()] == expected
+
+
 # --- cells
 
 

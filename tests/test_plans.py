@@ -188,6 +188,16 @@ def test_range_details():
         split_points("blob", 0, 1, 2)
 
 
+def test_text_ranges_with_backslashes(spark):
+    data = ["C:\\a", "C:\\b\\", "C:\\b'x", "C:\\z"]
+    df = spark.createDataFrame([(v,) for v in [*data, None]], "k string")
+    predicates = range_predicates("k", "text", min(data), max(data), 6, dialect="spark")
+    assert len(predicates) > 1
+    hits = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0))
+    assert [r[0] for r in df.select(hits).collect()] == [1] * 5
+    assert sql_literal("a\\b") == "'a\\b'" and sql_literal("a\\b", "mysql") == "'a\\\\b'"
+
+
 def test_hash_predicates(spark):
     df = spark.createDataFrame([(v,) for v in (-5, -1, 0, 1, 7, None)], "k bigint")
     hits = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in hash_predicates("k", 3)), F.lit(0))

@@ -29,7 +29,7 @@ def base(scratch, **more):
 @pytest.fixture
 def landed(scratch):
     os.makedirs(scratch + "/in")
-    with open(scratch + "/in/mrdata.txt", "w") as f:
+    with open(scratch + "/in/records.txt", "w") as f:
         f.write("head\n2012-12-27 10:00:00^1000^a^1.5;3^hi\n2012-12-28 10:00:00^1001^b^x\n\n2012-12-28 10:00:00^1000^a^2.5^4^\n")
     with open(scratch + "/in/other.log", "w") as f:
         f.write("head\nnothing\n")
@@ -42,7 +42,7 @@ def lines(spark, path):
 
 def test_text_projection(spark, landed):
     props = base(
-        landed, **{p.SKIP_LINES: "1", p.NAME_FILTER_ON: "true", p.NAME_FILTER: r"mr.*\.txt", p.DEFAULTS: "[SMESSAGE:none:x],[SNUMBER:0]"})
+        landed, **{p.SKIP_LINES: "1", p.NAME_FILTER_ON: "true", p.NAME_FILTER: r"rec.*\.txt", p.DEFAULTS: "[SMESSAGE:none:x],[SNUMBER:0]"})
     counts = run(spark, p.job_from_properties(props))
     assert (counts.input, counts.output) == (3, 3)
     assert lines(spark, landed + "/out") == ["1000^1.5^3^hi", "1000^2.5^4^none:x", "1001^x^0^none:x"]
@@ -76,7 +76,7 @@ def test_sequence_and_catalog_types(spark, landed):
 
 def test_cell_types(spark, landed):
     layout = "[f1:head:[sid,sprice]]-[f2:m:[smessage]]"
-    put = base(landed, **{p.SKIP_LINES: "1", p.NAME_FILTER_ON: "true", p.NAME_FILTER: "mrdata.txt", p.OUTPUT_TYPE: "HBASE", "output." + p.CELLS["layout"]: layout,
+    put = base(landed, **{p.SKIP_LINES: "1", p.NAME_FILTER_ON: "true", p.NAME_FILTER: "records.txt", p.OUTPUT_TYPE: "HBASE", "output." + p.CELLS["layout"]: layout,
                           "output." + p.CELLS["key"]: "tj-{sid}-{snumber}", p.OUTPUT_DIR: landed + "/cells"})
     with pytest.raises(SpecError):
         p.job_from_properties(put)
