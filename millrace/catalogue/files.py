@@ -241,9 +241,9 @@ def append_shards(spark, d):
     return reduce(lambda a, b: a.unionByName(b), shards)
 
 
-@_R.add("SELECT count(*) AS row_count, count(*) AS named_rows FROM nation")
+@_R.add("SELECT count(*) AS row_count, count(*) AS named_rows FROM customer")
 def file_names_of_rows(spark, d):
-    path = scratch_path(spark, "names") + "/nation"
-    write_delimited(table(spark, d, "nation"), path)
+    path = scratch_path(spark, "names") + "/customer"
+    write_delimited(table(spark, d, "customer"), path)
     named = read_lines(spark, path, provenance=True).withColumn("name", file_name(F.col("_file_path")))
     return named.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("name").like("part-%").cast("bigint")).alias("named_rows"))

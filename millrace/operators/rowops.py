@@ -140,9 +140,10 @@ def _path(df: DataFrame) -> Column:
 
 
 def mark_valid(df: DataFrame) -> DataFrame:
-    if VALID in df.columns:
-        return df
-    return df.withColumns({VALID: F.lit(True), REASON: F.lit(None).cast("string")})
+    """Add ``_valid`` and ``_reject_reason`` where a source or hook has not set them."""
+    missing = {VALID: F.lit(True), REASON: F.lit(None).cast("string")}
+    missing = {name: c for name, c in missing.items() if name not in df.columns}
+    return df.withColumns(missing) if missing else df
 
 
 def apply_ops(df: DataFrame, ops: Sequence, combine: str = "all", only: Sequence[str] | None = None) -> DataFrame:

@@ -114,7 +114,7 @@ class Ledger:
 
     def append(self, rows: DataFrame) -> None:
         names = [f.name for f in self.spark.createDataFrame([], SCHEMA).schema.fields]
-        rows.select(*names).write.mode("append").parquet(self.path)
+        rows.select(*names).hint("rebalance").write.mode("append").parquet(self.path)
 
     def next_run(self) -> int:
         return (self.rows().agg(F.max("run_id")).first()[0] or 0) + 1

@@ -23,9 +23,10 @@ from millrace.sinks.cells import put, write_bulk
 from millrace.sinks.jdbc import write_table
 from millrace.sinks.tables import insert_into
 from millrace.sinks.text import write_delimited, write_sequence
+from millrace.sources.archives import read_mixed_lines
 from millrace.sources.hadoop import read_query, read_sequence
 from millrace.sources.jdbc import Database, read_by_range, read_table
-from millrace.sources.text import read_delimited
+from millrace.sources.text import parse_fields, read_delimited
 
 # Property names.
 INPUT_TYPE = "input.sys.mr.mapred.type"
@@ -171,13 +172,14 @@ def _source(p: _Reader, partitions: int) -> Callable[[SparkSession], DataFrame]:
             "line_sep": row_sep,
             "charset": None if p.get(CHARSET, "utf-8").lower() in ("utf-8", "utf8") else p.get(CHARSET),
             "skip_lines": int(p.get(SKIP_LINES, "0")),
-            "recursive": True,
             "provenance": True,
         }
         if p.flag(NAME_FILTER_ON, False) and p.get(NAME_FILTER):
             options |= {"name_regex": p.get(NAME_FILTER), "name_regex_include": p.flag(NAME_FILTER_INCLUDE, True)}
         paths = [x.strip() for x in p.need(INPUT_DIR).split(",")]
-        return lambda spark: read_delimited(spark, paths, fields, sep, regex=True, **options)
+        if row_sep != "\n":  # members of archives are read by plain lines
+            return lambda spark: read_delimited(spark, paths, fields, sep, regex=True, recursive=True, **options)
+        return lambda spark: parse_fields(read_mixed_lines(spark, paths, **options), fields, sep, regex=True)
     if kind == SEQUENCE:
         return lambda spark: read_sequence(spark, p.need(INPUT_DIR), fields, sep, regex=True)
     if kind in CATALOG:

@@ -80,9 +80,12 @@ def file_values(df: DataFrame) -> list[Column]:
 
 def write_shard_files(
     df: DataFrame, sharding: Sharding, path: str, *, sep: str = ",", names: Mapping[int, str] | None = None,
-    mode: str = "errorifexists",
+    mode: str = "errorifexists", rebalance: bool = True,
 ) -> None:
-    """One folder per shard, ``<path>/_shard=<name>``; a large shard is spread over several files."""
+    """One folder per shard, ``<path>/_shard=<name>``; a large shard is spread over several files.
+
+    Without ``rebalance`` nothing is shuffled and every task writes its own file per shard.
+    """
     keyed = with_shard(df.filter(sharding.has_key()), sharding)
     shard = F.col("_shard")
     if names:
@@ -90,8 +93,10 @@ def write_shard_files(
         shard = F.coalesce(F.try_element_at(F.create_map(*pairs), shard), shard.cast("string"))
     line = F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in file_values(df)])
     lines = keyed.select(line.alias("value"), shard.alias("_shard"))
+    if rebalance:
+        lines = lines.hint("rebalance", F.col("_shard"))
     with open_writers(df.sparkSession, min(sharding.size, 32)):
-        lines.hint("rebalance", F.col("_shard")).write.mode(mode).partitionBy("_shard").text(path)
+        lines.write.mode(mode).partitionBy("_shard").text(path)
 
 
 def write_shard_tables(

@@ -54,7 +54,11 @@ def write_partitioned(
     rebalance: bool = True,
     **options,
 ) -> None:
-    """``k=v`` folders; with ``replace_partitions`` only the partitions present in ``df`` are replaced."""
+    """``k=v`` folders; with ``replace_partitions`` only the partitions present in ``df`` are replaced.
+
+    The rebalance costs one shuffle of the output and saves a file per task and
+    partition value; turn it off where each task holds few values already.
+    """
     missing = [c for c in partition_by if c not in df.columns]
     if missing:
         raise SpecError(f"partition fields {missing} are not in the data")

@@ -15,10 +15,17 @@ import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.functions.text import full_match
+from millrace.sources.files import select_by_name
+from millrace.sources.text import read_lines
 
 _BATCH = 10_000
 
+# Fixed value: names of files that are archives.
+ARCHIVE_NAMES = r".*\.(?i:zip|tar|tar\.gz|tgz|tar\.bz2)"
+
 
 def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase]]:
     low = path.lower()
@@ -39,15 +46,27 @@ def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase
 
 
 def read_archive_lines(
-    spark: SparkSession, paths: str | Sequence[str], *, charset: str = "utf-8", name_glob: str | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    charset: str = "utf-8",
+    name_glob: str | None = None,
+    name_regex: str | None = None,
+    name_regex_include: bool = True,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Lines of all members: ``value, _file_path, _member, _line`` (line number in the member)."""
+    """Lines of all members: ``value, _file_path, _member, _line`` (line number in the member).
+
+    Files that are no archives are left alone.
+    """
     "".encode(charset)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    files = reader.load(paths if isinstance(paths, str) else list(paths)).select("path", "content")
-    names = ["value", "_file_path", "_member", "_line"]
+    files = reader.load(paths if isinstance(paths, str) else list(paths))
+    files = files.filter(full_match(F.col("_metadata.file_name"), ARCHIVE_NAMES))
+    files = select_by_name(files, name_regex, name_regex_include, names).select("path", "content")
+    columns = ["value", "_file_path", "_member", "_line"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,11 +77,11 @@ def read_archive_lines(
                     for raw in stream:
                         rows.append(raw.rstrip(b"\r\n").decode(charset, "replace"))
                         if len(rows) == _BATCH:
-                            yield _lines(rows, path.as_py(), member, first, names)
+                            yield _lines(rows, path.as_py(), member, first, columns)
                             first += len(rows)
                             rows = []
                     if rows:
-                        yield _lines(rows, path.as_py(), member, first, names)
+                        yield _lines(rows, path.as_py(), member, first, columns)
 
     return files.mapInArrow(work, "value string, _file_path string, _member string, _line bigint")
 
@@ -76,3 +95,25 @@ def _lines(rows: list[str], path: str, member: str, first: int, names: list[str]
         pa.array(range(first, first + n), pa.int64()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def read_mixed_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    charset: str | None = None,
+    skip_lines: int = 0,
+    provenance: bool = False,
+    **selection,
+) -> DataFrame:
+    """Lines of plain and compressed files and of archive members under the same paths.
+
+    Head lines are skipped in every file and in every archive member.
+    """
+    plain = read_lines(
+        spark, paths, charset=charset, skip_lines=skip_lines, provenance=provenance,
+        recursive=True, leave_out=ARCHIVE_NAMES, **selection,
+    )
+    selection.pop("line_sep", None)
+    packed = read_archive_lines(spark, paths, charset=charset or "utf-8", **selection)
+    return plain.unionByName(packed.filter(F.col("_line") > skip_lines).select(*plain.columns))

@@ -82,6 +82,7 @@ def read_lines(
     name_regex: str | None = None,
     name_regex_include: bool = True,
     names: Sequence[str] | None = None,
+    leave_out: str | None = None,
 ) -> DataFrame:
     """Lines as ``value`` (and ``_file_path``); compressed files are read by their suffix.
 
@@ -102,6 +103,8 @@ def read_lines(
         reader = reader.option("pathGlobFilter", name_glob)
     df = reader.text(paths if isinstance(paths, str) else list(paths))
     df = select_by_name(df, name_regex, name_regex_include, names)
+    if leave_out:
+        df = select_by_name(df, leave_out, include=False)
     raw = F.col("value").cast("binary") if charset else F.col("value")
     cols = [raw.alias("value")]
     if provenance:

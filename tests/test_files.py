@@ -13,7 +13,7 @@ from millrace.sinks.fanout import fan_out, with_target_name
 from millrace.sinks.shards import NULL_KEY, Sharding, file_values, reject_null_keys, shard_counts, write_shard_files
 from millrace.sinks.tables import ensure_table, insert_into, replace_by_key, run_statements, write_partitioned
 from millrace.sinks.text import publish_path, write_delimited, write_sequence
-from millrace.sources.archives import read_archive_lines
+from millrace.sources.archives import read_archive_lines, read_mixed_lines
 from millrace.sources.files import manifest, paths_from_query
 from millrace.sources.hadoop import read_rc, read_sequence
 from millrace.sources.text import parse_fields, read_delimited, read_lines, read_plain
@@ -167,6 +167,20 @@ def test_large_member_comes_in_batches(spark, scratch):
     assert df.agg(F.count("*"), F.max("_line"), F.sum(F.col("value").cast("bigint"))).first()[0:3] == (25_001, 25_001, 25_000 * 25_001 // 2)
 
 
+def test_archives_beside_plain_files(spark, scratch):
+    folder = scratch + "/d"
+    put(folder, "a.txt", "h\n1\n")
+    put(folder, "b.gz", gzip.compress(b"h\n2\n"))
+    os.makedirs(folder + "/sub")
+    with zipfile.ZipFile(folder + "/sub/c.ZIP", "w") as z:
+        z.writestr("m", "h\n3\n")
+        z.writestr("n", "h\n4\n")
+    out = read_mixed_lines(spark, folder, skip_lines=1, provenance=True)
+    assert sorted(r.value for r in out.collect()) == ["1", "2", "3", "4"]
+    assert sorted(r[0] for r in read_mixed_lines(spark, folder, name_regex=".*ZIP").collect()) == ["3", "4", "h", "h"]
+    assert read_archive_lines(spark, folder, names=["a.txt"]).count() == 0
+
+
 def test_gzip_by_suffix(spark, scratch):
     put(scratch + "/d", "a.gz", gzip.compress(b"x\ny\n"))
     assert sorted(values(read_lines(spark, scratch + "/d"))) == [("x",), ("y",)]
