@@ -142,18 +142,19 @@ def parse_fields(
     )
     pattern = sep if regex else re.escape(sep)
     value = F.col("value")
-    cut = F.regexp_replace(value, rf"(?:{pattern})+\z", "")
-    body = cut if regex else F.when(value.endswith(sep), cut).otherwise(value)
     others = [F.col(c) for c in lines.columns if c != "value"]
-    # the line is cut and split once, in a projection of its own, for all fields
-    cut_lines = lines.filter(value.rlike(r"[^\x00-\x20]")).select(body.alias("_line"), *others)
-    split_lines = cut_lines.select(
-        F.when(F.col("_line") != "", F.split(F.col("_line"), pattern, -1)).alias("_parts"), *others
-    )
+    # the line is split once, in a projection of its own, for all fields
+    split_lines = lines.filter(value.rlike(r"[^\x00-\x20]")).select(F.split(value, pattern, -1).alias("_parts"), *others)
+    parts = F.col("_parts")
     out = []
     for i, (name, dtype) in enumerate(types):
-        c = F.get(F.col("_parts"), F.lit(i))
-        out.append((c if isinstance(dtype, T.StringType) else c.try_cast(dtype)).alias(name))
+        c = F.get(parts, F.lit(i))
+        if isinstance(dtype, T.StringType):
+            rest = F.array_join(F.slice(parts, F.lit(i + 1), F.greatest(F.size(parts), F.lit(1))), "")
+            c = F.when(c != "", c).when(rest != "", c)  # an empty field is null if only empty ones follow
+        else:
+            c = c.try_cast(dtype)
+        out.append(c.alias(name))
     return split_lines.select(*out, *others)
 
 

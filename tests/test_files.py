@@ -5,6 +5,7 @@ import tarfile
 import zipfile
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.plans.spec import SpecError
@@ -55,6 +56,22 @@ def test_plain_separator_and_blank_lines(spark):
     assert values(parse_fields(df, ["x", "y"], "|")) == [("a", "b"), (None, None), ("a", None)]
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    sep=st.sampled_from([",", "||", "aa", "^;", "\\d", ".", "|#|"]),
+    lines=st.lists(st.text("a|#^;,.d1 ", max_size=14), min_size=1, max_size=60),
+)
+def test_fields_by_left_to_right_split(spark, sep, lines):
+    def fields(line):
+        parts = line.split(sep)
+        while parts and parts[-1] == "":
+            parts.pop()
+        return tuple((parts + [None] * 4)[:4])
+
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    assert values(parse_fields(df, list("wxyz"), sep)) == [fields(v) for v in lines if v.strip()]
+
+
 def test_typed_fields(spark):
     df = spark.createDataFrame([("1,x,2020-01-01 00:00:00",), ("z,y,never",)], "value string")
     out = values(parse_fields(df, "n int, s string, t timestamp_ntz"))
