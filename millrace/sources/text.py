@@ -144,18 +144,21 @@ def parse_fields(
     value = F.col("value")
     others = [F.col(c) for c in lines.columns if c != "value"]
     # the line is split once, in a projection of its own, for all fields
-    split_lines = lines.filter(value.rlike(r"[^\x00-\x20]")).select(F.split(value, pattern, -1).alias("_parts"), *others)
+    df = lines.filter(value.rlike(r"[^\x00-\x20]")).select(F.split(value, pattern, -1).alias("_parts"), *others)
     parts = F.col("_parts")
+    if any(isinstance(dtype, T.StringType) for _, dtype in types):
+        # number of fields up to the last that is not empty; looked for only when the last one is
+        at = [F.when(F.get(parts, F.lit(i)) != "", F.lit(i + 1)) for i in range(len(types))]
+        size = F.size(parts)
+        surplus = F.array_join(F.slice(parts, F.lit(len(types) + 1), F.greatest(size, F.lit(1))), "")
+        filled = F.greatest(F.lit(0), F.when(surplus != "", size), *at)
+        df = df.select("*", F.when(F.element_at(parts, -1) != "", size).otherwise(filled).alias("_filled"))
     out = []
     for i, (name, dtype) in enumerate(types):
         c = F.get(parts, F.lit(i))
-        if isinstance(dtype, T.StringType):
-            rest = F.array_join(F.slice(parts, F.lit(i + 1), F.greatest(F.size(parts), F.lit(1))), "")
-            c = F.when(c != "", c).when(rest != "", c)  # an empty field is null if only empty ones follow
-        else:
-            c = c.try_cast(dtype)
+        c = F.when(F.col("_filled") > i, c) if isinstance(dtype, T.StringType) else c.try_cast(dtype)
         out.append(c.alias(name))
-    return split_lines.select(*out, *others)
+    return df.select(*out, *others)
 
 
 def read_delimited(
