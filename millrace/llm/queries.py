@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from millrace.catalogue.common import Registry, table
+from millrace.llm import language
 from millrace.llm.harmonic import pack_documents, packing_digests
 from millrace.llm.packed_ids import packed_files
 from millrace.llm.token_counts import count_tokens
@@ -22,6 +23,12 @@ def op3_packed_ids(spark, d):
     return packed_files(table(spark, d, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
+@_R.add()
+def op4_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 @_R.add()
 def op7_token_counts(spark, d):
     """A cache of its own for each call, so every distinct text is encoded here."""
