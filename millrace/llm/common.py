@@ -37,16 +37,16 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """ASCII-white-space-separated words of a text, about a megabyte of it at a time."""
+def slices(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in slices of about a megabyte, cut before ASCII white space, so that no word is cut."""
     start, end = 0, len(text)
     while end - start > size:
         cut = start + size
         while cut < end and text[cut] not in b" \t\n\r\x0b\x0c":
             cut += 1
-        yield text[start:cut].split()
+        yield text[start:cut]
         start = cut
-    yield text[start:].split()
+    yield text[start:] if start else text
 
 
 class Emitter:

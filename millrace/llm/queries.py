@@ -7,6 +7,7 @@ import public_tokenizers
 from millrace.catalogue.common import Registry, table
 from millrace.llm import language
 from millrace.llm.harmonic import pack_documents, packing_digests
+from millrace.llm.near_copies import near_copies
 from millrace.llm.packed_ids import packed_files
 from millrace.llm.token_counts import count_tokens
 from millrace.session import scratch_path
@@ -39,3 +40,8 @@ def op7_token_counts(spark, d):
 @_R.add()
 def op8_harmonic_packing(spark, d):
     return packing_digests(pack_documents(table(spark, d, "documents"), public_tokenizers.path(WORD_VOCABULARY)))
+
+
+@_R.add()
+def op9_near_copies(spark, d):
+    return near_copies(table(spark, d, "documents"))
