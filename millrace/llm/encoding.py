@@ -5,29 +5,47 @@ from __future__ import annotations
 import json
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-from millrace.llm.common import pieces
+from millrace.llm.common import slices
 
 #: Fixed value: the split pattern of the word-level vocabulary.  No alternative of it matches white space.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def splits_at_spaces(spec: dict) -> bool:
+#: Characters whose canonical form is themselves and whose lower case is the same in any context and library.
+_PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]+")
+_PARTS = regex.compile(WORD_PATTERN)
+
+
+def byte_characters() -> dict[int, str]:
+    """Byte-level vocabularies write bytes as characters: printable Latin-1 ones as themselves, others from U+0100 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
+def _told(part) -> dict:
+    return {} if part is None else json.loads(part.__getstate__())
+
+
+def splits_at_spaces(library: Tokenizer) -> bool:
     """Whether a text's ids are those of its white-space-separated words, one after the other.
 
     True if white space is dropped before the merges, no normaliser looks across it and no added token holds it.
     """
-    steps = (spec.get("normalizer") or {}).get("normalizers", [])
-    before = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    steps = _told(library.normalizer).get("normalizers", [])
+    before = _told(library.pre_tokenizer).get("pretokenizers", [])
     first = before[0] if before else {}
     return (
         all(s["type"] in ("NFC", "Lowercase") or s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} for s in steps)
+        and {"NFC", "Lowercase"} <= {s["type"] for s in steps}
         and first.get("type") == "Split" and first.get("pattern") == {"Regex": WORD_PATTERN}
         and first.get("behavior") == "Removed" and bool(first.get("invert"))
         and all(p["type"] == "ByteLevel" and not p.get("add_prefix_space") for p in before[1:])
-        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(" \t\n\r\x0b\x0c")
-                    for t in spec.get("added_tokens") or [])
+        and not any(t.lstrip or t.rstrip or t.single_word or set(t.content) & set(" \t\n\r\x0b\x0c")
+                    for t in library.get_added_tokens_decoder().values())
     )
 
 
@@ -48,15 +66,17 @@ class WordEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
     Where the vocabulary drops white space, each distinct word is encoded once by the library and its ids are
-    kept, in at most ``words`` words and ``size`` bytes of them; any other vocabulary encodes whole texts.
+    kept, in at most ``words`` words and ``size`` bytes of them; any other vocabulary encodes whole texts.  Most of
+    the library's time goes into normalising and splitting, so words of plain Latin letters, digits and marks are
+    split here and only their parts go to the library's merges; every other word takes the library's whole path.
     """
 
-    def __init__(self, path: str, words: int = 400_000, size: int = 64 << 20):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str, words: int = 250_000, size: int = 16 << 20):
         self.library = Tokenizer.from_file(path)
-        self.by_word = splits_at_spaces(spec)
+        self.by_word = splits_at_spaces(self.library)
         self.words, self.size = words, size
+        self.model, self.shown = self.library.model, byte_characters()
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self._clear()
 
     @property
@@ -66,13 +86,29 @@ class WordEncoder:
 
     def _clear(self):
         self.index, self.held, self.used = _Index(), 0, 0
+        self.parts: dict[str, tuple[int, ...]] = {}
         self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat = np.zeros(4096, np.uint32)
 
+    def _word(self, word: str) -> list[int]:
+        if word.isascii() and word.isalpha():
+            found = [word.lower()]
+        elif _PLAIN.fullmatch(word) and not any(t in word for t in self.added):
+            found = _PARTS.findall(word.lower())
+        else:
+            return self.library.encode(word, add_special_tokens=False).ids
+        ids: list[int] = []
+        for part in found:
+            if (known := self.parts.get(part)) is None:
+                written = part if part.isascii() else "".join(map(self.shown.__getitem__, part.encode()))
+                known = self.parts[part] = tuple(t.id for t in self.model.tokenize(written))
+            ids += known
+        return ids
+
     def _learn(self):
         new = self.index.pending
-        found = self.library.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        counts = np.array([len(e.ids) for e in found], np.int64)
+        found = [self._word(w.decode("utf-8", "replace")) for w in new]
+        counts = np.array([len(ids) for ids in found], np.int64)
         base, total = len(self.index) - len(new), int(counts.sum())
         while len(self.first) < len(self.index):
             self.first, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.count))
@@ -80,7 +116,7 @@ class WordEncoder:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.count[base:len(self.index)] = counts
         self.first[base:len(self.index)] = self.used + np.cumsum(counts) - counts
-        self.flat[self.used:self.used + total] = [i for e in found for i in e.ids]
+        self.flat[self.used:self.used + total] = [i for ids in found for i in ids]
         self.used += total
         self.held += sum(map(len, new))
         self.index.pending = []
@@ -102,5 +138,5 @@ class WordEncoder:
             return np.zeros(0, np.uint32)
         if not self.by_word:
             return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
-        parts = [self._words(words) for words in pieces(text)]
+        parts = [self._words(part.split()) for part in slices(text)]
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
