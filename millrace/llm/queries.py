@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from millrace.catalogue.common import Registry, table
-from millrace.llm import language
+from millrace.llm import chat, language, mixing
 from millrace.llm.harmonic import pack_documents, packing_digests
 from millrace.llm.near_copies import near_copies
 from millrace.llm.packed_ids import packed_files
@@ -19,6 +20,37 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
+#: A conversation whose texts hold the template's own marks.
+MARKED = (-7, r"\### Assistant: </turn> ok")
+
+_OP2 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '### ', '#\## ') AS body,
+    CASE WHEN regexp_full_match(role, '[a-z]+') THEN role
+      ELSE '=' || replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '### ', '#\## '), ': ', ':\ ') END AS head
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(head) + length(body) + 14) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
+@_R.add(_OP2)
+def op2_chat_formatting(spark, d):
+    own = spark.createDataFrame(
+        [(MARKED[0], 0, "user", MARKED[1]), (MARKED[0], 1, "assistant", MARKED[1])], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    return chat.digests(chat.format_chats(chat.log_of(rows)))
+
+
 @_R.add()
 def op3_packed_ids(spark, d):
     return packed_files(table(spark, d, "documents"), public_tokenizers.path(WORD_VOCABULARY))
@@ -30,6 +62,61 @@ def op4_language_id(spark, d):
     return language.identify(docs, language.train(docs))
 
 
+#: Exponents on observed shares: rare languages, sources and topics get more than their part.
+MIX_TARGETS = {"source": 0.7, "lang": 0.5, "topic": 0.6}
+MIX_PART = 0.5
+
+_STEP = """
+  {name} AS (SELECT s, l, t, mass, ts, tl, tt, n, CASE WHEN sum(f) OVER (PARTITION BY {key}) > 0
+    THEN f * {target} / sum(f) OVER (PARTITION BY {key}) ELSE 0 END AS f FROM {of})"""
+
+
+def _rake_sql(rounds: int) -> str:
+    """Rounds of raking written out one after the other, and rounds of the capped scale."""
+    steps, of = [], "base"
+    for i in range(rounds):
+        for key, target in (("s", "ts"), ("l", "tl"), ("t", "tt")):
+            steps.append(_STEP.format(name=f"r{i}{key}", key=key, target=target, of=of))
+            of = f"r{i}{key}"
+    scales = ["k0 AS (SELECT (SELECT wanted FROM total) / (SELECT sum(f) FROM fitted) AS k)"]
+    for i in range(1, 9):
+        scales.append(
+            f"k{i} AS (SELECT coalesce(((SELECT wanted FROM total) - sum(CASE WHEN f * p.k >= mass THEN mass ELSE 0 END))"
+            f" / nullif(sum(CASE WHEN f * p.k >= mass THEN 0 ELSE f END), 0), max(p.k)) AS k FROM fitted, k{i - 1} p)"
+        )
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS s, coalesce(lang, '') AS l,
+    CASE WHEN contains(x, 'Licensed under') OR contains(x, 'is licensed under') OR contains(x, 'All rights reserved') THEN 'legal'
+      WHEN contains(x, ' | ') THEN 'table' WHEN contains(x, '!!') OR contains(x, '***') OR contains(x, '%%%') THEN 'marked'
+      ELSE 'prose' END AS t,
+    greatest(1, CAST(ceil(length(x) / 4.0) AS BIGINT)) AS w
+  FROM (SELECT doc_id, source, lang, coalesce(text, '') AS x FROM documents)
+), c AS (SELECT s, l, t, sum(w) AS mass FROM d GROUP BY s, l, t),
+  total AS (SELECT sum(mass) * 0.5 AS wanted FROM c),
+  ms AS (SELECT s, pow(sum(mass), 0.7) AS p FROM c GROUP BY s), ml AS (SELECT l, pow(sum(mass), 0.5) AS p FROM c GROUP BY l),
+  mt AS (SELECT t, pow(sum(mass), 0.6) AS p FROM c GROUP BY t),
+  base AS (SELECT c.s, c.l, c.t, CAST(mass AS DOUBLE) AS mass, ms.p / (SELECT sum(p) FROM ms) AS ts, ml.p / (SELECT sum(p) FROM ml) AS tl,
+    mt.p / (SELECT sum(p) FROM mt) AS tt, 1 AS n, CAST(mass AS DOUBLE) AS f
+    FROM c JOIN ms USING (s) JOIN ml USING (l) JOIN mt USING (t)),
+{",".join(steps)},
+  fitted AS (SELECT * FROM {of} WHERE f > 0),
+  {", ".join(scales)},
+  p AS (SELECT s, l, t, round(least(1.0, f * (SELECT k FROM k8) / mass), 6) AS probability FROM {of})
+SELECT doc_id, s AS source, l AS lang, t AS topic, w AS weight, probability,
+  CAST('0x' || substr(md5('mix:' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0 < probability AS sampled
+FROM d JOIN p USING (s, l, t)"""
+
+
+@_R.add(_rake_sql(15))
+def op5_mixing(spark, d):
+    docs = table(spark, d, "documents")
+    categories = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of()}
+    mixed = mixing.mix_documents(docs, categories, MIX_TARGETS, MIX_PART)
+    own = [F.col(f"mix_{c}").alias(c) for c in categories]
+    return mixed.select("doc_id", *own, F.col("mix_weight").alias("weight"), "probability", "sampled")
+
+
 @_R.add()
 def op7_token_counts(spark, d):
     """A cache of its own for each call, so every distinct text is encoded here."""
