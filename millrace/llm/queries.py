@@ -10,6 +10,7 @@ from millrace.llm import chat, language, mixing
 from millrace.llm.harmonic import pack_documents, packing_digests
 from millrace.llm.near_copies import near_copies
 from millrace.llm.packed_ids import packed_files
+from millrace.llm.surrogates import KINDS, replace_entities
 from millrace.llm.token_counts import count_tokens
 from millrace.session import scratch_path
 
@@ -117,6 +118,18 @@ def op5_mixing(spark, d):
     return mixed.select("doc_id", *own, F.col("mix_weight").alias("weight"), "probability", "sampled")
 
 
+#: Key of the surrogates; a real run takes its own from its configuration.
+SURROGATE_KEY = "millrace surrogates"
+
+
+@_R.add()
+def op6_surrogates(spark, d):
+    docs = replace_entities(table(spark, d, "documents"), SURROGATE_KEY)
+    counts = [F.col("__pii_counts")[kind].alias(f"n_{kind}") for kind in KINDS]
+    total = F.aggregate(F.map_values("__pii_counts"), F.lit(0).cast("long"), lambda s, n: s + n)
+    return docs.select("doc_id", "text", total.alias("n_entities"), *counts)
+
+
 @_R.add()
 def op7_token_counts(spark, d):
     """A cache of its own for each call, so every distinct text is encoded here."""
