@@ -10,6 +10,7 @@ from millrace.llm import chat, language, mixing
 from millrace.llm.harmonic import pack_documents, packing_digests
 from millrace.llm.near_copies import near_copies
 from millrace.llm.packed_ids import packed_files
+from millrace.llm.stable_search import nearest
 from millrace.llm.surrogates import KINDS, replace_entities
 from millrace.llm.token_counts import count_tokens
 from millrace.session import scratch_path
@@ -21,6 +22,11 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
+@_R.add()
+def op1_stable_search(spark, d):
+    return nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 #: A conversation whose texts hold the template's own marks.
 MARKED = (-7, r"\### Assistant: </turn> ok")
 
