@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.catalogue.common import Registry, table
 from millrace.llm import chat, language, mixing
 from millrace.llm.harmonic import pack_documents, packing_digests
+from millrace.llm.lattice import near_vectors
 from millrace.llm.near_copies import near_copies
 from millrace.llm.packed_ids import packed_files
 from millrace.llm.stable_search import nearest
@@ -151,3 +152,8 @@ def op8_harmonic_packing(spark, d):
 @_R.add()
 def op9_near_copies(spark, d):
     return near_copies(table(spark, d, "documents"))
+
+
+@_R.add()
+def op10_lattice_links(spark, d):
+    return near_vectors(table(spark, d, "embeddings"))
