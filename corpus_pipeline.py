@@ -1,8 +1,81 @@
-"""Placeholder until its stages exist."""
+"""A training corpus from the documents table, in five stages.
 
-STAGES: list = []
+Each stage takes the documents that the one before kept, as a Parquet table, so a lost executor costs no more than a
+part of one stage.  All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm import language
+from millrace.llm.harmonic import pack_documents
+from millrace.llm.mixing import mix_documents, topic_of
+from millrace.llm.near_copies import near_copies
+from millrace.llm.surrogates import replace_entities
+from millrace.session import scratch_path
+
+#: A document goes if no language is as likely as one of four would be by chance.
+LEAST_SCORE = 0.25
+SURROGATE_KEY = "millrace surrogates"
+MIX_TARGETS = {"source": 0.7, "lang": 0.5, "topic": 0.6}
+MIX_PART = 0.8
+VOCABULARY = "word_bpe_49k.json"
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; a missing label is filled with it."""
+    found = language.label_documents(docs, language.train(docs))
+    found = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    lang = F.coalesce("doc.lang", "lang_pred").alias("lang")
+    return found.select(*[lang if c == "lang" else F.col("doc")[c].alias(c) for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group; of rows that share an id, one."""
+    dropped = near_copies(docs).where("not kept").select("doc_id").distinct()
+    rest = docs.join(dropped, "doc_id", "left_anti")
+    repeated = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    if not repeated.isEmpty():
+        once = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        rest = rest.join(repeated, "doc_id", "left_anti").union(once)
+    return rest.select(docs.columns)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with surrogates; ``n_chars`` follows the text."""
+    clean = replace_entities(docs, SURROGATE_KEY)
+    return clean.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sample that meets the target shares of sources, languages and topics."""
+    categories = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of()}
+    mixed = mix_documents(docs, categories, MIX_TARGETS, MIX_PART).where("sampled")
+    return mixed.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences with their token ids."""
+    return pack_documents(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES = [
+    ("language", identify_language), ("near copies", drop_near_copies), ("personal data", replace_personal_data),
+    ("mixing", mix_sources), ("packing", pack_sequences),
+]
+
+#: The trained language model and the tokenizer have no counterpart in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared scratch folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = scratch_path(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

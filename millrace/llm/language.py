@@ -183,11 +183,9 @@ def train(docs: DataFrame) -> Model:
     return Model(vectors, [r[0] for r in rows])
 
 
-_TOLD = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
-
-
 def _predictor(model: Model):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every column but the last, the text, passes through."""
         for batch in batches:
             found = [model.predict(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             own = batch.columns[:-1] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
@@ -204,10 +202,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def label_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of the documents with ``_lang_pred`` and ``_score`` beside them."""
+    """``doc``, the document's row as it was, with lang_pred and score."""
     bound_batches(docs.sparkSession)
-    rows = docs.withColumn("_text", F.col("text"))
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["lang_pred string", "score double"])
-    named = [F.col(f"`{c}`") for c in docs.columns]
-    out = rows.mapInArrow(_predictor(model), ddl)
-    return out.select(*named, F.col("lang_pred").alias("_lang_pred"), F.col("score").alias("_score"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
+    ddl = f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double"
+    return rows.mapInArrow(_predictor(model), ddl)

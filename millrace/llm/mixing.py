@@ -89,17 +89,23 @@ def chance(doc_id: str = "doc_id", seed: str = "mix") -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def mix_documents(docs: DataFrame, categories: dict[str, Column], targets: dict[str, float | dict[str, float]], part: float = 0.5, weight: Column | None = None, seed: str = "mix") -> DataFrame:
-    """The documents with ``mix_weight``, ``mix_<category>``, ``probability`` and ``sampled`` beside their columns.
+def mix_documents(
+    docs: DataFrame, categories: dict[str, Column], targets: dict[str, float | dict[str, float]], part: float = 0.5,
+    weight: Column | None = None, seed: str = "mix", carry: list[str] | None = None,
+) -> DataFrame:
+    """``doc`` (the document's row, or its ``carry`` columns), weight, each category, probability and sampled.
 
     One aggregate over the documents makes the cells; sums are partial in each task, so a source with a third of the
     rows is a few rows per task.  The cells come back by a join whose kind Spark picks by their size.
     """
-    names = {f"mix_{c}": column for c, column in categories.items()}
-    rows = docs.withColumns({n: F.coalesce(c.cast("string"), F.lit("")) for n, c in names.items()})
-    rows = rows.withColumn("mix_weight", token_weight() if weight is None else weight)
-    cells = keep(rows.groupBy(*names).agg(F.sum("mix_weight").alias("mass")), "cells")
+    own = [F.col(f"`{c}`") for c in carry or docs.columns]
+    named = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in categories.items()]
+    rows = docs.select(
+        F.struct(*own).alias("doc"), chance(seed=seed).alias("chance"), (token_weight() if weight is None else weight).alias("weight"), *named
+    )
+    cells = keep(rows.groupBy(*categories).agg(F.sum("weight").alias("mass")), "cells")
     total = cells.agg(F.sum("mass")).first()[0] or 0
-    fitted = fit(cells, {f"mix_{c}": targets[c] for c in categories})
-    chosen = keep(probabilities(fitted, part * total).select(*names, "probability"), "cells")
-    return rows.join(chosen, [*names]).withColumn("sampled", chance(seed=seed) < F.col("probability"))
+    fitted = fit(cells, {c: targets[c] for c in categories})
+    chosen = keep(probabilities(fitted, part * total).select(*categories, "probability"), "cells")
+    joined = rows.join(chosen, [*categories]).withColumn("sampled", F.col("chance") < F.col("probability"))
+    return joined.select("doc", "weight", *categories, "probability", "sampled")

@@ -120,9 +120,8 @@ FROM d JOIN p USING (s, l, t)"""
 def op5_mixing(spark, d):
     docs = table(spark, d, "documents")
     categories = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of()}
-    mixed = mixing.mix_documents(docs, categories, MIX_TARGETS, MIX_PART)
-    own = [F.col(f"mix_{c}").alias(c) for c in categories]
-    return mixed.select("doc_id", *own, F.col("mix_weight").alias("weight"), "probability", "sampled")
+    mixed = mixing.mix_documents(docs, categories, MIX_TARGETS, MIX_PART, carry=["doc_id"])
+    return mixed.select("doc.doc_id", *categories, "weight", "probability", "sampled")
 
 
 #: Key of the surrogates; a real run takes its own from its configuration.

@@ -12,8 +12,8 @@ or equal to another entity of the corpus, draw again, all but the smallest of th
 surrogate then takes on each mention's own format: separators, country code, title and capitals.
 
 Only texts with a detected entity take part in a join, by a digest of the text; all others pass through one scan.
-Null and empty texts stay as they are; repeated rows are replaced alike; empty tables give no row.  Columns of the
-documents named like the working columns (``__pii_...``) are not supported, any other name is.
+Null and empty texts stay as they are; repeated rows are replaced alike; empty tables give no row.  Other columns pass
+through whatever their names.
 """
 
 from __future__ import annotations
@@ -218,19 +218,19 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     table = keep(surrogate_table(each.select("kind", "norm", "gender"), key), "surrogates")
     shown = each.join(table, ["kind", "norm"]).select("__pii_key", "at", "kind", F.expr(_shown("kind", "raw", "norm", "surrogate")).alias("new"))
     per_text = keep(shown.groupBy("__pii_key").agg(F.collect_list(F.struct("at", "kind", "new")).alias("__pii_new")), "replaced")
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    doc = F.struct(*rest or [F.lit(1).alias("none")]).alias("doc")
     none = F.lit(None).cast("array<struct<at:int,kind:string,new:string>>")
-    clean = docs.where(~_hit()).select(*names, none.alias("__pii_new"))
-    touched = docs.where(_hit()).withColumn("__pii_key", _key()).join(per_text, "__pii_key", "left").select(*names, "__pii_new")
+    clean = docs.where(~_hit()).select(doc, "text", none.alias("new"))
+    touched = docs.where(_hit()).select(doc, "text", _key().alias("__pii_key")).join(per_text, "__pii_key", "left")
     by_place = F.map_from_arrays(F.transform("__pii_new", lambda x: x["at"]), F.transform("__pii_new", lambda x: x["new"]))
-    touched = touched.withColumn("__pii_map", by_place).withColumn("__pii_old", _matches())
+    touched = touched.withColumn("by_place", by_place).withColumn("old", _matches())
     gaps = F.split("text", PATTERN, -1)
-    filled = F.transform("__pii_old", lambda raw, i: F.coalesce(F.try_element_at("__pii_map", i), raw))
+    filled = F.transform("old", lambda raw, i: F.coalesce(F.try_element_at("by_place", i), raw))
     whole = F.array_join(F.flatten(F.zip_with(gaps, F.array_append(filled, F.lit("")), lambda a, b: F.array(a, b))), "")
     text = F.when(F.col("__pii_new").isNotNull(), whole).otherwise(F.col("text"))
-    touched = touched.withColumn("__pii_text", text)
-    out = [F.col("__pii_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    both = clean.union(touched.select(*out, "__pii_new"))
-    number = lambda kind: F.coalesce(F.size(F.filter("__pii_new", lambda m: m["kind"] == kind)), F.lit(-1))
-    counts = F.create_map([x for kind in KINDS for x in (F.lit(kind), number(kind))])
-    return both.withColumn("__pii_counts", F.transform_values(counts, lambda _, n: F.greatest(n, F.lit(0)).cast("long"))).drop("__pii_new")
+    both = clean.union(touched.select("doc", text.alias("text"), F.col("__pii_new").alias("new")))
+    number = lambda kind: F.coalesce(F.size(F.filter("new", lambda m: m["kind"] == kind)), F.lit(0))
+    counts = F.create_map([x for kind in KINDS for x in (F.lit(kind), F.greatest(number(kind), F.lit(0)).cast("long"))])
+    names = [F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns]
+    return both.select(*names, counts.alias("__pii_counts"))
