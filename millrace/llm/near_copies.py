@@ -10,14 +10,13 @@ the full sets of 64-bit shingle hashes.
 2. Rows with equal sets are one class, so copies never meet as pairs.
 3. Each of ``BANDS`` bands of ``ROWS`` slots is a bucket.  A pair with similarity 0.75 shares no bucket with a chance
    of about 2 in 10,000.
-4. Round 0 compares each class with the smallest class of each of its buckets, so a large group of near copies joins
-   at once.  A later round r compares members ``LEADERS * (r - 1)`` to ``LEADERS * r`` of each bucket, where they
-   belong to another component, with all members after them.  The rounds go on until no bucket has two components
-   with members not yet compared, so every pair of a bucket is compared or already connected, without emitting all
-   pairs of a group.
-5. Pairs whose signatures agree in fewer than ``SIEVE`` of the slots are left out (seven standard deviations below
-   0.75); the others are confirmed on the two whole texts.
-6. Links are joined into components by star contraction.
+4. Each class is first compared with the hub of each of its buckets, the class that shares most buckets with others.
+   A large group of near copies joins at once through the text it was copied from.
+5. Buckets that still hold several components are compared inside tasks, by signatures only: large buckets are cut
+   into blocks of ``BLOCK`` classes and each pair of blocks is a task's work.  Only pairs of different components whose
+   signatures agree in at least ``SIEVE`` of the slots leave a task (3.7 standard deviations below 0.75: 1 in 10,000).
+6. Candidates are confirmed on the two whole texts, the most similar ``BEST`` of each class first; links are joined
+   into components, candidates within one component drop out, and so on until no candidate is left.
 
 Null, empty and word-free texts have no shingle and link with nothing.  Rows that share a document id are one document
 for the components.  Null ids: the row is its own component (null).  Empty tables give no row.  Other columns of the
@@ -40,8 +39,9 @@ from millrace.llm.components import components
 WORDS = 5
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
-SIEVE = 0.5
-LEADERS = 32
+SIEVE = 100 / 160
+BLOCK = 1024
+BEST = 4
 
 _SALTS = mix(np.arange(1, WORDS + 3, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -197,12 +197,47 @@ _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of hubs and members whose sketches (columns 2 and 3) are alike."""
     for batch in batches:
-        a, b = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (2, 3)
-        )
-        alike = (a == b).mean(axis=1)
-        yield batch.select(["a", "b"]).filter(pa.array(alike >= SIEVE))
+        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (2, 3))
+        yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= SIEVE))
+
+
+_CANDIDATES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.int32())])
+
+
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (bucket, low, high): each run is one block or two; pairs of different components leave."""
+    out, run, key = Emitter(_CANDIDATES), [], None
+
+    def closed():
+        if sum(len(r[0]) for r in run) < 2:
+            return
+        name, component, side, sketch = (np.concatenate([r[k] for r in run]) for k in range(4))
+        one = key[1] == key[2]
+        for i in range(len(name)):
+            # Within a block each pair once, between blocks only pairs across.
+            others = np.arange(i + 1, len(name)) if one else np.flatnonzero((side == 1) & (side[i] == 0))
+            others = others[component[others] != component[i]]
+            if len(others):
+                same = (sketch[others] == sketch[i]).sum(axis=1)
+                for j in np.flatnonzero(same >= SIEVE * SLOTS).tolist():
+                    x, y = int(name[i]), int(name[others[j]])
+                    yield from out.add(min(x, y), max(x, y), int(same[j]))
+
+    for batch in batches:
+        column = {n: batch.column(n).to_numpy() for n in ("bucket", "low", "high", "class", "component", "side")}
+        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        changed = [column[n][1:] != column[n][:-1] for n in ("bucket", "low", "high")]
+        bounds = np.concatenate([[0], np.flatnonzero(np.logical_or.reduce(changed)) + 1, [batch.num_rows]]).tolist()
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            now = tuple(int(column[n][start]) for n in ("bucket", "low", "high"))
+            if now != key:
+                yield from closed()
+                run, key = [], now
+            run.append((*(column[n][start:end] for n in ("class", "component", "side")), sketch[start:end]))
+    yield from closed()
+    yield from out.flush()
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -223,54 +258,72 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out.flush()
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that the link rule confirms."""
-    sketches = classes.select("class", "sketch")
-    both = pairs.join(sketches.select(F.col("class").alias("a"), F.col("sketch").alias("x")), "a")
-    both = both.join(sketches.select(F.col("class").alias("b"), F.col("sketch").alias("y")), "b").select("a", "b", "x", "y")
-    left = keep(both.mapInArrow(_sieve, "a long, b long"), "pairs")
-    texted = left.join(texts.select(F.col("class").alias("b"), F.col("text").alias("y")), "b")
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that the link rule confirms on their whole texts."""
+    texted = pairs.select("a", "b").join(texts.select(F.col("class").alias("b"), F.col("text").alias("y")), "b")
     texted = texted.join(texts.select(F.col("class").alias("a"), F.col("text").alias("x")), "a").select("a", "b", "x", "y")
     return texted.mapInArrow(_confirm, "a long, b long")
 
 
+def _with_components(rows: DataFrame, joined: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the component of the class in column ``name``, as ``component``."""
+    found = rows.join(joined.withColumnRenamed("node", name), name, "left")
+    return found.withColumn("component", F.coalesce("component", name))
+
+
+def _candidates(members: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
+    """Pairs of different components whose sketches are alike: a, b, same (slots that agree)."""
+    now = keep(_with_components(members.select("bucket", "class"), joined, "class"), "members")
+    mixed = now.groupBy("bucket").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
+    mixed = mixed.where("least <> most").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    rows = now.join(mixed, "bucket").join(classes.select("class", "sketch"), "class")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
+        (F.col("block") > F.col("with")).cast("int").alias("side"), "class", "component", "sketch",
+    )
+    tasks = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    return tasks.mapInArrow(_within, "a long, b long, same int").distinct()
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
-    What moves: 150 bytes and 32 bucket numbers per class, then bucket members that meet another class, then the
-    texts of classes that have a candidate.  Sets themselves are never stored.
+    What moves: a sketch and 32 bucket numbers per class, the bucket members that meet another class, and the texts
+    of classes that have a candidate.  Sets themselves are never stored.
     """
-    spark = docs.sparkSession
     signed = keep(sign(docs), "signed")
     named = signed.where("n_shingles > 0 and doc_id is not null")
     classes = named.groupBy("set_key").agg(F.min("doc_id").alias("class"), F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets"))
     classes = keep(classes, "classes")
     rows = classes.select("class", F.explode("buckets").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class").alias("lead")).where("size > 1")
-    members = keep(rows.join(shared, "bucket").select("bucket", "class", "lead"), "members")
-
-    needed = members.select("class").distinct()
-    texts = docs.select(F.col("doc_id").alias("class"), "text").join(needed, "class", "left_semi")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = keep(rows.join(shared, "bucket").select("bucket", "class", "size"), "members")
+    weights = members.groupBy("class").agg(F.sum("size").alias("weight"))
+    weighed = members.select("bucket", "class").join(weights, "class")
+    hubs = weighed.groupBy("bucket").agg(F.max_by("class", F.struct("weight", -F.col("class"))).alias("hub"))
+    texts = docs.select(F.col("doc_id").alias("class"), "text").join(weights.select("class"), "class", "left_semi")
     texts = keep(texts.withColumn("hash", F.xxhash64("text")).dropDuplicates(["class", "hash"]).drop("hash"), "texts")
 
-    pairs = members.where("class <> lead").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct()
-    order = Window.partitionBy("bucket").orderBy("class")
-    ranked = keep(members.select("bucket", "class", (F.row_number().over(order) - 1).alias("place")), "ranked")
-    joined, number = None, 0
-    while True:
-        found = _linked(pairs, classes, texts)
-        joined = components(found if joined is None else found.union(joined.where("node <> component")))
-        number += 1
-        now = ranked.join(joined.withColumnRenamed("node", "class"), "class", "left")
-        now = now.select("bucket", "class", "place", F.coalesce("component", "class").alias("component"))
-        after = 1 + LEADERS * (number - 1)
-        rest = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("place").alias("last"))
-        rest = rest.where(f"low <> high and last > {after}").select("bucket")
-        now = keep(now.where(f"place >= {after}").join(rest, "bucket", "left_semi"), "open")
-        if now.isEmpty():
-            break
-        leaders = now.where(f"place < {after + LEADERS}").select("bucket", F.col("class").alias("a"), F.col("place").alias("p"), F.col("component").alias("c"))
-        pairs = now.join(leaders, "bucket").where("place > p and component <> c").select("a", F.col("class").alias("b")).distinct()
+    pairs = members.join(hubs, "bucket").where("class <> hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    sketches = classes.select("class", "sketch")
+    pairs = pairs.join(sketches.select(F.col("class").alias("a"), F.col("sketch").alias("x")), "a")
+    pairs = pairs.join(sketches.select(F.col("class").alias("b"), F.col("sketch").alias("y")), "b").select("a", "b", "x", "y")
+    pairs = keep(pairs.mapInArrow(_sieve, "a long, b long"), "pairs")
+    # Rows of one id with different sets are one document: their classes belong together.
+    twins = named.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high")
+    twins = named.join(twins.select("doc_id"), "doc_id", "left_semi").join(classes.select("set_key", "class"), "set_key")
+    twins = twins.join(twins.groupBy("doc_id").agg(F.min("class").alias("a")), "doc_id").select("a", F.col("class").alias("b"))
+    joined = components(_confirmed(pairs, texts).union(twins))
+
+    rest = keep(_candidates(members, classes, joined).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    while not rest.isEmpty():
+        best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("same"), "b"))
+        ranked = keep(rest.withColumn("place", best), "ranked")
+        found = _confirmed(ranked.where(F.col("place") <= BEST), texts)
+        joined = components(found.union(joined.where("node <> component")))
+        left = _with_components(ranked.where(F.col("place") > BEST).select("a", "b", "same"), joined, "a").withColumnRenamed("component", "c")
+        rest = keep(_with_components(left, joined, "b").where("component <> c").select("a", "b", "same"), "candidates")
     out = signed.join(classes.select("set_key", "class"), "set_key", "left")
     out = out.join(joined.withColumnRenamed("node", "class"), "class", "left")
     component = F.coalesce("component", "class", "doc_id")
