@@ -41,22 +41,22 @@ def log_of(rows: DataFrame) -> DataFrame:
 
 
 def fold(events: DataFrame) -> DataFrame:
-    """Final messages: conv_id, turn, place, role, text.
+    """Final messages: conv_id, turn, place, role (the last one given), text.
 
     The last reset of each message and the last cut at or before its turn bound its live events from below.  Running
     over a conversation's turns needs one small row per message, never the texts.
     """
     last = lambda kinds: F.max(F.when(F.col("kind").isin(*kinds), F.col("seq")))
-    bounds = events.groupBy(*_MESSAGE).agg(last(_RESETS).alias("reset"), last(_CUTS).alias("cut"))
+    role = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq")))
+    bounds = events.groupBy(*_MESSAGE).agg(last(_RESETS).alias("reset"), last(_CUTS).alias("cut"), F.coalesce(role, F.lit("")).alias("role"))
     before = Window.partitionBy("conv_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    bounds = bounds.select(*_MESSAGE, F.greatest("reset", F.max("cut").over(before)).alias("since"))
+    bounds = bounds.select(*_MESSAGE, "role", F.greatest("reset", F.max("cut").over(before)).alias("since"))
     e, b = events.alias("e"), bounds.alias("b")
     same = [F.col(f"e.{c}").eqNullSafe(F.col(f"b.{c}")) for c in _MESSAGE]
     live = e.join(b, same[0] & same[1] & same[2]).where("b.since is null or e.seq >= b.since")
     kept = F.array_sort(F.collect_list(F.struct("e.seq", "e.kind", "e.text")))
     text = F.array_join(F.transform(kept, lambda x: F.coalesce(x["text"], F.lit(""))), "")
-    role = F.max_by("e.role", F.when(F.col("e.role").isNotNull(), F.col("e.seq")))
-    return live.groupBy(*[F.col(f"e.{c}") for c in _MESSAGE]).agg(F.coalesce(role, F.lit("")).alias("role"), text.alias("text"))
+    return live.groupBy(*[F.col(f"e.{c}") for c in _MESSAGE], "b.role").agg(text.alias("text"))
 
 
 def escape(text: Column) -> Column:

@@ -59,7 +59,7 @@ def fit(cells: DataFrame, targets: dict[str, float | dict[str, float]], toleranc
             cells = cells.withColumn("fitted", F.when(total > 0, F.col("fitted") * F.col(f"t_{name}") / total).otherwise(0.0))
         cells = keep(cells, "cells")
         off = [F.abs(F.sum("fitted").over(Window.partitionBy(name)) - F.col(f"t_{name}")) for name in targets]
-        worst = cells.select(F.greatest(*off).alias("off")).agg(F.max("off")).first()[0]
+        worst = cells.select(F.array_max(F.array(*off)).alias("off")).agg(F.max("off")).first()[0]
         if worst is None or worst <= tolerance:
             break
     return cells
