@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bound_batches, utf8
+from millrace.llm.common import bound_batches, keep, utf8
 from millrace.session import path_exists
 
 _CACHE = pa.schema([("digest", pa.binary()), ("version", pa.string()), ("n_tokens", pa.int64())])
@@ -78,6 +78,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096)
     missing = missing.join(read_cache(spark, cache, version), "digest", "left_anti")
     missing.mapInArrow(_encoder(tokenizer, version), _CACHE_DDL).write.mode("append").parquet(cache)
     sizes = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
-    return sizes.join(read_cache(spark, cache, version), "digest").select(
+    # Written once, so that both sides of the join are plain exchanges and Spark can split a digest that many rows share.
+    counts = keep(read_cache(spark, cache, version), "counts")
+    return sizes.join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
