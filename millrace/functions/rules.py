@@ -31,12 +31,13 @@ class RuleError(ValueError):
 
 @dataclass(frozen=True)
 class Value:
-    """SQL text of one operand: ``kind`` is int, double, mixed, string or bool."""
+    """SQL text of one operand: ``kind`` is int, double, mixed, string, bool or null."""
 
     kind: str
     sql: str  # the value; for mixed the value as double
     whole: str = ""  # mixed only: the value as bigint
     is_whole: str = ""  # mixed only: whether the row holds a whole value
+    raw: str = ""  # mixed only: the text itself
 
     @property
     def double(self) -> str:
@@ -46,6 +47,10 @@ class Value:
     def long(self) -> str:
         return self.whole if self.kind == "mixed" else self.sql
 
+    @property
+    def text(self) -> str:
+        return self.raw or f"cast({self.sql} as string)"
+
     @property
     def flag(self) -> str:
         return {"int": "true", "double": "false"}.get(self.kind, self.is_whole)
@@ -72,7 +77,7 @@ def _column(name: str, dtype: T.DataType, text_is_number: bool) -> Value:
     s = f"cast({ref} as string)"
     number = f"(case when {s} rlike '{_NUMBER}' then try_cast({s} as double) end)"
     whole = f"(case when {s} rlike '{_WHOLE}' then try_cast({s} as bigint) end)"
-    return Value("mixed", number, whole, f"({s} rlike '{_WHOLE}')")
+    return Value("mixed", number, whole, f"({s} rlike '{_WHOLE}')", s)
 
 
 _TRY = {ast.Add: "try_add", ast.Sub: "try_subtract", ast.Mult: "try_multiply", ast.Mod: "try_mod"}
@@ -86,6 +91,8 @@ _TEXT_FUNCTIONS = {
     "string.contains": ("bool", "contains({0}, {1})"),
     "string.startsWith": ("bool", "startswith({0}, {1})"),
     "string.endsWith": ("bool", "endswith({0}, {1})"),
+    "string.replace_all": ("string", "regexp_replace({0}, {1}, {2})"),
+    "date_to_string": ("string", "date_format(try_cast({0} as timestamp), {1})"),
     "string.indexOf": ("int", "cast(instr({0}, {1}) - 1 as bigint)"),
 }
 _MATH_FUNCTIONS = {
@@ -132,6 +139,11 @@ def _arith(op: ast.operator, a: Value, b: Value) -> Value:
 
 
 def _compare(op: ast.cmpop, a: Value, b: Value) -> Value:
+    if isinstance(op, ast.In):
+        return Value("bool", f"({a.text} rlike concat('\\\\A(?:', {b.sql}, ')\\\\z'))")
+    if "null" in (a.kind, b.kind) and isinstance(op, (ast.Eq, ast.NotEq)):
+        value = b if a.kind == "null" else a
+        return Value("bool", f"({value.raw or value.sql} is {'not ' if isinstance(op, ast.NotEq) else ''}null)")
     if type(op) not in _COMPARE:
         raise RuleError(f"comparison {type(op).__name__} is not supported")
     if a.kind in _NUMERIC and b.kind in _NUMERIC:
@@ -143,16 +155,41 @@ def _compare(op: ast.cmpop, a: Value, b: Value) -> Value:
     return Value("bool", f"({left} {_COMPARE[type(op)]} {right})")
 
 
+def _either(test: Value, a: Value, b: Value) -> Value:
+    """``test ? a : b``; a test that is null takes the second value."""
+    if test.kind != "bool":
+        raise RuleError(f"a condition is needed, not {test.kind}")
+    case = lambda x, y: f"(case when {test.sql} then {x} else {y} end)"
+    if "null" in (a.kind, b.kind) or a.kind == b.kind != "mixed":
+        other = b if a.kind == "null" else a
+        if other.kind == "mixed":
+            missing = lambda v, form: "null" if v.kind == "null" else form(v)
+            forms = [lambda v: v.double, lambda v: v.long, lambda v: v.flag]
+            return Value("mixed", *(case(missing(a, f), missing(b, f)) for f in forms))
+        return Value(other.kind, case(a.sql, b.sql))
+    if a.kind in _NUMERIC and b.kind in _NUMERIC:
+        if "double" in (a.kind, b.kind):
+            return Value("double", case(a.double, b.double))
+        return Value("mixed", case(a.double, b.double), case(a.long, b.long), case(a.flag, b.flag))
+    raise RuleError(f"{a.kind} and {b.kind} in one conditional")
+
+
 def _call(node: ast.Call, walk) -> Value:
     name = ast.unparse(node.func)
     args = [walk(a) for a in node.args]
+    if name == "_if":
+        return _either(*args)
     if name in _TEXT_FUNCTIONS:
         kind, form = _TEXT_FUNCTIONS[name]
-        return Value(kind, form.format(*(f"cast({a.sql} as string)" for a in args)))
+        return Value(kind, form.format(*(a.text for a in args)))
     if name == "string.substring" and len(args) in (2, 3):
         s, begin = args[0].sql, args[1].long
         length = f"{args[2].long} - {begin}" if len(args) == 3 else f"length({s})"
         return Value("string", f"substring({s}, cast({begin} + 1 as int), cast({length} as int))")
+    if name == "math.abs" and args[0].kind in ("int", "mixed"):
+        a = args[0]
+        whole, fraction = f"(case when {a.long} < 0 then try_subtract(0L, {a.long}) else {a.long} end)", f"abs({a.double})"
+        return Value("int", whole) if a.kind == "int" else Value("mixed", fraction, whole, a.flag)
     if name in _MATH_FUNCTIONS:
         return Value("double", _MATH_FUNCTIONS[name].format(*(a.double for a in args)))
     if name == "math.round":
@@ -166,17 +203,72 @@ def _call(node: ast.Call, walk) -> Value:
     raise RuleError(f"function {name} is not supported")
 
 
+_QUOTED = re.compile(r"('[^']*'|\"[^\"]*\")")
+
+
 def _python_form(rule: str) -> str:
-    """``&&``, ``||`` and ``!`` spelled as Python reads them, outside quoted text."""
-    out = []
-    for piece in re.split(r"('[^']*'|\"[^\"]*\")", rule):
-        if piece[:1] not in ("'", '"'):
-            if "?" in piece or "=~" in piece:
-                raise RuleError("conditional and regex-match operators are not supported: use a filter or a column")
-            piece = piece.replace("&&", " and ").replace("||", " or ")
-            piece = re.sub(r"!(?!=)", " not ", piece)
-        out.append(piece)
-    return "".join(out).strip()
+    """``&&``, ``||``, ``!``, ``=~``, ``nil`` and ``?:`` spelled as Python reads them, outside quoted text."""
+    rule = re.sub(r"=~\s*/((?:[^/\\\"]|\\.)*)/", lambda m: "=~ \"" + m.group(1).replace("\\/", "/") + "\"", rule)
+    quoted = _QUOTED.findall(rule)
+    # quoted texts are put aside, as marks no rule can hold, and come back at the end
+    text = _QUOTED.sub("\x00", rule)
+    text = text.replace("&&", " and ").replace("||", " or ").replace("=~", " in ")
+    text = re.sub(r"!(?!=)", " not ", text)
+    text = re.sub(r"\bnil\b", "None", text)
+    text = _conditional(text)
+    for q in quoted:
+        text = text.replace("\x00", q.replace("\\", "\\\\"), 1)
+    return text.strip()
+
+
+def _conditional(text: str) -> str:
+    """``c ? a : b`` as ``_if(c, a, b)``, innermost brackets first; ``?`` binds weakest and to the right."""
+    depth, start, parts = 0, None, []
+    for i, c in enumerate(text):
+        if c == "(":
+            if depth == 0:
+                start = i
+            depth += 1
+        elif c == ")":
+            depth -= 1
+            if depth == 0:
+                parts.append((start, i))
+    out, last = [], 0
+    for lo, hi in parts:
+        inner = ",".join(_conditional(x) for x in _split_top(text[lo + 1:hi], ","))
+        out += [text[last:lo + 1], inner, ")"]
+        last = hi + 1
+    text = "".join(out) + text[last:]
+    at = _top(text, "?")
+    if at is None:
+        return text
+    level = 0
+    for i in range(at + 1, len(text)):
+        if text[i] == "?" and _top(text[:i + 1], "?", at + 1) is not None:
+            level += 1
+        elif text[i] == ":" and text[:i].count("(") == text[:i].count(")"):
+            if level == 0:
+                return f"_if({text[:at]}, {_conditional(text[at + 1:i])}, {_conditional(text[i + 1:])})"
+            level -= 1
+    raise RuleError(f"':' is missing after '?' in {text!r}")
+
+
+def _top(text: str, sign: str, start: int = 0) -> int | None:
+    """First place of a sign outside brackets."""
+    depth = 0
+    for i, c in enumerate(text):
+        depth += (c == "(") - (c == ")")
+        if i >= start and depth == 0 and c == sign:
+            return i
+    return None
+
+
+def _split_top(text: str, sign: str) -> list[str]:
+    out, at = [], 0
+    while (i := _top(text, sign, at)) is not None:
+        out.append(text[at:i])
+        at = i + 1
+    return [*out, text[at:]]
 
 
 def rule_value(rule: str, schema: T.StructType, text_is_number: bool = True) -> Value:
@@ -197,6 +289,8 @@ def rule_value(rule: str, schema: T.StructType, text_is_number: bool = True) ->
     def walk(node: ast.expr) -> Value:
         if isinstance(node, ast.Constant):
             v = node.value
+            if v is None:
+                return Value("null", "null")
             if isinstance(v, bool):
                 return Value("bool", str(v).lower())
             if isinstance(v, int):

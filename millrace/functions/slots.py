@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 SLOTS = 1024
-_UNROLL = 32
 
 
 def segments(counts: list[int], lengths: list[int]) -> list[int]:
@@ -39,65 +36,25 @@ def int_slot(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint").bitwiseAND(F.lit(SLOTS - 1)), F.lit(0)).cast("int")
 
 
-def _slice_bounds(length: Column, start: int, end: int) -> tuple[Column, Column, int | None]:
-    """First index, end index and, where the slice limits it, the greatest length of the part."""
-    first = F.lit(start) if start >= 0 else F.greatest(length + start, F.lit(0))
-    last = F.least(F.lit(end), length) if end > 0 else length + end
-    if start >= 0 and end > 0:
-        longest = end - start
-    elif start < 0 and end <= 0:
-        longest = end - start
-    elif start < 0:
-        longest = min(-start, end)
-    else:
-        longest = None
-    return first, last, longest
-
-
 def string_slot(c: Column, hash_slice: str | int = "0:8") -> Column:
-    """Low ten bits of ``h = 31 * h + char`` over a slice of the key.
+    """Low ten bits of ``h = 31 * h + unit`` over a slice of the key's UTF-16 units.
 
-    Only the low ten bits matter and multiplication keeps them exact, so the
-    hash is reduced as it goes and cannot overflow.  A slice of limited length
-    is plain arithmetic in generated code, by code point (keys outside the
-    basic plane differ from a UTF-16 unit hash).  A slice that may cover the
-    whole key is hashed on Arrow batches, by UTF-16 unit.
+    One rule for every slice: the units are four hex digits each of the UTF-16
+    form, and only the low ten bits are kept on the way, which multiplication
+    keeps exact.  No Python and no branch on the length of slice or key.
     """
     start, end = parse_slice(hash_slice)
-    s = F.coalesce(c.cast("string"), F.lit(""))
-    first, last, longest = _slice_bounds(F.length(s), start, end)
-    if longest is None:
-        return _unit_hash(s, F.lit(start), F.lit(end))
-    if longest <= 0:
-        return F.lit(0)
-    if longest > _UNROLL:
-        return _unit_hash(s, F.lit(start), F.lit(end))
-    # 31 has an inverse modulo 1024: sum(c_i * 31**-i) * 31**(n-1) needs no
-    # branch per character, whatever the length of the key.
-    n = F.greatest(last - first, F.lit(0))
-    part = F.substring(s, first + 1, n)
-    total: Column = F.lit(0).cast("bigint")
-    for i in range(longest):
-        total = total + F.ascii(F.substring(part, i + 1, 1)).cast("bigint") * F.lit(pow(31, -i, SLOTS))
-    scale = F.element_at(F.lit([0] + [pow(31, k, SLOTS) for k in range(longest)]), n + 1)
-    return (total.bitwiseAND(F.lit(SLOTS - 1)) * scale).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-
-
-@F.pandas_udf(T.IntegerType())
-def _unit_hash(keys: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    start, end = int(starts.iloc[0]), int(ends.iloc[0])
-    # 31**32 is 1 modulo 1024: characters 32 apart have the same weight
-    weights = np.array([pow(31, 31 - k, SLOTS) for k in range(32)], dtype=np.int64)
-
-    def one(key: str) -> int:
-        units = np.frombuffer(key.encode("utf-16-le", "surrogatepass"), dtype="<u2")
-        lo = start if start >= 0 else max(len(units) + start, 0)
-        hi = min(end, len(units)) if end > 0 else len(units) + end
-        units = units[lo:max(hi, lo)]
-        units = np.concatenate([np.zeros(-len(units) % 32, dtype=units.dtype), units])
-        return int(units.reshape(-1, 32).sum(axis=0, dtype=np.int64) @ weights) & (SLOTS - 1)
-
-    return keys.map(one).astype("int32")
+    units = F.hex(F.encode(F.coalesce(c.cast("string"), F.lit("")), "UTF-16BE"))
+    length = F.length(units) / 4
+    first = F.lit(start) if start >= 0 else F.greatest(length + start, F.lit(0))
+    last = F.least(F.lit(end), length) if end > 0 else length + end
+    places = F.sequence(first.cast("int"), last.cast("int") - 1)
+
+    def step(h: Column, i: Column) -> Column:
+        unit = F.conv(units.substr(i * 4 + 1, F.lit(4)), 16, 10).cast("int")
+        return (h * 31 + unit).bitwiseAND(F.lit(SLOTS - 1))
+
+    return F.when(last.cast("int") > first.cast("int"), F.aggregate(places, F.lit(0), step)).otherwise(0)
 
 
 def shard_of(slot: Column, counts: list[int], lengths: list[int]) -> Column:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.text import field
-from millrace.operators.rowops import REASON, VALID, rejected_rows, valid_rows
+from millrace.operators.rowops import REASON, VALID, is_valid, rejected_rows, valid_rows
 from millrace.session import open_writers
 
 
@@ -17,7 +16,7 @@ class RunCounts:
     """Run totals of the source side, and the rows given to the sink.
 
     ``input == output + filtered``; a projection stores ``output`` rows, a
-    group-by one row per group.  ``stored`` is None where the sink reports nothing.
+    group-by one row per group.  ``stored`` is None in a validate-only run.
     """
 
     input: int
@@ -28,7 +27,7 @@ class RunCounts:
 
 def count_rows(marked: DataFrame) -> DataFrame:
     """Validate-only run: input, accepted and rejected rows, nothing stored."""
-    ok = field(VALID).cast("bigint")
+    ok = is_valid().cast("bigint")
     return marked.agg(
         F.count(F.lit(1)).alias("input_rows"),
         F.coalesce(F.sum(ok), F.lit(0)).cast("bigint").alias("valid_rows"),
@@ -36,42 +35,6 @@ def count_rows(marked: DataFrame) -> DataFrame:
     )
 
 
-def observe_counts(marked: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count while the rows pass on their way to the sink; no extra job."""
-    seen = Observation(name)
-    ok = field(VALID).cast("bigint")
-    return (
-        marked.observe(seen, F.count(F.lit(1)).alias("input"), F.coalesce(F.sum(ok), F.lit(0)).alias("valid")),
-        seen,
-    )
-
-
-def _reported(seen: Observation, patience: float) -> dict | None:
-    """Metrics of an observation; they arrive shortly after the action, or never."""
-    until = time.monotonic() + patience
-    while not seen._jo.future().isCompleted():
-        if time.monotonic() > until:
-            return None
-        time.sleep(0.02)
-    return seen.get
-
-
-def observed(seen: Observation, marked: DataFrame, stored: Observation | None = None, patience: float = 5.0) -> RunCounts:
-    """Counts gathered by ``observe_counts`` (and of the stored rows).
-
-    A sink that leaves the DataFrame API (a sequence file) reports nothing; the
-    rows are then counted by a query of their own.
-    """
-    counts = _reported(seen, patience)
-    if counts is None:
-        total, valid, bad = count_rows(marked).first()
-        return RunCounts(total, valid, bad)
-    given = _reported(stored, patience) if stored is not None else None
-    return RunCounts(
-        counts["input"], counts["valid"], counts["input"] - counts["valid"], given["stored"] if given else None
-    )
-
-
 def write_split(marked: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", **options) -> None:
     """Accepted and rejected rows to ``<path>/_valid=true`` and ``<path>/_valid=false``.
 
@@ -79,7 +42,7 @@ def write_split(marked: DataFrame, path: str, fmt: str = "parquet", mode: str =
     Accepted rows carry an empty reject reason.
     """
     with open_writers(marked.sparkSession, 2):
-        marked.write.format(fmt).options(**options).partitionBy(VALID).mode(mode).save(path)
+        marked.withColumn(VALID, is_valid()).write.format(fmt).options(**options).partitionBy(VALID).mode(mode).save(path)
 
 
 def read_split(spark, path: str, schema=None, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
@@ -93,6 +56,6 @@ def reject_lines(marked: DataFrame, sep: str = ",") -> DataFrame:
     """Rejected rows as text lines ``reason<tab>fields`` for a reject file."""
     data = [c for c in marked.columns if c not in (VALID, REASON)]
     text = F.concat_ws(sep, *[F.coalesce(field(c).cast("string"), F.lit("")) for c in data])
-    return marked.filter(~field(VALID)).select(
+    return marked.filter(~is_valid()).select(
         F.concat_ws("\t", F.coalesce(field(REASON), F.lit("")), text).alias("value")
     )

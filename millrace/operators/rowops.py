@@ -150,8 +150,9 @@ def apply_ops(df: DataFrame, ops: Sequence, combine: str = "all", only: Sequence
     """Run the chain in listed order and mark every row.
 
     ``combine="all"``: a row must pass every filter; ``"last"``: the last filter
-    that applies decides alone.  ``only`` lists the columns operations may not
-    change (group keys after grouping is fixed).
+    that applies decides alone; rows that came rejected into the chain stay so.
+    ``only`` lists the columns operations may not change (group keys after
+    grouping is fixed).
     """
     if combine not in ("all", "last"):
         raise SpecError(f"unknown filter rule {combine!r}")
@@ -186,12 +187,17 @@ def _writes(op, column: str) -> bool:
     return column in names
 
 
+def is_valid() -> Column:
+    """Whether a marked row is accepted; a mark that is null rejects it."""
+    return F.coalesce(field(VALID), F.lit(False))
+
+
 def valid_rows(df: DataFrame) -> DataFrame:
-    return df.filter(field(VALID)).drop(VALID, REASON)
+    return df.filter(is_valid()).drop(VALID, REASON)
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:
-    return df.filter(~field(VALID)).drop(VALID)
+    return df.filter(~is_valid()).drop(VALID)
 
 
 OPERATION_NAMES = ("digit", "filter", "replace", "filename", "reverse", "conreplace")

@@ -2,29 +2,46 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.aggregate import summarize
-from millrace.operators.hooks import flat_map_rows
+from millrace.operators.hooks import flat_map_rows, map_lines
 from millrace.operators.project import apply_column_functions, project
-from millrace.operators.rejects import RunCounts, observe_counts, observed, read_split, write_split
-from millrace.operators.rowops import REASON, VALID, apply_ops, mark_valid, rejected_rows, valid_rows
+from millrace.operators.rejects import RunCounts, count_rows, read_split, write_split
+from millrace.operators.rowops import REASON, VALID, apply_ops, is_valid, mark_valid, valid_rows
 from millrace.plans.spec import JobSpec, SpecError, is_projection
 from millrace.session import scratch_path
 from millrace.sources.archives import read_archive_lines
 from millrace.sources.text import parse_fields
 
 
-def marked_rows(spark: SparkSession, spec: JobSpec) -> DataFrame:
-    """Source, row hook and row operations; every row carries ``_valid`` and a reason."""
+def source_rows(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    """Rows of the source; with a line hook the source gives lines and ``parse`` makes rows of them."""
     df = spec.source(spark) if callable(spec.source) else spec.source
+    if spec.line_hook:
+        df = map_lines(df, spec.line_hook)
+    return spec.parse(df) if spec.parse else df
+
+
+def marked_rows(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    """Source, hooks and all row operations; every row carries ``_valid`` and a reason.
+
+    Operations after grouping see single rows with read-only keys, so they are
+    part of this chain and what they reject is counted like any other reject.
+    """
+    df = source_rows(spark, spec)
     if spec.row_hook:
         df = spec.row_hook(df)
-    pre, _ = spec.parsed_ops()
-    return apply_ops(mark_valid(df), pre, spec.combine)
+    pre, post = spec.parsed_ops()
+    marked = apply_ops(mark_valid(df), pre, spec.combine)
+    if not post:
+        return marked
+    before = marked.withColumn("_before", is_valid())
+    keys = [m.src for m in spec.fields() if m.method == "NONE"]
+    after = apply_ops(before, post, spec.combine, only=keys)
+    return after.withColumn(VALID, is_valid() & F.col("_before")).drop("_before")
 
 
 def shape(marked: DataFrame, spec: JobSpec) -> DataFrame:
@@ -35,16 +52,16 @@ def shape(marked: DataFrame, spec: JobSpec) -> DataFrame:
     if is_projection(mapping):
         out = project(rows, mapping, spec.defaults)
     else:
-        _, post = spec.parsed_ops()
         out = summarize(
             rows,
             mapping,
             defaults=spec.defaults,
-            post_shuffle_ops=post,
             nulls_as_zero=spec.nulls_as_zero,
             empty_as_null=spec.empty_as_null,
             combine=spec.combine,
         )
+    if spec.group_hook:
+        out = spec.group_hook(out)
     if spec.finalize:
         out = spec.finalize(out)
     if spec.column_functions:
@@ -57,38 +74,35 @@ def build(spark: SparkSession, spec: JobSpec) -> DataFrame:
     return shape(marked_rows(spark, spec.validate()), spec)
 
 
-def run(spark: SparkSession, spec: JobSpec, stage: bool = False) -> RunCounts:
-    """Run a job with its sinks and return the row counts of the source side.
+def run(spark: SparkSession, spec: JobSpec) -> RunCounts:
+    """Run a job with its sinks and return the row counts.
 
-    Rows are counted while they flow to the sink.  A reject sink reads the
-    source a second time, which is cheaper than storing it unless a Python hook
-    makes rows expensive or not repeatable: then ``stage`` writes the marked
-    rows once to the shared scratch folder and both sinks read that.
+    The marked rows are written once to the shared scratch folder, accepted and
+    rejected apart.  Both sinks read that copy, so the source and its hooks run
+    once, and every count is taken from written rows: a sink that evaluates its
+    input several times, a retried task or a lost executor changes none.
     """
     if not spec.validate_only and spec.sink is None:
         raise SpecError("the job has no sink")
-    marked, seen = observe_counts(marked_rows(spark, spec.validate()), f"rows-{uuid.uuid4().hex}")
-    stored = None
-
-    def deliver(result: DataFrame) -> None:
-        nonlocal stored
-        stored = Observation(f"stored-{uuid.uuid4().hex}")
-        spec.sink(result.observe(stored, F.count(F.lit(1)).alias("stored")))
-
+    marked = marked_rows(spark, spec.validate())
     if spec.validate_only:
-        marked.write.format("noop").mode("overwrite").save()
-    elif stage:
-        path = scratch_path(spark, "marked") + "/rows"
-        write_split(marked, path)
-        accepted, rejected = read_split(spark, path, marked.schema)
-        deliver(shape(mark_valid(accepted), spec))
-        if spec.reject_sink:
-            spec.reject_sink(rejected)
-    else:
-        deliver(shape(marked, spec))
-        if spec.reject_sink:
-            spec.reject_sink(rejected_rows(marked_rows(spark, spec)))
-    return observed(seen, marked_rows(spark, spec), stored)
+        return RunCounts(*count_rows(marked).first())
+    path = scratch_path(spark, "marked") + "/rows"
+    write_split(marked, path)
+    accepted, rejected = read_split(spark, path, marked.schema)
+    valid, bad = accepted.count(), rejected.count()
+    result = shape(mark_valid(accepted), spec)
+    stored = valid
+    if not is_projection(spec.fields()) or spec.finalize or spec.group_hook:
+        # Groups are few against rows; written once, they are counted and stored from the same copy.
+        place = scratch_path(spark, "result") + "/rows"
+        result.write.parquet(place)
+        result = spark.read.schema(result.schema).parquet(place)
+        stored = result.count()
+    spec.sink(result)
+    if spec.reject_sink:
+        spec.reject_sink(rejected)
+    return RunCounts(valid + bad, valid, bad, stored)
 
 
 def sample_rows(df: DataFrame, count: int = 10) -> DataFrame:
@@ -115,7 +129,7 @@ def archive_source(
 
 def totals_by_file(marked: DataFrame, path_column: str = "_file_path") -> DataFrame:
     """Total, accepted and rejected rows per source file."""
-    ok = F.col(VALID).cast("bigint")
+    ok = is_valid().cast("bigint")
     return marked.groupBy(F.col(path_column).alias("file_path")).agg(
         F.count(F.lit(1)).alias("total"), F.sum(ok).alias("success"), F.sum(1 - ok).alias("failed")
     )

@@ -10,17 +10,17 @@ file replaces its earlier rows without any folder being rewritten.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import file_id
 from millrace.operators.latest import latest_per_key, within, without
 from millrace.operators.rejects import write_split
 from millrace.operators.rowops import VALID, mark_valid, rejected_rows, valid_rows
 from millrace.plans.job import totals_by_file
-from millrace.session import collect_small, path_exists
-from millrace.sources.files import MAX_LISTED_PATHS, manifest
+from millrace.session import collect_small, create_file, path_exists, scratch_path
+from millrace.sources.files import manifest
 
 # Status of an attempt.
 INIT, DOING, SUCCESS, FAILED, DELETED = 0, 1, 2, 3, 4
@@ -116,8 +116,22 @@ class Ledger:
         names = [f.name for f in self.spark.createDataFrame([], SCHEMA).schema.fields]
         rows.select(*names).hint("rebalance").write.mode("append").parquet(self.path)
 
-    def next_run(self) -> int:
-        return (self.rows().agg(F.max("run_id")).first()[0] or 0) + 1
+    def claim_run(self, target: str) -> tuple[int, str]:
+        """Number and folder of a new run.
+
+        The folder is claimed by creating a file in it that must not exist yet,
+        so two runs that start together get different numbers.
+        """
+        number = (self.rows().agg(F.max("run_id")).first()[0] or 0) + 1
+        while True:
+            folder = f"{target.rstrip('/')}/run_id={number}"
+            if create_file(self.spark, f"{folder}/_claimed"):
+                return number, folder
+            number += 1
+
+
+#: Files of one write, about; a hash of the path deals them out.
+PORTION = 1000
 
 
 def process_files(
@@ -135,12 +149,17 @@ def process_files(
     between: tuple | None = None,
     regex: str | None = None,
 ) -> int:
-    """One incremental run; returns the number of files processed.
+    """One incremental run; returns the number of files stored.
 
     ``mode``: default, force (all files), run (failures of ``run_id``), time
     (latest attempt in ``between`` failed) or fail (latest attempt failed).
     ``read`` gives rows with ``_file_path`` and, if it checks rows, ``_valid``.
-    A file fails as a whole when the run's data cannot be written.
+
+    The chosen files are listed once, in a scratch table, and go through in
+    portions of about ``PORTION`` files, however many there are.  A portion that
+    cannot be written is halved until the broken file stands alone: that file is
+    FAILED, the others SUCCESS.  Every portion enters the ledger when it is
+    done, so a run that breaks off keeps what it has stored.
     """
     files = identified(manifest(spark, root, regex), source_id)
     old = ledger.rows()
@@ -156,37 +175,52 @@ def process_files(
         }[mode]()
         ledger.append(vanished(failed, files))
         chosen = rerun(files, failed)
-    listed = collect_small(chosen.select("path"), MAX_LISTED_PATHS, "files of a run")
-    if not listed:
+    place = scratch_path(spark, "pending") + "/files"
+    kept = chosen.select("path", "source_id", "file_path", "file_id", "size", "modified")
+    kept.write.parquet(place)
+    listed = spark.read.schema(kept.schema).parquet(place)
+    count = listed.count()
+    if not count:
         return 0
-    paths = [r[0] for r in listed]
-    this_run = ledger.next_run()
-    rows = mark_valid(read(spark, paths))
-    rows = rows.withColumn("file_id", file_id(source_id, plain_path(F.col("_file_path")))).drop("_file_path")
-    base = chosen.select("source_id", "file_path", "file_id", "size", "modified").withColumns(
-        {
-            "run_id": F.lit(this_run), "seq": F.lit(0), "job_id": F.lit(job_id),
-            "start_time": F.lit(run_time), "error_path": F.lit(None).cast("string"),
-        }
-    )
-    folder = f"{target.rstrip('/')}/run_id={this_run}"
+    this_run, folder = ledger.claim_run(target)
+    constants = {
+        "run_id": F.lit(this_run), "seq": F.lit(0), "job_id": F.lit(job_id), "start_time": F.lit(run_time),
+        "error_path": F.lit(None).cast("string"),
+    }
+    portions, stored = -(-count // PORTION), 0
+    share = F.pmod(F.xxhash64("path"), F.lit(portions))
+    for number in range(portions):
+        own = collect_small(listed.filter(share == number), 8 * PORTION, "files of a portion")
+        totals: dict[str, tuple | None] = {}
+        for part, counted in _written(spark, read, source_id, own, f"{folder}/portion={number}"):
+            totals |= {r["file_id"]: counted.get(r["file_id"], (0, 0, 0)) if counted is not None else None for r in part}
+        rows = [(*r[1:], *((SUCCESS, *totals[r["file_id"]]) if totals[r["file_id"]] else (FAILED, None, None, None))) for r in own]
+        names = "status int, total bigint, success bigint, failed bigint"
+        schema = T.StructType([*kept.schema.fields[1:], *T.StructType.fromDDL(names).fields])
+        ledger.append(spark.createDataFrame(rows, schema).withColumns(constants))
+        stored += sum(t is not None for t in totals.values())
+    return stored
+
+
+def _written(spark, read, source_id: int, files: list, folder: str) -> Iterator[tuple[list, dict | None]]:
+    """Write the rows of some files; yields them with their totals by file, or a single broken file with None."""
+    if not files:
+        return
     try:
+        rows = mark_valid(read(spark, [r["path"] for r in files]))
+        rows = rows.withColumn("file_id", file_id(source_id, plain_path(F.col("_file_path")))).drop("_file_path")
         write_split(rows, folder, mode="overwrite")
     except Exception:
-        nothing = F.lit(None).cast("bigint")
-        ledger.append(
-            base.withColumns({"status": F.lit(FAILED), "total": nothing, "success": nothing, "failed": nothing})
-        )
-        raise
+        if len(files) == 1:
+            yield files, None
+            return
+        half = len(files) // 2
+        yield from _written(spark, read, source_id, files[:half], folder + "a")
+        yield from _written(spark, read, source_id, files[half:], folder + "b")
+        return
     # counted on the rows just written: two narrow columns, not the source again
-    written = spark.read.schema(rows.schema).parquet(folder)
-    totals = totals_by_file(written, "file_id").withColumnRenamed("file_path", "file_id")
-    zero = F.lit(0).cast("bigint")
-    done = base.join(totals, "file_id", "left").withColumns(
-        {"status": F.lit(SUCCESS), **{c: F.coalesce(F.col(c), zero) for c in ("total", "success", "failed")}}
-    )
-    ledger.append(done)
-    return len(paths)
+    totals = totals_by_file(spark.read.schema(rows.schema).parquet(folder), "file_id")
+    yield files, {r["file_path"]: (r["total"], r["success"], r["failed"]) for r in totals.collect()}
 
 
 def current_rows(ledger: Ledger, target: str, job_id: str, rejected: bool = False) -> DataFrame:
@@ -200,4 +234,5 @@ def current_rows(ledger: Ledger, target: str, job_id: str, rejected: bool = Fals
         {"run_id": F.col("run_id").cast("bigint"), VALID: F.col(VALID).cast("boolean")}
     )
     rows = within(stored, current, ["run_id", "file_id"])
+    rows = rows.drop("portion")
     return rejected_rows(rows) if rejected else valid_rows(rows)

@@ -62,6 +62,8 @@ class JobSpec:
     mapping: Sequence[FieldMap] | str
     input_fields: Sequence[str] | None = None
     output_fields: Sequence[str] | None = None
+    line_hook: Callable | None = None
+    parse: Callable | None = None
     row_hook: Callable | None = None
     ops: Sequence | str = ()
     post_shuffle_ops: Sequence | str = ()
@@ -72,6 +74,7 @@ class JobSpec:
     nulls_as_zero: bool = True
     empty_as_null: bool = True
     partition_by: Sequence[str] = ()
+    group_hook: Callable | None = None
     finalize: Callable | None = None
     column_functions: Mapping[str, str] = field(default_factory=dict)
     sink: Callable | None = None
@@ -134,6 +137,10 @@ class JobSpec:
                 raise SpecError("duplicate target field in a grouped job")
         elif self.post_shuffle_ops:
             raise SpecError("a projection has no shuffle: use ops")
+        elif self.group_hook:
+            raise SpecError("a projection has no groups: use row_hook")
+        if self.line_hook and not self.parse:
+            raise SpecError("a line hook needs parse, which makes rows of the lines")
         if self.combine not in ("all", "last"):
             raise SpecError(f"unknown filter rule {self.combine!r}")
         return self

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -63,6 +64,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it exists; False if it does."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        fs.create(hadoop_path, False).close()
+    except Py4JJavaError:
+        if fs.exists(hadoop_path):
+            return False
+        raise
+    return True
+
+
 @contextmanager
 def open_writers(spark: SparkSession, count: int):
     """Let a task keep ``count`` partition files open, so a partitioned write needs no sort."""

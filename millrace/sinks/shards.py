@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.slots import int_slot, segments, shard_of, string_slot
 from millrace.functions.text import field
-from millrace.operators.rowops import REASON, VALID, mark_valid
+from millrace.operators.rowops import REASON, VALID, mark_valid, rejected_rows, valid_rows
 from millrace.session import open_writers, scratch_path
 from millrace.sinks.jdbc import write_table
 from millrace.sources.jdbc import Database
 
 NULL_KEY = "null partition key"
+#: Shards written at the same time.
+WRITERS = 8
 
 
 @dataclass(frozen=True)
@@ -78,15 +81,26 @@ def file_values(df: DataFrame) -> list[Column]:
     return out
 
 
+def _with_key(df: DataFrame, sharding: Sharding, reject_sink: Callable[[DataFrame], None] | None) -> DataFrame:
+    marked = reject_null_keys(df, sharding)
+    rejected = rejected_rows(marked)
+    if reject_sink:
+        reject_sink(rejected)
+    elif not rejected.isEmpty():
+        raise ValueError(f"rows with a {NULL_KEY} need a reject sink")
+    return valid_rows(marked).select(*[field(c) for c in df.columns if c not in (VALID, REASON)])
+
+
 def write_shard_files(
     df: DataFrame, sharding: Sharding, path: str, *, sep: str = ",", names: Mapping[int, str] | None = None,
-    mode: str = "errorifexists", rebalance: bool = True,
+    mode: str = "errorifexists", rebalance: bool = True, reject_sink: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """One folder per shard, ``<path>/_shard=<name>``; a large shard is spread over several files.
 
     Without ``rebalance`` nothing is shuffled and every task writes its own file per shard.
+    Rows without a key go to ``reject_sink`` with their reason; without one they are an error.
     """
-    keyed = with_shard(df.filter(sharding.has_key()), sharding)
+    keyed = with_shard(_with_key(df, sharding, reject_sink), sharding)
     shard = F.col("_shard")
     if names:
         pairs = [x for k, v in names.items() for x in (F.lit(k), F.lit(v))]
@@ -100,10 +114,13 @@ def write_shard_files(
 
 
 def write_shard_tables(
-    df: DataFrame, sharding: Sharding, databases: Sequence[Database], table: str, **write_options
+    df: DataFrame, sharding: Sharding, databases: Sequence[Database], table: str,
+    reject_sink: Callable[[DataFrame], None] | None = None, **write_options,
 ) -> dict[int, int]:
     """Each shard's rows to its own database; returns the rows written per shard.
 
+    Rows without a key go to ``reject_sink`` with their reason; without one they are an error.
+
     The routed rows are written once to a staging table in the shared scratch
     folder, partitioned by shard.  Each database then reads its own folder, so
     the input is not recomputed per shard and a lost executor only repeats a
@@ -113,12 +130,15 @@ def write_shard_tables(
         raise ValueError(f"{sharding.size} shards but {len(databases)} databases")
     spark = df.sparkSession
     staged = scratch_path(spark, "shards") + "/rows"
-    keyed = with_shard(df.filter(sharding.has_key()), sharding)
+    keyed = with_shard(_with_key(df, sharding, reject_sink), sharding)
     with open_writers(spark, min(sharding.size, 8)):
         keyed.write.partitionBy("_shard").parquet(staged)
     rows = spark.read.schema(keyed.schema).parquet(staged)
     counts = {r["_shard"]: r["count"] for r in rows.groupBy("_shard").count().collect()}
-    for i, db in enumerate(databases):
-        if counts.get(i):
-            write_table(rows.filter(F.col("_shard") == i).drop("_shard"), db, table, **write_options)
+    def write(i: int) -> None:
+        write_table(rows.filter(F.col("_shard") == i).drop("_shard"), databases[i], table, **write_options)
+
+    # One Spark job per shard, several at a time, as each waits on its own database.
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(write, [i for i in range(len(databases)) if counts.get(i)]))
     return {i: counts.get(i, 0) for i in range(len(databases))}

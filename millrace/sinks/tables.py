@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +15,18 @@ from millrace.sinks.text import max_records
 from millrace.sources.hadoop import require_hive
 
 
+def split_statements(text: str) -> list[str]:
+    """Text cut at ``;``, except within quotes."""
+    return re.findall(r"(?:'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[^;])+", text, re.DOTALL)
+
+
 def run_statements(spark: SparkSession, statements: str | Sequence) -> list[str]:
     """Statements before a write: text separated by ``;`` or ``(sql, ignore_errors)`` pairs.
 
     Returns the messages of ignored errors.
     """
     if isinstance(statements, str):
-        statements = [(s.strip(), False) for s in statements.split(";") if s.strip()]
+        statements = [(s.strip(), False) for s in split_statements(statements) if s.strip()]
     ignored = []
     for item in statements:
         sql, lenient = item if isinstance(item, tuple) else (item, False)

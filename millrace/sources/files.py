@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.text import full_match
-from millrace.session import collect_small
-
-MAX_LISTED_PATHS = 1_000_000
-
 
 def select_by_name(
     df: DataFrame,
@@ -60,7 +56,11 @@ def manifest(
 
 
 def paths_from_query(spark: SparkSession, query: str | DataFrame, column: str | None = None) -> list[str]:
-    """File list from a query; a control list, bounded and checked."""
+    """File list from a query.
+
+    Spark's readers take their paths from the driver, so the list is fetched
+    partition by partition and held as text; a ledger run goes through longer
+    lists in portions.
+    """
     df = spark.sql(query) if isinstance(query, str) else query
-    rows = collect_small(df.select(column or df.columns[0]).distinct(), MAX_LISTED_PATHS, "file list")
-    return sorted(r[0] for r in rows if r[0])
+    return sorted(r[0] for r in df.select(column or df.columns[0]).distinct().toLocalIterator() if r[0])

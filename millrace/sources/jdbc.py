@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.session import collect_small
 from millrace.sources.ranges import bind, hash_predicates, kind_of, range_predicates
 
-MAX_PARAMETER_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -94,11 +93,12 @@ def read_parameterised(
 ) -> DataFrame:
     """The rows of ``relation`` that meet ``condition`` for each parameter row, one split per row.
 
-    ``condition`` holds ``{NAME}`` macros or ``?`` marks.  Parameter rows are a
-    control table, bounded and checked.
+    ``condition`` holds ``{NAME}`` macros or ``?`` marks.  Rows come to the
+    driver partition by partition and stay there only as the text of their
+    split, as every split of a database read does.
     """
     if isinstance(parameters, DataFrame):
-        parameters = [r.asDict() for r in collect_small(parameters, MAX_PARAMETER_ROWS, "parameter rows")]
+        parameters = (r.asDict() for r in parameters.toLocalIterator())
     return read_table(spark, db, relation, [bind(condition, p) for p in parameters])
 
 

@@ -138,26 +138,39 @@ def parameter_list(text: str) -> list[dict]:
     return out
 
 
+_BOUND = re.compile(r"'\{(?P<whole>[^{}']+)\}'|(?P<quoted>'(?:[^']|'')*')|\{(?P<name>[^{}]+)\}|(?P<mark>\?)")
+
+
 def bind(template: str, row: Mapping, dialect: str = "ansi") -> str:
-    """Macros and ``?`` marks replaced by quoted literals.
+    """Macros and ``?`` marks replaced by literals, in one pass over the template.
 
-    Macros are ``{NAME}`` or ``{PARAM_MACROS[i]}`` by position; quotes a text
-    already has around a macro are taken into the literal.  ``?`` marks are
-    filled in column order.
+    Macros are ``{NAME}`` or ``{PARAM_MACROS[i]}`` by position.  A quoted macro
+    becomes a text literal; within a longer quoted text a macro's value is
+    escaped and joins that text.  ``?`` marks are filled in column order.  What
+    was filled in is not looked at again, and a ``?`` inside quotes is text.
     """
     values = dict(row)
     values.update({f"PARAM_MACROS[{i}]": v for i, v in enumerate(row.values())})
+    marks = iter(row.values())
 
-    def macro(m: re.Match) -> str:
-        name = m.group("name")
+    def inside(m: re.Match) -> str:
+        if m.group(1) not in values:
+            return m.group(0)
+        value = values[m.group(1)]
+        return "" if value is None else sql_literal(str(value), dialect)[1:-1]
+
+    def fill(m: re.Match) -> str:
+        if m.group("quoted"):
+            return re.sub(r"\{([^{}]+)\}", inside, m.group(0))
+        if m.group("mark"):
+            try:
+                return sql_literal(next(marks), dialect)
+            except StopIteration:
+                raise ValueError("more parameter marks than parameters") from None
+        name = m.group("whole") or m.group("name")
         if name not in values:
             return m.group(0)
         value = values[name]
-        return sql_literal(str(value) if m.group("open") and value is not None else value, dialect)
+        return sql_literal(str(value) if m.group("whole") and value is not None else value, dialect)
 
-    out = re.sub(r"(?P<open>')?\{(?P<name>[^{}]+)\}(?(open)')", macro, template)
-    marks = iter(row.values())
-    pieces = out.split("?")
-    if len(pieces) - 1 > len(row):
-        raise ValueError("more parameter marks than parameters")
-    return pieces[0] + "".join(sql_literal(next(marks), dialect) + p for p in pieces[1:])
+    return _BOUND.sub(fill, template)

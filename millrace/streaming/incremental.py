@@ -7,8 +7,10 @@ read, and a run with ``availableNow`` processes what is new and stops.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from millrace.functions.text import full_match
 from millrace.sources.text import parse_fields
@@ -45,21 +47,51 @@ def stream_delimited(
     return parse_fields(stream_lines(spark, root, **options), fields, sep, regex)
 
 
+class _Rows(StreamingQueryListener):
+    """Rows read by one run of a query, over all its portions (Spark's own progress list holds only the last ones)."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, Event] = {}
+
+    def onQueryStarted(self, event):  # noqa: N802
+        self.ended.setdefault(str(event.runId), Event())
+
+    def onQueryProgress(self, event):  # noqa: N802
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        self.ended.setdefault(str(event.runId), Event()).set()
+
+
+def _counted(stream: DataFrame, start: Callable[[], StreamingQuery]) -> int:
+    """Run a query to its end; events of a query arrive in order, its end last."""
+    spark, seen = stream.sparkSession, _Rows()
+    spark.streams.addListener(seen)
+    try:
+        query = start()
+        query.awaitTermination()
+        run = str(query.runId)
+        seen.ended.setdefault(run, Event()).wait()
+        return seen.rows.get(run, 0)
+    finally:
+        spark.streams.removeListener(seen)
+
+
 def append_available(stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet") -> int:
     """Process everything new into a file sink, exactly once; returns the rows read."""
-    query = (
-        stream.writeStream.format(fmt)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    return _finish(query)
+    writer = stream.writeStream.format(fmt).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return _counted(stream, lambda: writer.start(target))
 
 
 def convert_available(
     stream: DataFrame, convert: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, fmt: str = "parquet"
 ) -> int:
-    """Run a batch transformation (also a group-by) on each new portion.
+    """Run a batch transformation (also a group-by) on each new portion; returns the rows read.
 
     Each portion goes to ``<target>/batch=<n>`` and overwrites that folder, so
     a portion repeated after a failure leaves the same result.
@@ -68,15 +100,5 @@ def convert_available(
     def write(batch: DataFrame, number: int) -> None:
         convert(batch).write.format(fmt).mode("overwrite").save(f"{target.rstrip('/')}/batch={number}")
 
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    return _finish(query)
-
-
-def _finish(query) -> int:
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return _counted(stream, writer.start)

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import numbers, rules, slots, text
+from millrace.sources import ranges
 
 
 def one(spark, column, **values):
@@ -52,7 +53,7 @@ def test_execute_keeps_text(spark):
     assert run("exec:{a}+'x'", a=None) is None
 
 
-@pytest.mark.parametrize("rule", ["{a} ? 1 : 2", "{a} =~ /x/", "{zz}+1", "foo({a})", "{a}[0]", "1 +", "{a} ** 2"])
+@pytest.mark.parametrize("rule", ["{a} ? 1 : 2", "{a} > 1 ? 2", "{a} > 1 ? 'x' : 2", "{zz}+1", "foo({a})", "{a}[0]", "1 +", "{a} ** 2"])
 def test_rule_outside_the_language_is_an_error(spark, rule):
     df = spark.createDataFrame([("1",)], "a string")
     with pytest.raises(rules.RuleError):
@@ -176,3 +177,45 @@ def test_words_that_are_no_numbers(spark):
     assert [run(v) for v in ("inf", "nan", "infinity", "-INF", "x", "")] == [None] * 6
     assert run("Infinity") == float("inf") and run("1e999") == float("inf") and run(" 1.5 ") == 1.5
     assert run("NaN") != run("NaN")
+
+
+def test_conditional_match_and_nil_rules(spark):
+    run = lambda rule, **v: one(spark, lambda df: rules.compute(rule, df.schema), **v)
+    assert run("{a} > 1 ? 10 : 20", a=2) == 10
+    assert run("{a} > 5 ? 1 : {a} > 1 ? 2 : 3", a=2) == 2
+    assert run("({a} > 5 ? 1 : 2) + ({a} < 5 ? 10 : 20)", a=2) == 12
+    assert run("{a} =~ /[a-z]+\\d/ ? 'yes' : 'no: ?'", a="ab1") == "yes"
+    assert run("{a} =~ /b/", a="abc") is False
+    assert run("{a} == nil ? 0 : {a}", a=None, b=1) == 0
+    assert run("string.replace_all({a}, 'b+', '-')", a="abbbc") == "a-c"
+    assert run("date_to_string({a}, 'yyyy/MM')", a="2024-03-05 01:02:03") == "2024/03"
+    assert run("math.abs({a})/2", a=-7) == 3
+    assert run("math.abs({a})/2", a="-7") == 3.0
+    assert run("math.abs({a})", a=-2.5) == 2.5
+
+
+@pytest.mark.parametrize("key", ["", "abc", "k\U0001F600ey" + "x" * 40, "é" * 33, "\U0001F600" * 20])
+def test_one_slot_rule_for_every_slice(spark, key):
+    units = key.encode("utf-16-be")
+    units = [units[i] * 256 + units[i + 1] for i in range(0, len(units), 2)]
+    for text in ("0:32", "0:33", ":", "8", "-3", "2:-1", ":-1", "1:4"):
+        lo, hi = slots.parse_slice(text)
+        part = units[lo if lo >= 0 else max(len(units) + lo, 0):min(hi, len(units)) if hi > 0 else max(len(units) + hi, 0)]
+        h = 0
+        for u in part:
+            h = (31 * h + u) & 1023
+        assert one(spark, lambda df, t=text: slots.string_slot(F.col("a"), t), a=key) == h, text
+
+
+def test_bind_leaves_values_and_quotes_alone():
+    assert ranges.bind("a = {NAME}", {"NAME": "what?"}) == "a = 'what?'"
+    assert ranges.bind("a = '{NAME}' and b = '?' and c = ?", {"NAME": "it's {X}?", "X": 5}) == "a = 'it''s {X}?' and b = '?' and c = 'it''s {X}?'"
+    assert ranges.bind("a like 'x{P}%' and n = {N}", {"P": "o'y", "N": 3}) == "a like 'xo''y%' and n = 3"
+    with pytest.raises(ValueError):
+        ranges.bind("? ?", {"a": 1})
+
+
+def test_statements_split_outside_quotes():
+    from millrace.sinks.tables import split_statements
+
+    assert [x.strip() for x in split_statements("a ';' b; c \";\" ; `d;`")] == ["a ';' b", 'c ";"', "`d;`"]
