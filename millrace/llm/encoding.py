@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from itertools import chain
 
 import numpy as np
 import regex
@@ -66,17 +67,19 @@ class WordEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
     Where the vocabulary drops white space, each distinct word is encoded once by the library and its ids are
-    kept, in at most ``words`` words and ``size`` bytes of them; any other vocabulary encodes whole texts.  Most of
+    kept, in about ``words`` words and parts of words; any other vocabulary encodes whole texts.  Most of
     the library's time goes into normalising and splitting, so words of plain Latin letters, digits and marks are
     split here and only their parts go to the library's merges; every other word takes the library's whole path.
     """
 
-    def __init__(self, path: str, words: int = 250_000, size: int = 16 << 20):
+    def __init__(self, path: str, words: int = 400_000, size: int = 16 << 20):
         self.library = Tokenizer.from_file(path)
         self.by_word = splits_at_spaces(self.library)
         self.words, self.size = words, size
         self.model, self.shown = self.library.model, byte_characters()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.numbers = list(range(self.library.get_vocab_size()))  # ids of all parts share these objects
         self._clear()
 
     @property
@@ -86,29 +89,29 @@ class WordEncoder:
 
     def _clear(self):
         self.index, self.held, self.used = _Index(), 0, 0
-        self.parts: dict[str, tuple[int, ...]] = {}
+        if len(self.parts) > self.words:
+            self.parts.clear()
         self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat = np.zeros(4096, np.uint32)
 
-    def _word(self, word: str) -> list[int]:
+    def _part(self, part: str) -> tuple[int, ...]:
+        written = part if part.isascii() else "".join(map(self.shown.__getitem__, part.encode()))
+        known = self.parts[part] = tuple([self.numbers[t.id] for t in self.model.tokenize(written)])
+        return known
+
+    def _word(self, word: str) -> tuple[int, ...] | list[int]:
         if word.isascii() and word.isalpha():
-            found = [word.lower()]
-        elif _PLAIN.fullmatch(word) and not any(t in word for t in self.added):
-            found = _PARTS.findall(word.lower())
-        else:
+            part = word.lower()
+            return self.parts.get(part) or self._part(part)
+        if not _PLAIN.fullmatch(word) or any(t in word for t in self.added):
             return self.library.encode(word, add_special_tokens=False).ids
-        ids: list[int] = []
-        for part in found:
-            if (known := self.parts.get(part)) is None:
-                written = part if part.isascii() else "".join(map(self.shown.__getitem__, part.encode()))
-                known = self.parts[part] = tuple(t.id for t in self.model.tokenize(written))
-            ids += known
-        return ids
+        found = _PARTS.findall(word.lower())
+        return list(chain.from_iterable([self.parts.get(part) or self._part(part) for part in found]))
 
     def _learn(self):
         new = self.index.pending
         found = [self._word(w.decode("utf-8", "replace")) for w in new]
-        counts = np.array([len(ids) for ids in found], np.int64)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
         base, total = len(self.index) - len(new), int(counts.sum())
         while len(self.first) < len(self.index):
             self.first, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.count))
@@ -116,7 +119,7 @@ class WordEncoder:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.count[base:len(self.index)] = counts
         self.first[base:len(self.index)] = self.used + np.cumsum(counts) - counts
-        self.flat[self.used:self.used + total] = [i for ids in found for i in ids]
+        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         self.used += total
         self.held += sum(map(len, new))
         self.index.pending = []
