@@ -24,9 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Emitter, bound_batches, keep, utf8
+from millrace.llm.common import Emitter, bound_batches, utf8
 from millrace.llm.encoding import WordEncoder
 from millrace.llm.packed_ids import pack, unpack
+from millrace.session import open_writers, scratch_path
 
 CAPACITY = 2048
 WASTE = 1 / 64
@@ -126,6 +127,15 @@ def _joiner(capacity: int, level: int, last: bool):
     return next_level
 
 
+def _kept(pieces: DataFrame) -> DataFrame:
+    """Write pieces with leftovers in a folder of their own, so that later levels read only those."""
+    spark = pieces.sparkSession
+    path = scratch_path(spark, "packing") + "/pieces"
+    with open_writers(spark, 2):
+        pieces.write.partitionBy("leftover").parquet(path)
+    return spark.read.schema(pieces.schema).parquet(path)
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY, waste: float = WASTE) -> DataFrame:
     """Pieces with their packed ids, sequence and offset: the sequences themselves, one row per piece.
 
@@ -135,7 +145,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
     spark = docs.sparkSession
     bound_batches(spark)
     cut = docs.select("doc_id", "text").mapInArrow(_cutter(tokenizer, end_id, capacity, waste), _DDL)
-    level = keep(cut, "packing")
+    level = _kept(cut)
     full = [level.where(~F.col("leftover"))]
     rest = level.where("leftover")
     workers = rest.agg(F.max("worker")).first()[0]
@@ -144,7 +154,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: i
         groups = -(-(workers + 1) // FAN_IN)
         dealt = rest.repartition(groups, F.expr(f"worker div {FAN_IN}")) if groups > 1 else rest.coalesce(1)
         joined = dealt.select(*_PIECES.names[:6]).mapInArrow(_joiner(capacity, number, groups == 1), _DDL)
-        level = keep(joined, "packing")
+        level = _kept(joined)
         full.append(level.where(~F.col("leftover")))
         rest = level.where("leftover")
         workers = rest.agg(F.max("worker")).first()[0]
