@@ -126,3 +126,27 @@ def stream_grouped_portions(spark, d):
         convert_available(stream_delimited(spark, root, _EVENTS), convert, target, checkpoint)
     portions = spark.read.schema("kind string, n bigint, total double, batch int").parquet(target)
     return portions.groupBy("kind").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"))
+
+
+@_R.add("SELECT count(*) AS rows_read, CAST(1 AS BIGINT) AS failed_files, CAST(1 AS BIGINT) AS retried FROM events")
+def ledger_broken_file_alone(spark, d):
+    """One broken file fails alone; the next run takes only that file."""
+    root, target = scratch_path(spark, "landing"), scratch_path(spark, "target") + "/rows"
+    ledger = Ledger(spark, scratch_path(spark, "ledger") + "/rows")
+    e = table(spark, d, "events")
+    for i in range(4):
+        _land(e, root, f"part{i}", f"event_id % 4 = {i}")
+    broken = [True]
+
+    def read(session, paths):
+        if broken[0] and any("/part2/" in p for p in paths):
+            raise OSError("a broken file")
+        return _read(session, paths)
+
+    job = dict(job_id="events", source_id=1, root=root, read=read, target=target, regex=r"part-.*", run_time=dt.datetime(2024, 2, 1))
+    process_files(spark, ledger, **job)
+    failed = ledger.rows().filter("status = 3").count()
+    broken[0] = False
+    retried = process_files(spark, ledger, **job)
+    rows = current_rows(ledger, target, "events").unionByName(current_rows(ledger, target, "events", rejected=True).drop("_reject_reason"), allowMissingColumns=True)
+    return rows.agg(F.count("*").alias("rows_read"), F.lit(failed).cast("bigint").alias("failed_files"), F.lit(retried).cast("bigint").alias("retried"))

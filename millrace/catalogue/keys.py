@@ -185,7 +185,7 @@ SELECT CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS spli
 FROM (SELECT o_orderpriority, count(*) AS row_count FROM orders GROUP BY 1)""")
 def split_by_partition_value(spark, d):
     o = table(spark, d, "orders")
-    values = sorted(r[0] for r in collect_small(o.select("o_orderpriority").distinct(), 1000, "partition values"))
+    values = sorted(r[0] for r in o.select("o_orderpriority").distinct().toLocalIterator())
     return _split_counts(o, value_predicates("o_orderpriority", values))
 
 
@@ -205,7 +205,7 @@ def parameter_rows_join(spark, d):
 SELECT CAST(n_nationkey AS INTEGER) AS split, count(*) AS row_count, CAST(0 AS BIGINT) AS wrong
 FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1""")
 def parameter_splits(spark, d):
-    rows = collect_small(table(spark, d, "nation").orderBy("n_nationkey").select("n_nationkey"), 1000, "parameters")
+    rows = table(spark, d, "nation").orderBy("n_nationkey").select("n_nationkey").toLocalIterator()
     return _split_counts(table(spark, d, "supplier"), [bind("s_nationkey = {n_nationkey}", r.asDict()) for r in rows])
 
 
@@ -253,3 +253,37 @@ def shard_files_read_back(spark, d):
         "o_orderkey", "o_orderstatus", "o_totalprice",
         F.regexp_extract("_file_path", "/_shard=([0-9]+)/", 1).cast("int").alias("_shard"),
     )
+
+
+@_R.add("""
+SELECT doc_id, true AS same_slot, true AS in_range FROM documents""")
+def slots_of_wide_keys(spark, d):
+    """Equal slices give equal slots whatever their spelling, also for characters outside the basic plane."""
+    key = F.concat(F.lit("\U0001F600"), F.substring("text", 1, 20))
+    slot = [slots.string_slot(key, part) for part in ("0:32", "0:33", ":", "0:22")]
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", ((slot[0] == slot[1]) & (slot[1] == slot[2]) & (slot[2] == slot[3])).alias("same_slot"), slot[0].between(0, 1023).alias("in_range"))
+
+
+@_R.add("""
+SELECT count(*) AS input_rows, count(*) FILTER (o_orderkey % 5 <> 0) AS stored, count(*) FILTER (o_orderkey % 5 = 0) AS rejected FROM orders""")
+def null_shard_keys_rejected(spark, d):
+    """Rows without a key reach the reject sink; stored and rejected rows together are the input."""
+    place, bad = scratch_path(spark, "shards") + "/rows", scratch_path(spark, "shards") + "/bad"
+    o = table(spark, d, "orders").select(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("key"), "o_orderstatus")
+    write_shard_files(o, Sharding("key", "int", [4], [256]), place, reject_sink=lambda df: df.write.parquet(bad))
+    told = [o.agg(F.count("*").alias("input_rows")), spark.read.text(place).agg(F.count("*").alias("stored"))]
+    rejected = spark.read.parquet(bad).where("_reject_reason = 'null partition key'").agg(F.count("*").alias("rejected"))
+    return told[0].crossJoin(told[1]).crossJoin(rejected)
+
+
+@_R.add("""
+SELECT n_nationkey, count(*) AS row_count FROM nation, customer
+WHERE c_nationkey = n_nationkey AND n_name || '?' <> 'x' GROUP BY 1""")
+def parameters_with_marks_in_values(spark, d):
+    """Every nation as a parameter row; a ``?`` in a value or in quotes is text."""
+    c = table(spark, d, "customer")
+    params = table(spark, d, "nation").select("n_nationkey", F.concat("n_name", F.lit("?")).alias("label"))
+    conditions = {r["n_nationkey"]: bind("c_nationkey = ? and '?' <> '{label}' and {label} <> 'x'", r.asDict()) for r in params.toLocalIterator()}
+    number = reduce(lambda out, k: out.when(F.expr(conditions[k]), F.lit(k)), conditions, F)
+    return c.select(number.alias("n_nationkey")).where("n_nationkey is not null").groupBy("n_nationkey").agg(F.count("*").alias("row_count"))

@@ -11,9 +11,10 @@ from millrace.operators.rejects import count_rows, read_split, write_split
 from millrace.operators.rowops import (
     Compute, Custom, Filter, ReplaceValue, Reverse, apply_ops, parse_ops, valid_rows,
 )
-from millrace.plans.job import build, row_hook
+from millrace.plans.job import build, row_hook, run
 from millrace.plans.spec import FieldMap, JobSpec, parse_mapping
 from millrace.session import scratch_path
+from millrace.sources.text import parse_fields
 
 _R = Registry()
 QUERIES, SQL = _R.queries, _R.sql
@@ -227,3 +228,60 @@ def job_projection(spark, d):
         column_functions={"name": "lower"},
     )
     return build(spark, spec)
+
+
+@_R.add("""
+SELECT count(*) AS input, count(*) FILTER (l_returnflag <> 'R') AS output, count(*) FILTER (l_returnflag = 'R') AS filtered,
+       count(*) FILTER (l_returnflag <> 'R') AS stored, count(*) FILTER (l_returnflag <> 'R') AS written,
+       count(*) FILTER (l_returnflag = 'R') AS rejected FROM lineitem""")
+def job_counts_with_range_sink(spark, d):
+    """A sink that ranges its rows reads them twice; the counts stay those of the rows."""
+    place = scratch_path(spark, "counts")
+    spec = JobSpec(
+        source=table(spark, d, "lineitem"), ops=[Filter("{l_returnflag}", "R", keep=False)], mapping="k:l_orderkey,n:l_linenumber",
+        sink=lambda df: df.repartitionByRange(4, "k", "n").sortWithinPartitions("k", "n").write.parquet(place + "/ok"),
+        reject_sink=lambda df: df.write.parquet(place + "/bad"),
+    )
+    counts = run(spark, spec)
+    told = {"input": counts.input, "output": counts.output, "filtered": counts.filtered, "stored": counts.stored}
+    rejected = spark.read.parquet(place + "/bad").agg(F.count("*").alias("rejected"))
+    written = spark.read.parquet(place + "/ok").agg(F.count("*").alias("written"))
+    return written.select(*[F.lit(v).cast("bigint").alias(k) for k, v in told.items()], "written").crossJoin(rejected)
+
+
+@_R.add("""
+SELECT o_orderpriority AS priority, count(*) AS n FROM orders WHERE o_orderpriority NOT LIKE '4%' GROUP BY 1 HAVING count(*) % 2 = 0""")
+def line_and_group_hooks(spark, d):
+    """A hook on lines before parsing, and one on groups after the shuffle."""
+    lines = table(spark, d, "orders").select(F.concat_ws(";", "o_orderkey", "o_orderpriority").alias("value"))
+    spec = JobSpec(
+        source=lines, line_hook=lambda t: None if t.split(";")[1].startswith("4") else t,
+        parse=lambda df: parse_fields(df, ["key", "priority"], ";"), mapping="priority:priority:NONE,n:key:COUNT",
+        group_hook=lambda df: df.filter(F.col("n") % 2 == 0),
+    )
+    return build(spark, spec)
+
+
+@_R.add("""
+SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN 'big' WHEN o_totalprice > 50000 THEN 'middle' ELSE 'small' END AS size,
+       regexp_full_match(o_orderpriority, '[1-2]-.*') AS urgent, replace(o_orderpriority, '-', '/') AS priority FROM orders""")
+def conditional_and_match_rules(spark, d):
+    ops = [
+        Compute("{o_totalprice} > 100000 ? 'big' : {o_totalprice} > 50000 ? 'middle' : 'small'", "size"),
+        Compute("{o_orderpriority} =~ /[1-2]-.*/", "urgent"),
+        Compute("string.replace_all({o_orderpriority}, '-', '/')", "priority"),
+    ]
+    return valid_rows(apply_ops(table(spark, d, "orders"), ops)).select("o_orderkey", "size", "urgent", "priority")
+
+
+@_R.add("""
+SELECT count(*) AS input, count(*) FILTER (l_quantity <= 10 AND l_returnflag = 'N') AS output,
+       count(*) FILTER (NOT (l_quantity <= 10 AND l_returnflag = 'N')) AS filtered FROM lineitem""")
+def rejects_after_grouping_are_counted(spark, d):
+    spec = JobSpec(
+        source=table(spark, d, "lineitem").where("l_quantity is not null").withColumn("small", (F.col("l_quantity") <= 10).cast("string")),
+        ops=[Filter("{l_returnflag}", "N")], post_shuffle_ops=[Filter("{small}", "true")],
+        mapping="status:l_linestatus:NONE,n:small:COUNT", sink=lambda df: df.write.format("noop").mode("overwrite").save(),
+    )
+    counts = run(spark, spec)
+    return spark.range(1).select(*[F.lit(getattr(counts, k)).cast("bigint").alias(k) for k in ("input", "output", "filtered")])

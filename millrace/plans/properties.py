@@ -16,17 +16,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import field
 from millrace.operators import cells
+from millrace.operators.hooks import map_lines
 from millrace.operators.project import split_column_function
 from millrace.plans.macros import substitute
 from millrace.plans.spec import JobSpec, SpecError, parse_defaults, parse_mapping
-from millrace.sinks.cells import put, write_bulk
+from millrace.sinks.cells import delete, put, write_bulk
 from millrace.sinks.jdbc import write_table
-from millrace.sinks.tables import insert_into
-from millrace.sinks.text import write_delimited, write_sequence
+from millrace.sinks.tables import insert_into, split_statements
+from millrace.sinks.text import publish_path, write_delimited, write_sequence
 from millrace.sources.archives import read_mixed_lines
 from millrace.sources.hadoop import read_query, read_sequence
 from millrace.sources.jdbc import Database, read_by_range, read_table
-from millrace.sources.text import parse_fields, read_delimited
+from millrace.sources.text import parse_fields
 
 # Property names.
 INPUT_TYPE = "input.sys.mr.mapred.type"
@@ -61,6 +62,17 @@ IN_QUERY = "input.mr.maperd.hive.query"
 OUT_TABLE = "output.mr.maperd.hive.table"
 OUT_DDL = "output.mr.maperd.hive.ddl.hql"
 OUT_PARTITIONS = "output.mr.mapred.hive.partition.field"
+OUT_TARGETS = ("output.sys.mr.mapred.file.target.Path", "output.mr.mapred.file.target.Path", "output.mr.mapred.hive.target.Path")
+OUT_MAX_ROWS = "output.mr.mapred.hive.partition.file.maxcount"
+CELL_DELETE = "output.mr.maperd.hbase.data.delete.flag"
+# Statements run before a database write, in this order.
+OUT_STATEMENTS = ("output.mr.mapred.jdbc.table.dropsql", "mapred.rdb.output.table.altersql", "mapred.rdb.output.table.clearsql")
+# Names that change a job's result and have no form here; a job that sets one is refused.
+REFUSED = (
+    "output.mr.mapred.jdbc.data.delete.flag", "output.mr.mapred.jdbc.data.primarykey.fields", "mapred.rdb.output.table.insertsql",
+    "input.mr.mapred.file.force.do", "input.mr.mapred.file.joblogid.do", "input.mr.mapred.file.joblogtime.do",
+    "input.mr.mapred.file.jobfail",
+)
 JDBC = {
     "url": "mr.mapred.jdbc.url",
     "user": "mr.mapred.jdbc.username",
@@ -121,9 +133,15 @@ def job_from_properties(
     source: Callable[[SparkSession], DataFrame] | DataFrame | None = None,
     sink: Callable[[DataFrame], None] | None = None,
     row_hook: Callable | None = None,
+    group_hook: Callable | None = None,
+    line_hook: Callable | None = None,
     partitions: int = 64,
 ) -> JobSpec:
-    """A validated job; ``source``, ``sink`` and ``row_hook`` replace what the map names.
+    """A validated job; ``source``, ``sink`` and the hooks replace what the map names.
+
+    The map-side plugin is ``row_hook``, the reduce-side plugin ``group_hook``;
+    ``line_hook`` changes lines of a text source before they are parsed.  A
+    property that would change the result and is not known here is an error.
 
     ``macros`` are filled into every value first, record fields of templates
     stay.  ``run_time`` stamps cells; ``partitions`` bounds parallel database
@@ -131,20 +149,27 @@ def job_from_properties(
     """
     fields = {n.strip() for key in (INPUT_FIELDS, OUTPUT_FIELDS) for n in (properties.get(key) or "").split(",")}
     p = _Reader({k: substitute(v, macros or {}, fields) if v else v for k, v in properties.items()})
-    if (p.get(MAP_PLUGIN) or p.get(REDUCE_PLUGIN)) and row_hook is None:
-        raise SpecError("the job names a plugin: pass its Python form as row_hook")
+    for key, hook, name in ((MAP_PLUGIN, row_hook, "row_hook"), (REDUCE_PLUGIN, group_hook, "group_hook")):
+        if p.get(key) and hook is None:
+            raise SpecError(f"the job names a plugin in {key}: pass its Python form as {name}")
+    for key in REFUSED:
+        if p.get(key, "false").strip().lower() not in ("false", "0"):
+            raise SpecError(f"property {key} is not supported")
+    if line_hook and source is None and p.need(INPUT_TYPE).split(",")[-1].strip() != TEXT:
+        raise SpecError("a line hook needs a text source")
     rejects = p.get(REJECT_PATH)
     named = [split_column_function(n.lower()) for n in p.names(OUTPUT_FIELDS)]
     mapping = [
         replace(m, dest=split_column_function(m.dest)[0]) for m in parse_mapping(p.need(MAPPING))
     ]
     spec = JobSpec(
-        source=source if source is not None else _source(p, partitions),
+        source=source if source is not None else _source(p, partitions, line_hook),
         mapping=mapping,
         input_fields=p.names(INPUT_FIELDS),
         output_fields=[n for n, _ in named],
         column_functions={n: f for n, f in named if f},
         row_hook=row_hook,
+        group_hook=group_hook,
         ops=p.get(MAP_OPS, ""),
         post_shuffle_ops=p.get(REDUCE_OPS, ""),
         keep_matching=p.flag(MAP_KEEP, True),
@@ -163,7 +188,7 @@ def _default_items(text: str) -> list[str]:
     return [f"[{item}]" for item in text.strip()[1:-1].split("],[")] if text.strip() else []
 
 
-def _source(p: _Reader, partitions: int) -> Callable[[SparkSession], DataFrame]:
+def _source(p: _Reader, partitions: int, line_hook: Callable | None = None) -> Callable[[SparkSession], DataFrame]:
     kind = p.need(INPUT_TYPE).split(",")[-1].strip()
     fields = p.names(INPUT_FIELDS)
     sep, row_sep = p.get(IN_FIELD_SEP, ","), p.get(IN_ROW_SEP, "\n")
@@ -177,9 +202,8 @@ def _source(p: _Reader, partitions: int) -> Callable[[SparkSession], DataFrame]:
         if p.flag(NAME_FILTER_ON, False) and p.get(NAME_FILTER):
             options |= {"name_regex": p.get(NAME_FILTER), "name_regex_include": p.flag(NAME_FILTER_INCLUDE, True)}
         paths = [x.strip() for x in p.need(INPUT_DIR).split(",")]
-        if row_sep != "\n":  # members of archives are read by plain lines
-            return lambda spark: read_delimited(spark, paths, fields, sep, regex=True, recursive=True, **options)
-        return lambda spark: parse_fields(read_mixed_lines(spark, paths, **options), fields, sep, regex=True)
+        hooked = (lambda df: map_lines(df, line_hook)) if line_hook else (lambda df: df)
+        return lambda spark: parse_fields(hooked(read_mixed_lines(spark, paths, **options)), fields, sep, regex=True)
     if kind == SEQUENCE:
         return lambda spark: read_sequence(spark, p.need(INPUT_DIR), fields, sep, regex=True)
     if kind in CATALOG:
@@ -241,13 +265,24 @@ def _sink(p: _Reader, run_time: dt.datetime | None) -> Callable[[DataFrame], Non
     order = [split_column_function(n.lower())[0] for n in p.names(OUTPUT_FIELDS)]
     sep, row_sep = p.get(OUT_FIELD_SEP, ","), p.get(OUT_ROW_SEP, "\n")
     codec = p.get(OUT_CODEC, "gzip") if p.flag(OUT_COMPRESS, False) else None
+    parts = [n.strip().lower() for n in p.get(OUT_PARTITIONS, "").split(",") if n.strip()]
+    if parts and kind not in (TEXT, *CATALOG):
+        raise SpecError(f"sink type {kind!r} has no partitions")
+    if p.flag(CELL_DELETE, False):
+        if kind != "HBASE" or run_time is None:
+            raise SpecError("deleting cells needs the HBASE sink type and run_time")
+        return lambda df: _delete(df, p, run_time)
     if kind == TEXT:
+        rows = int(p.get(OUT_MAX_ROWS, "-1"))
+        if rows == 0:
+            raise SpecError("the row limit of a file must be positive, or -1 for none")
         return lambda df: write_delimited(
-            _in_order(df, order), p.need(OUTPUT_DIR), sep=sep, line_sep=row_sep, compression=codec
+            _in_order(df, order), _place(p, run_time), sep=sep, line_sep=row_sep, compression=codec,
+            partition_by=parts, max_rows_per_file=rows,
         )
     if kind == SEQUENCE:
         block = p.get(OUT_CODEC_KIND, "BLOCK").upper() == "BLOCK"
-        return lambda df: write_sequence(_in_order(df, order), p.need(OUTPUT_DIR), sep=sep, compression=codec, block=block)
+        return lambda df: write_sequence(_in_order(df, order), _place(p, run_time), sep=sep, compression=codec, block=block)
     if kind in CATALOG:
         return lambda df: insert_into(df, p.need(OUT_TABLE), ddl=p.get(OUT_DDL))
     if kind in CELL_TYPES:
@@ -256,15 +291,39 @@ def _sink(p: _Reader, run_time: dt.datetime | None) -> Callable[[DataFrame], Non
         return lambda df: _put(df, p, kind, run_time)
     if kind in DATABASES:
         batch = int(p.get("output." + JDBC["batch"], "10000"))
-        return lambda df: write_table(df, _database(p, "output."), p.need("output." + JDBC["table"]), batch_size=batch)
+        before = [x for key in OUT_STATEMENTS for x in split_statements(p.get(key, "")) if x.strip()]
+        return lambda df: write_table(
+            df, _database(p, "output."), p.need("output." + JDBC["table"]), batch_size=batch, pre_sql=before
+        )
     raise SpecError(f"sink type {kind!r} needs the sink argument")
 
 
+def _target(p: _Reader) -> str | None:
+    return next((p.get(key) for key in OUT_TARGETS if p.get(key)), None)
+
+
+def _place(p: _Reader, run_time: dt.datetime | None) -> str:
+    """Output folder; with a target path, the folder of this run under it, where results appear when they are whole."""
+    if (target := _target(p)) is None:
+        return p.need(OUTPUT_DIR)
+    if run_time is None:
+        raise SpecError("a target path needs run_time, which names the run's folder")
+    return publish_path(target, f"{run_time:%Y%m%d%H%M%S}")
+
+
 def _in_order(df: DataFrame, order: list[str]) -> DataFrame:
     """Output fields in their listed order; a field without a mapping is null."""
     return df.select(*[field(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in order])
 
 
+def _delete(df: DataFrame, p: _Reader, run_time: dt.datetime) -> None:
+    """The cells of the output folder without the rows the job names, as a new version under the target path."""
+    if _target(p) is None:
+        raise SpecError("deleting cells needs a target path for the new version")
+    held = df.sparkSession.read.parquet(p.need(OUTPUT_DIR))
+    delete(held, df, p.need("output." + CELLS["key"])).write.parquet(_place(p, run_time))
+
+
 def _put(df: DataFrame, p: _Reader, kind: str, run_time: dt.datetime) -> None:
     layout = cells.parse_layout(p.need("output." + CELLS["layout"]))
     rule, sep = p.need("output." + CELLS["key"]), p.get("output." + CELLS["sep"], ",")

@@ -27,9 +27,9 @@ _BATCH = 10_000
 ARCHIVE_NAMES = r".*\.(?i:zip|tar|tar\.gz|tgz|tar\.bz2)"
 
 
-def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase]]:
+def _members(path: str, content: pa.Buffer) -> Iterator[tuple[str, io.BufferedIOBase]]:
     low = path.lower()
-    data = io.BytesIO(content)
+    data = pa.BufferReader(content)
     if low.endswith(".zip"):
         with zipfile.ZipFile(data) as z:
             for info in z.infolist():
@@ -45,11 +45,25 @@ def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase
         raise ValueError(f"{path} is no zip or tar archive")
 
 
+def _rows(stream: io.BufferedIOBase, sep: bytes) -> Iterator[bytes]:
+    """Rows of a member; a last row without separator counts, an empty rest doesn't."""
+    if sep == b"\n":
+        yield from (raw.rstrip(b"\r\n") for raw in stream)
+        return
+    rest = b""
+    while chunk := stream.read(1 << 20):
+        *whole, rest = (rest + chunk).split(sep)
+        yield from whole
+    if rest:
+        yield rest
+
+
 def read_archive_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
     charset: str = "utf-8",
+    line_sep: str = "\n",
     name_glob: str | None = None,
     name_regex: str | None = None,
     name_regex_include: bool = True,
@@ -59,7 +73,7 @@ def read_archive_lines(
 
     Files that are no archives are left alone.
     """
-    "".encode(charset)
+    row_end = line_sep.encode(charset)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
@@ -71,11 +85,11 @@ def read_archive_lines(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
-                for member, stream in _members(path.as_py(), content.as_buffer().to_pybytes()):
+                for member, stream in _members(path.as_py(), content.as_buffer()):
                     rows: list[str] = []
                     first = 1
-                    for raw in stream:
-                        rows.append(raw.rstrip(b"\r\n").decode(charset, "replace"))
+                    for raw in _rows(stream, row_end):
+                        rows.append(raw.decode(charset, "replace"))
                         if len(rows) == _BATCH:
                             yield _lines(rows, path.as_py(), member, first, columns)
                             first += len(rows)
@@ -114,6 +128,5 @@ def read_mixed_lines(
         spark, paths, charset=charset, skip_lines=skip_lines, provenance=provenance,
         recursive=True, leave_out=ARCHIVE_NAMES, **selection,
     )
-    selection.pop("line_sep", None)
     packed = read_archive_lines(spark, paths, charset=charset or "utf-8", **selection)
     return plain.unionByName(packed.filter(F.col("_line") > skip_lines).select(*plain.columns))

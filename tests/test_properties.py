@@ -137,6 +137,49 @@ def test_hook_and_sink_arguments(spark, landed):
     assert [r["sid"] for r in got] == ["1001"]
 
 
+@pytest.mark.parametrize("change", [{k: "true"} for k in p.REFUSED] + [{p.OUT_MAX_ROWS: "0"}, {p.REDUCE_PLUGIN: "X"}, {p.CELL_DELETE: "true"}])
+def test_properties_that_change_results_are_never_ignored(scratch, change):
+    with pytest.raises(SpecError):
+        p.job_from_properties(base(scratch, **change))
+
+
+def test_target_path_row_limit_and_partitions(spark, landed):
+    target = landed + "/published"
+    props = base(landed, **{p.SKIP_LINES: "1", p.NAME_FILTER_ON: "true", p.NAME_FILTER: "records.txt", p.OUT_TARGETS[0]: target,
+                            p.OUT_MAX_ROWS: "1", p.OUT_PARTITIONS: "SID"})
+    with pytest.raises(SpecError):
+        run(spark, p.job_from_properties(props))
+    run(spark, p.job_from_properties(props, run_time=dt.datetime(2024, 5, 6, 7, 8, 9)))
+    rows = spark.read.text(target + "/batch=20240506070809")
+    assert sorted((r.sid, r.value) for r in rows.collect()) == [(1000, "1.5^3^hi"), (1000, "2.5^4^"), (1001, "x^^")]
+    assert rows.filter("sid = 1000").select("_metadata.file_name").distinct().count() == 2
+
+
+def test_cell_delete(spark, landed):
+    layout = "[f1:head:[sid,sprice]]"
+    put = base(landed, **{p.SKIP_LINES: "1", p.NAME_FILTER_ON: "true", p.NAME_FILTER: "records.txt", p.OUTPUT_TYPE: "HBASE", "output." + p.CELLS["layout"]: layout,
+                          "output." + p.CELLS["key"]: "{sid}", p.OUTPUT_DIR: landed + "/cells"})
+    run(spark, p.job_from_properties(put, run_time=dt.datetime(2020, 1, 1)))
+    gone = {**put, p.CELL_DELETE: "true", p.OUT_TARGETS[0]: landed + "/next", p.MAP_OPS: "filter:{id}:1001"}
+    run(spark, p.job_from_properties(gone, run_time=dt.datetime(2020, 1, 2)))
+    left = spark.read.parquet(landed + "/next/batch=20200102000000")
+    assert {r.row_key for r in left.select("row_key").distinct().collect()} == {"1000"}
+
+
+def test_archives_with_another_row_separator(spark, scratch):
+    import zipfile
+
+    os.makedirs(scratch + "/in")
+    with zipfile.ZipFile(scratch + "/in/a.zip", "w") as z:
+        z.writestr("m", "1^2|3^4|")
+    with open(scratch + "/in/b.txt", "w") as f:
+        f.write("5^6|7^8")
+    props = base(scratch, **{p.IN_ROW_SEP: "|", p.INPUT_FIELDS: "a,b", p.OUTPUT_FIELDS: "b", p.MAPPING: "b:b"})
+    assert sorted(r[0] for r in build(spark, p.job_from_properties(props)).collect()) == ["2", "4", "6", "8"]
+    hooked = p.job_from_properties(props, line_hook=lambda t: t.replace("6", "9"))
+    assert sorted(r[0] for r in build(spark, hooked).collect()) == ["2", "4", "8", "9"]
+
+
 def test_windows_line_ends(spark, scratch):
     os.makedirs(scratch + "/in")
     with open(scratch + "/in/a.txt", "wb") as f:
