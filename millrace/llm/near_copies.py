@@ -16,7 +16,8 @@ the full sets of 64-bit shingle hashes.
    into blocks of ``BLOCK`` classes and each pair of blocks is a task's work.  Only pairs of different components whose
    signatures agree in at least ``SIEVE`` of the slots leave a task (3.7 standard deviations below 0.75: 1 in 10,000).
 6. Candidates are confirmed on the two whole texts, the most similar ``BEST`` of each class first; links are joined
-   into components, candidates within one component drop out, and so on until no candidate is left.
+   into components and candidates within one component drop out.  Each further round takes four times as many of each
+   class, so all are done after a few rounds.
 
 Null, empty and word-free texts have no shingle and link with nothing.  Rows that share a document id are one document
 for the components.  Null ids: the row is its own component (null).  Empty tables give no row.  Other columns of the
@@ -317,12 +318,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     joined = components(_confirmed(pairs, texts).union(twins))
 
     rest = keep(_candidates(members, classes, joined).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    number = BEST
     while not rest.isEmpty():
         best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("same"), "b"))
         ranked = keep(rest.withColumn("place", best), "ranked")
-        found = _confirmed(ranked.where(F.col("place") <= BEST), texts)
+        found = _confirmed(ranked.where(F.col("place") <= number), texts)
         joined = components(found.union(joined.where("node <> component")))
-        left = _with_components(ranked.where(F.col("place") > BEST).select("a", "b", "same"), joined, "a").withColumnRenamed("component", "c")
+        left = _with_components(ranked.where(F.col("place") > number).select("a", "b", "same"), joined, "a").withColumnRenamed("component", "c")
+        number *= 4
         rest = keep(_with_components(left, joined, "b").where("component <> c").select("a", "b", "same"), "candidates")
     out = signed.join(classes.select("set_key", "class"), "set_key", "left")
     out = out.join(joined.withColumnRenamed("node", "class"), "class", "left")
