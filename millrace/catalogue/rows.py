@@ -202,7 +202,7 @@ def hook_rows(spark, d):
         return [{**row, "line": part} for part in row["text"].split("\n")]
 
     c = table(spark, d, "conversations")
-    return hooks.flat_map_rows(c, recode, "conv_id bigint, turn bigint, line string")
+    return hooks.flat_map_rows(c, recode, "conv_id bigint, turn bigint, line string", partitions=spark.sparkContext.defaultParallelism)
 
 
 @_R.add("""
@@ -214,7 +214,7 @@ def hook_lines(spark, d):
     def line(text):
         return None if text.startswith("en|") else text[text.index("|") + 1:]
 
-    return hooks.map_lines(lines, line)
+    return hooks.map_lines(lines, line, partitions=spark.sparkContext.defaultParallelism)
 
 
 @_R.add("""

@@ -147,4 +147,4 @@ def measurement_counters(spark, d):
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"),
         F.regexp_extract("props", "[0-9]+", 0).alias("key"),
     )
-    return measurements.counters(e.select("event_id", text.template(_DOCUMENT, e.schema).alias("value")))
+    return measurements.counters(e.select("event_id", text.template(_DOCUMENT, e.schema).alias("value")), partitions=spark.sparkContext.defaultParallelism)

@@ -15,7 +15,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.functions.text import field
 from millrace.operators.rowops import REASON, VALID
-from millrace.session import spread
 
 _BATCH = 10_000
 
@@ -28,12 +27,14 @@ def flat_map_rows(
     configure: Callable[[], object] | None = None,
     close: Callable[[], None] | None = None,
     keep_rejects: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``recode(row) -> rows`` for every row; an empty result rejects the row.
 
     With ``keep_rejects`` a rejected row is passed on once, marked
     ``_valid = false``, with the columns it shares with ``schema``; otherwise it
-    disappears.  ``configure`` and ``close`` frame each task.  Rows are plain
+    disappears.  ``configure`` and ``close`` frame each task.  ``partitions`` deals
+    the rows out first, for a small input that Spark can't split.  Rows are plain
     Python values: whole numbers stay whole also where a column has nulls.
     """
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
@@ -63,14 +64,17 @@ def flat_map_rows(
             if close:
                 close()
 
-    rows = spread(df).mapInArrow(work, marked)
+    rows = (df.repartition(partitions) if partitions else df).mapInArrow(work, marked)
     return rows if keep_rejects else rows.drop(VALID, REASON)
 
 
 def map_lines(
-    df: DataFrame, line: Callable[[str], str | None], column: str = "value"
+    df: DataFrame, line: Callable[[str], str | None], column: str = "value", partitions: int | None = None
 ) -> DataFrame:
-    """``line(text) -> text`` before parsing; null drops the line, newlines give several lines."""
+    """``line(text) -> text`` before parsing; null drops the line, newlines give several lines.
+
+    ``partitions`` deals the lines out first, for a small input that Spark can't split.
+    """
 
     @F.pandas_udf("string")
     def hook(values: pd.Series) -> pd.Series:
@@ -78,7 +82,7 @@ def map_lines(
 
     lines = F.explode(F.split(hook(field(column)), "\n"))
     others = [field(c) for c in df.columns if c != column]
-    return spread(df).select(lines.alias(column), *others)
+    return (df.repartition(partitions) if partitions else df).select(lines.alias(column), *others)
 
 
 def prefix_with_file_name(df: DataFrame, length: int = 8, path_column: str = "_file_path") -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.functions.text import field
-from millrace.session import collect_small, scratch_path
+from millrace.session import scratch_path
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -55,20 +55,18 @@ def _select(df: DataFrame, seen: DataFrame, keys: Sequence[str], how: str, null_
     return df.join(renamed, cond, how)
 
 
-_PAGE_ROWS = 1_000_000
-
-
 def row_window(
-    df: DataFrame, order: Sequence[str | Column], limit: int, offset: int = 0, page_rows: int = _PAGE_ROWS
+    df: DataFrame, order: Sequence[str | Column], limit: int, offset: int = 0, deep: bool = False
 ) -> DataFrame:
     """Rows ``offset .. offset + limit`` of a total order (a page, not a way to split a table).
 
-    Up to ``page_rows`` rows deep this is Spark's top-k.  Deeper pages would
-    bring all rows before them to one task; there the table is sorted by ranges
-    into the shared scratch folder, each row gets its number within its range,
-    and the numbers of the ranges are added up, so only the page itself is read.
+    Lazy, it is Spark's top-k, which brings the page and all rows before it to
+    one task.  For a ``deep`` page, which the caller states, the table is sorted
+    by ranges into the shared scratch folder, each row gets its number within
+    its range, and the numbers of the ranges are added up, so only the page
+    itself is read.
     """
-    if offset + limit <= page_rows:
+    if not deep:
         page = df.orderBy(*order)
         return (page.offset(offset) if offset else page).limit(limit)
     spark = df.sparkSession
@@ -81,7 +79,8 @@ def row_window(
         .write.parquet(path)
     )
     stored = spark.read.parquet(path)
-    counts = collect_small(stored.groupBy("_range").agg(F.count(F.lit(1)).alias("n")), 1_000_000, "ranges")
+    # one number per range, of which there are at most spark.sql.shuffle.partitions
+    counts = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()
     start, wanted = 0, []
     for number, n in sorted(tuple(r) for r in counts):
         low, high = max(offset - start, 0), min(offset + limit - start, n)

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.text import iso_datetime
-from millrace.session import spread
 
 SCHEMA = """
 fileHeader struct<_fileFormatVersion:string, _vendorName:string,
@@ -40,10 +39,15 @@ def _words(text: Column) -> Column:
     return F.split(F.trim(text), " ")
 
 
-def counters(documents: DataFrame, xml: str = "value") -> DataFrame:
-    """Rows of 14 text columns from a column of XML documents; other columns are passed on."""
+def counters(documents: DataFrame, xml: str = "value", partitions: int | None = None) -> DataFrame:
+    """Rows of 14 text columns from a column of XML documents; other columns are passed on.
+
+    ``partitions`` deals the documents out first, for a small input that Spark can't split.
+    """
+    if partitions:
+        documents = documents.repartition(partitions)
     others = [c for c in documents.columns if c != xml]
-    doc = spread(documents).select(*others, F.from_xml(F.col(xml), SCHEMA, {"rowTag": "measCollecFile"}).alias("d"))
+    doc = documents.select(*others, F.from_xml(F.col(xml), SCHEMA, {"rowTag": "measCollecFile"}).alias("d"))
     data = doc.select(*others, "d.fileHeader", F.explode("d.measData").alias("m"))
     info = data.select(*others, "fileHeader", "m.managedElement", F.explode("m.measInfo").alias("i"))
     value = info.select(*others, "fileHeader", "managedElement", "i.granPeriod", "i.measTypes",

@@ -89,20 +89,6 @@ def open_writers(spark: SparkSession, count: int):
         spark.conf.set(key, before)
 
 
-def spread(df):
-    """Round-robin over all cores when the input is too small for Spark to split.
-
-    Meant before work that is heavy per row (Python hooks, XML).  Spark cuts
-    files into pieces of at least ``openCostInBytes``; only below one such piece
-    per core is a shuffle worth it, so large inputs are never moved.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    piece = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * piece else df
-
-
 def collect_small(df, limit: int, what: str) -> list:
     """Rows of a control table (bounds, parameters, file lists), never of data.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -81,16 +82,24 @@ def file_values(df: DataFrame) -> list[Column]:
     return out
 
 
-def _with_key(df: DataFrame, sharding: Sharding, reject_sink: Callable[[DataFrame], None] | None) -> DataFrame:
+def _with_key(df: DataFrame, sharding: Sharding, reject_sink: Callable[[DataFrame], None]) -> DataFrame:
+    """Rows with a key; the others go to the reject sink with their reason."""
     marked = reject_null_keys(df, sharding)
-    rejected = rejected_rows(marked)
-    if reject_sink:
-        reject_sink(rejected)
-    elif not rejected.isEmpty():
-        raise ValueError(f"rows with a {NULL_KEY} need a reject sink")
+    reject_sink(rejected_rows(marked))
     return valid_rows(marked).select(*[field(c) for c in df.columns if c not in (VALID, REASON)])
 
 
+def _kept_at(place: str, mode: str = "errorifexists") -> Callable[[DataFrame], None]:
+    """Reject sink of a write that names none: a table at ``place``, with a warning, if there are rejects."""
+
+    def sink(rejected: DataFrame) -> None:
+        if not rejected.isEmpty():
+            rejected.write.mode(mode).parquet(place)
+            warnings.warn(f"rows with a {NULL_KEY} are in {place}", stacklevel=4)
+
+    return sink
+
+
 def write_shard_files(
     df: DataFrame, sharding: Sharding, path: str, *, sep: str = ",", names: Mapping[int, str] | None = None,
     mode: str = "errorifexists", rebalance: bool = True, reject_sink: Callable[[DataFrame], None] | None = None,
@@ -98,9 +107,10 @@ def write_shard_files(
     """One folder per shard, ``<path>/_shard=<name>``; a large shard is spread over several files.
 
     Without ``rebalance`` nothing is shuffled and every task writes its own file per shard.
-    Rows without a key go to ``reject_sink`` with their reason; without one they are an error.
+    Rows without a key go to ``reject_sink`` with their reason, by default a table ``<path>_rejected``.
     """
-    keyed = with_shard(_with_key(df, sharding, reject_sink), sharding)
+    beside = _kept_at(path.rstrip("/") + "_rejected", mode)
+    keyed = with_shard(_with_key(df, sharding, reject_sink or beside), sharding)
     shard = F.col("_shard")
     if names:
         pairs = [x for k, v in names.items() for x in (F.lit(k), F.lit(v))]
@@ -119,7 +129,7 @@ def write_shard_tables(
 ) -> dict[int, int]:
     """Each shard's rows to its own database; returns the rows written per shard.
 
-    Rows without a key go to ``reject_sink`` with their reason; without one they are an error.
+    Rows without a key go to ``reject_sink`` with their reason, by default a table in the scratch folder, with a warning.
 
     The routed rows are written once to a staging table in the shared scratch
     folder, partitioned by shard.  Each database then reads its own folder, so
@@ -130,7 +140,8 @@ def write_shard_tables(
         raise ValueError(f"{sharding.size} shards but {len(databases)} databases")
     spark = df.sparkSession
     staged = scratch_path(spark, "shards") + "/rows"
-    keyed = with_shard(_with_key(df, sharding, reject_sink), sharding)
+    aside = _kept_at(scratch_path(spark, "shards") + "/rejected")
+    keyed = with_shard(_with_key(df, sharding, reject_sink or aside), sharding)
     with open_writers(spark, min(sharding.size, 8)):
         keyed.write.partitionBy("_shard").parquet(staged)
     rows = spark.read.schema(keyed.schema).parquet(staged)

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.plans.spec import SpecError
-from millrace.session import collect_small, open_writers, scratch_path, spread
+from millrace.session import collect_small, open_writers, scratch_path
 from millrace.sinks.fanout import fan_out, with_target_name
 from millrace.sinks.shards import NULL_KEY, Sharding, file_values, reject_null_keys, shard_counts, write_shard_files
 from millrace.sinks.tables import ensure_table, insert_into, replace_by_key, run_statements, write_partitioned
@@ -307,6 +307,7 @@ def test_null_keys_are_rejected_everywhere(spark, scratch):
     write_shard_files(df, sharding, scratch + "/o", names={0: "alpha", 1: "beta"})
     assert read_lines(spark, scratch + "/o/_shard=alpha").collect()[0][0] == "1,2.5,a"
     assert read_lines(spark, scratch + "/o/_shard=beta").collect()[0][0] == "512,.5,"
+    assert [(r.s, r["_reject_reason"]) for r in spark.read.parquet(scratch + "/o_rejected").collect()] == [("b", NULL_KEY)]
 
 
 def test_shard_counts_sum_to_the_input(spark):
@@ -370,13 +371,6 @@ def test_control_lists_are_bounded(spark):
 # --- session helpers
 
 
-def test_spread_moves_small_inputs_only(spark, scratch):
-    spark.range(0, 10, 1, 1).write.parquet(scratch + "/s")
-    assert "RoundRobin" in spread(spark.read.parquet(scratch + "/s"))._jdf.queryExecution().executedPlan().toString()
-    big = spark.range(10**9)
-    assert spread(big) is big
-
-
 def test_open_writers_restores_the_setting(spark):
     before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
     with open_writers(spark, 7):

@@ -229,7 +229,7 @@ def test_row_window(spark):
 def test_deep_row_window(spark, offset, limit):
     df = spark.range(10_000).select(((F.col("id") * 7919) % 10_007).alias("a"), "id")
     expected = [tuple(r) for r in df.orderBy("a", "id").collect()][offset:offset + limit]
-    assert [tuple(r) for r in row_window(df, ["a", "id"], limit, offset, page_rows=-1).collect()] == expected
+    assert [tuple(r) for r in row_window(df, ["a", "id"], limit, offset, deep=True).collect()] == expected
     assert [tuple(r) for r in row_window(df, ["a", "id"], limit, offset).collect()] == expected
 
 
