@@ -41,7 +41,7 @@ FAMILIES = {
     "turkic": ("az", "kk", "tr", "uz"),
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 _SLICE = 1 << 20
 #: Bytes that take part: ASCII letters and all bytes of longer characters; digits, marks and controls become spaces.
 _LETTERS = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint32)
@@ -51,6 +51,10 @@ def family(language: str) -> str:
     return _FAMILY.get(language, language)
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and (_ASCII_LETTER.search(text) is not None or any(map(str.isalpha, text)))
+
+
 def grams(text: str) -> Iterator[np.ndarray]:
     """Bucket of every three-byte sequence of the text between spaces, about a megabyte at a time."""
     data = np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8)
@@ -67,7 +71,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, ats, values = [], [], []
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if not text or not _LETTER.search(text):
+            if not has_letter(text):
                 continue
             count = np.zeros(BUCKETS, np.int64)
             for g in grams(text):
@@ -146,7 +150,7 @@ class Model:
             del p.weights
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.parts or not text or not _LETTER.search(text):
+        if not self.parts or not has_letter(text):
             return UNKNOWN, 0.0
         total, count = np.zeros(self.weights.shape[1]), 0
         for g in grams(text):
