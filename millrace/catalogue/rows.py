@@ -285,3 +285,23 @@ def rejects_after_grouping_are_counted(spark, d):
     )
     counts = run(spark, spec)
     return spark.range(1).select(*[F.lit(getattr(counts, k)).cast("bigint").alias(k) for k in ("input", "output", "filtered")])
+
+
+@_R.add("SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 3")
+def finalize_removes_groups(spark, d):
+    """The last hook of a job may drop rows of the result."""
+    spec = JobSpec(source=table(spark, d, "lineitem"), mapping="k:l_orderkey:NONE,n:l_linenumber:COUNT", finalize=lambda df: df.filter("n > 3"))
+    return build(spark, spec)
+
+
+@_R.add("""
+SELECT l_linestatus AS mode, min(CAST(l_quantity AS DOUBLE)) AS low, max(CAST(l_quantity AS DOUBLE)) AS high,
+       min(CASE WHEN l_linenumber = 1 THEN 'x' || l_orderkey ELSE CAST(l_orderkey AS VARCHAR) END) AS first_text,
+       max(CASE WHEN l_linenumber = 1 THEN 'x' || l_orderkey ELSE CAST(l_orderkey AS VARCHAR) END) AS last_text
+FROM lineitem GROUP BY 1""")
+def extremes_of_numbers_and_mixed_text(spark, d):
+    """Numbers in text compare as numbers; a group with any other text compares as text."""
+    mixed = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("x"), "l_orderkey")).otherwise(F.col("l_orderkey").cast("string"))
+    rows = table(spark, d, "lineitem").select("l_linestatus", F.col("l_quantity").cast("double").cast("string").alias("q"), mixed.alias("m"))
+    out = build(spark, JobSpec(source=rows, mapping="mode:l_linestatus:NONE,low:q:MIN,high:q:MAX,first_text:m:MIN,last_text:m:MAX"))
+    return out.withColumns({c: F.col(c).cast("double") for c in ("low", "high")})
