@@ -13,8 +13,10 @@ the full sets of 64-bit shingle hashes.
 4. Each class is first compared with the hub of each of its buckets, the class that shares most buckets with others.
    A large group of near copies joins at once through the text it was copied from.
 5. Buckets that still hold several components are compared inside tasks, by signatures only: large buckets are cut
-   into blocks of ``BLOCK`` classes and each pair of blocks is a task's work.  Only pairs of different components whose
-   signatures agree in at least ``SIEVE`` of the slots leave a task (3.7 standard deviations below 0.75: 1 in 10,000).
+   into blocks of ``BLOCK`` classes and each pair of blocks is a task's work.  Only pairs of different components leave
+   a task, if their signatures agree in at least ``SIEVE`` of the slots (3.7 standard deviations below 0.75: 1 in
+   10,000) and their ``LEAST`` smallest shingle hashes fit the link rule: exactly, for sets of no more shingles, else
+   within 4.5 standard deviations of that sample.
 6. Candidates are confirmed on the two whole texts, the most similar ``BEST`` of each class first; links are joined
    into components and candidates within one component drop out.  Each further round takes four times as many of each
    class, so all are done after a few rounds.
@@ -42,6 +44,7 @@ BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
 SIEVE = 100 / 160
 BLOCK = 1024
+LEAST = 256
 BEST = 4
 
 _SALTS = mix(np.arange(1, WORDS + 3, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -204,6 +207,34 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= SIEVE))
 
 
+def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Class and its ``LEAST`` smallest shingle hashes, filled up with the largest number."""
+    shingler = Shingler()
+    for batch in batches:
+        held = []
+        for text in utf8(batch.column(1)):
+            own = np.full(LEAST, _NONE)
+            first = shingler.shingles(text)[:LEAST]
+            own[:len(first)] = first
+            held.append(own.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], names=["class", "smallest"])
+
+
+def fits(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether each other set may be linked, from the smallest hashes of both.
+
+    Below the smaller of the two last hashes both samples are complete, so they tell intersection and union there.
+    """
+    top = np.minimum(own[-1], others[:, -1])
+    at = np.minimum(np.searchsorted(own, others), LEAST - 1)
+    both = ((own[at] == others) & (others < _NONE)).sum(axis=1)
+    mine, theirs = np.searchsorted(own[own < _NONE], top, side="right"), ((others <= top[:, None]) & (others < _NONE)).sum(axis=1)
+    union = mine + theirs - both
+    whole = (size <= LEAST) & (sizes <= LEAST)
+    return np.where(whole, 100 * both >= 75 * union, both >= 0.75 * union - 4.5 * np.sqrt(0.1875 * union))
+
+
+_NONE = np.uint64(2**64 - 1)
 _CANDIDATES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.int32())])
 
 
@@ -214,7 +245,7 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def closed():
         if sum(len(r[0]) for r in run) < 2:
             return
-        name, component, side, sketch = (np.concatenate([r[k] for r in run]) for k in range(4))
+        name, component, side, size, sketch, smallest = (np.concatenate([r[k] for r in run]) for k in range(6))
         one = key[1] == key[2]
         for i in range(len(name)):
             # Within a block each pair once, between blocks only pairs across.
@@ -222,13 +253,17 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             others = others[component[others] != component[i]]
             if len(others):
                 same = (sketch[others] == sketch[i]).sum(axis=1)
-                for j in np.flatnonzero(same >= SIEVE * SLOTS).tolist():
+                near = np.flatnonzero(same >= SIEVE * SLOTS)
+                if len(near):
+                    near = near[fits(smallest[i], size[i], smallest[others[near]], size[others[near]])]
+                for j in near.tolist():
                     x, y = int(name[i]), int(name[others[j]])
                     yield from out.add(min(x, y), max(x, y), int(same[j]))
 
     for batch in batches:
-        column = {n: batch.column(n).to_numpy() for n in ("bucket", "low", "high", "class", "component", "side")}
+        column = {n: batch.column(n).to_numpy() for n in ("bucket", "low", "high", "class", "component", "side", "n_shingles")}
         sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        smallest = np.frombuffer(b"".join(batch.column("smallest").to_pylist()), np.uint64).reshape(-1, LEAST)
         changed = [column[n][1:] != column[n][:-1] for n in ("bucket", "low", "high")]
         bounds = np.concatenate([[0], np.flatnonzero(np.logical_or.reduce(changed)) + 1, [batch.num_rows]]).tolist()
         for start, end in zip(bounds[:-1], bounds[1:], strict=True):
@@ -236,7 +271,7 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if now != key:
                 yield from closed()
                 run, key = [], now
-            run.append((*(column[n][start:end] for n in ("class", "component", "side")), sketch[start:end]))
+            run.append((*(column[n][start:end] for n in ("class", "component", "side", "n_shingles")), sketch[start:end], smallest[start:end]))
     yield from closed()
     yield from out.flush()
 
@@ -272,16 +307,19 @@ def _with_components(rows: DataFrame, joined: DataFrame, name: str) -> DataFrame
     return found.withColumn("component", F.coalesce("component", name))
 
 
-def _candidates(members: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
+def _candidates(members: DataFrame, classes: DataFrame, texts: DataFrame, joined: DataFrame) -> DataFrame:
     """Pairs of different components whose sketches are alike: a, b, same (slots that agree)."""
     now = keep(_with_components(members.select("bucket", "class"), joined, "class"), "members")
     mixed = now.groupBy("bucket").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = mixed.where("least <> most").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = now.join(mixed, "bucket").join(classes.select("class", "sketch"), "class")
+    live = keep(now.join(mixed, "bucket"), "live")
+    smallest = texts.join(live.select("class").distinct(), "class", "left_semi").select("class", "text")
+    smallest = smallest.mapInArrow(_smallest, "class long, smallest binary")
+    rows = live.join(classes.select("class", "sketch", "n_shingles"), "class").join(smallest, "class")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
-        (F.col("block") > F.col("with")).cast("int").alias("side"), "class", "component", "sketch",
+        (F.col("block") > F.col("with")).cast("int").alias("side"), "class", "component", "n_shingles", "sketch", "smallest",
     )
     tasks = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     return tasks.mapInArrow(_within, "a long, b long, same int").distinct()
@@ -295,7 +333,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """
     signed = keep(sign(docs), "signed")
     named = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("class"), F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets"))
+    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("class"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("buckets").alias("buckets"))
     classes = keep(classes, "classes")
     rows = classes.select("class", F.explode("buckets").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -317,7 +355,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     twins = twins.join(twins.groupBy("doc_id").agg(F.min("class").alias("a")), "doc_id").select("a", F.col("class").alias("b"))
     joined = components(_confirmed(pairs, texts).union(twins))
 
-    rest = keep(_candidates(members, classes, joined).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    rest = keep(_candidates(members, classes, texts, joined).join(pairs, ["a", "b"], "left_anti"), "candidates")
     number = BEST
     while not rest.isEmpty():
         best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("same"), "b"))

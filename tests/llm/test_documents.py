@@ -327,3 +327,18 @@ def test_mixing_takes_scarce_cells_whole(spark):
     mixed = mixing.mix_documents(docs, {"source": F.col("source")}, {"source": {"a": 1, "b": 1}}, 0.5).collect()
     assert {r.probability for r in mixed if r.source == "a"} == {1.0}
     assert sum(r.weight * r.probability for r in mixed) == pytest.approx(5000, rel=1e-4)
+
+
+def test_smallest_hashes_keep_every_link():
+    rng = np.random.default_rng(8)
+    for size in (40, 256, 900):
+        for _ in range(40):
+            items = rng.integers(0, 1 << 63, 2 * size).astype(np.uint64)
+            shared = rng.integers(size // 2, size)
+            sets = [np.sort(items[:size]), np.sort(np.concatenate([items[:shared], items[size:2 * size - shared]]))]
+            held = np.full((2, near_copies.LEAST), near_copies._NONE)
+            for i, own in enumerate(sets):
+                held[i, :len(own[:near_copies.LEAST])] = own[:near_copies.LEAST]
+            told = near_copies.fits(held[0], size, held[1:], np.array([size]))[0]
+            linked = near_copies.alike(*sets)
+            assert told >= linked and (told == linked or size > near_copies.LEAST)
