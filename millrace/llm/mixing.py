@@ -91,7 +91,7 @@ def chance(doc_id: str = "doc_id", seed: str = "mix") -> Column:
 
 def mix_documents(
     docs: DataFrame, categories: dict[str, Column], targets: dict[str, float | dict[str, float]], part: float = 0.5,
-    weight: Column | None = None, seed: str = "mix", carry: list[str] | None = None,
+    weight: Column | None = None, seed: str = "mix", carry: list[str] | None = None, tolerance: float = 1e-9, rounds: int = 60,
 ) -> DataFrame:
     """``doc`` (the document's row, or its ``carry`` columns), weight, each category, probability and sampled.
 
@@ -105,7 +105,7 @@ def mix_documents(
     )
     cells = keep(rows.groupBy(*categories).agg(F.sum("weight").alias("mass")), "cells")
     total = cells.agg(F.sum("mass")).first()[0] or 0
-    fitted = fit(cells, {c: targets[c] for c in categories})
+    fitted = fit(cells, {c: targets[c] for c in categories}, tolerance, rounds)
     chosen = keep(probabilities(fitted, part * total).select(*categories, "probability"), "cells")
     joined = rows.join(chosen, [*categories]).withColumn("sampled", F.col("chance") < F.col("probability"))
     return joined.select("doc", "weight", *categories, "probability", "sampled")

@@ -73,6 +73,8 @@ def op4_language_id(spark, d):
 #: Exponents on observed shares: rare languages, sources and topics get more than their part.
 MIX_TARGETS = {"source": 0.7, "lang": 0.5, "topic": 0.6}
 MIX_PART = 0.5
+#: A fixed number of rounds, which SQL can write out; the last category's shares are exact after any round.
+MIX_ROUNDS = 12
 
 _STEP = """
   {name} AS (SELECT s, l, t, mass, ts, tl, tt, n, CASE WHEN sum(f) OVER (PARTITION BY {key}) > 0
@@ -116,11 +118,11 @@ SELECT doc_id, s AS source, l AS lang, t AS topic, w AS weight, probability,
 FROM d JOIN p USING (s, l, t)"""
 
 
-@_R.add(_rake_sql(15))
+@_R.add(_rake_sql(MIX_ROUNDS))
 def op5_mixing(spark, d):
     docs = table(spark, d, "documents")
     categories = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of()}
-    mixed = mixing.mix_documents(docs, categories, MIX_TARGETS, MIX_PART, carry=["doc_id"])
+    mixed = mixing.mix_documents(docs, categories, MIX_TARGETS, MIX_PART, carry=["doc_id"], tolerance=0.0, rounds=MIX_ROUNDS)
     return mixed.select("doc.doc_id", *categories, "weight", "probability", "sampled")
 
 
