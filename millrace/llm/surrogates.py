@@ -1,8 +1,8 @@
 r"""Personal data replaced by keyed surrogates of the same type and format.
 
 Detected: e-mail addresses, phone numbers, card numbers (13 to 19 digits with a right check digit), IPv4 addresses,
-social security numbers, secrets assigned to a name (``token = "..."``) and names after a title.  Digit strings that
-fail their check, version numbers and the like stay as they are.
+social security numbers, secrets assigned to a name (``token = "..."``) and names after a title, secrets and names
+however long they are.  Digit strings that fail their check, version numbers and the like stay as they are.
 
 Every entity has a normal form (digits of a number, lower-cased address, name without its title); equal normal forms
 get one surrogate in the whole corpus, so mentions still refer to each other.  A surrogate is drawn from a keyed
@@ -44,10 +44,12 @@ ALPHABETS = {"Latin": "abcdefghijklmnopqrstuvwxyz", "Cyrillic": "абвгдеж
 
 _TITLE = "|".join(t for own in TITLES.values() for t in own)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_NAME = r"\p{Lu}[\p{L}'\-]{1,40}(?: \p{Lu}[\p{L}'\-]{1,40}){0,2}"
+_NAME = r"\p{Lu}[\p{L}'\-]++(?: \p{Lu}[\p{L}'\-]++)*+"
 _SECRET_HEAD = r"(?i:(?<![\p{L}\p{N}])(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?)"
+#: A secret's value up to its real end, which is no full stop; values without a letter or digit (filling dots) are none.
+_SECRET = r"(?=[/+\-_.=~%]*+[A-Za-z0-9])[A-Za-z0-9_/+\-.=~%]{15,}[A-Za-z0-9_/+\-=~]"
 PATTERN = "|".join((
-    _SECRET_HEAD + r"[A-Za-z0-9_/+\-]{16,256}",
+    _SECRET_HEAD + _SECRET,
     r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}\-]{1,63}(?:\.[\p{L}\p{N}\-]{1,63}){1,8}",
     rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",

@@ -292,6 +292,24 @@ def test_surrogates_of_each_kind(spark):
     assert surrogates.replace_entities(frame(spark, rows).limit(0), "key").collect() == []
 
 
+def test_secrets_and_names_go_to_their_end(spark):
+    long = "".join("abcdefghij0123456789"[i * i % 20] for i in range(1000))
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+    huge = "Ab1." * 50_000 + "Z"
+    rows = [
+        f'token = "{long}" end', f"token = {jwt}. Next", "api_key: abcdefghij~klmnop.qr+st== end", "Dr Anna Maria Sofia Schmidt went",
+        f"Mr {'A' + 'b' * 60} went", "password: ........................ 7", f"secret={huge}",
+    ]
+    got = {r.doc_id: r for r in surrogates.replace_entities(frame(spark, rows), "key").collect()}
+    assert re.fullmatch(r'token = "[a-z0-9]{1000}" end', got[0].text) and not any(long[i:i + 12] in got[0].text for i in range(0, 988))
+    assert [len(x) for x in got[1].text.split(".")] == [len(x) for x in rows[1].split(".")] and got[1].text.endswith(". Next") and not any(x in got[1].text for x in jwt.split("."))
+    assert re.fullmatch(r"api_key: [a-z]{10}~[a-z]{6}\.[a-z]{2}\+[a-z]{2}== end", got[2].text) and "qr+st" not in got[2].text
+    assert re.fullmatch(r"Dr \w+ \w+ went", got[3].text) and not re.search("Sofia Schmidt|Schmidt", got[3].text)
+    assert re.fullmatch(r"Mr \w+ went", got[4].text) and "bbbb" not in got[4].text
+    assert got[5].text == rows[5] and len(got[6].text) == len(rows[6]) and got[6].text[-8:] != rows[6][-8:]
+    assert [got[i]["__pii_counts"]["secret"] for i in range(7)] == [1, 1, 1, 0, 0, 0, 1]
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark):
     mails = [f"{c}@x.de" for c in "abcdefghijklmnopqrstuvwxyz"] + ["a@y.de"]
     got = [r.text for r in surrogates.replace_entities(frame(spark, mails), "k").collect()]
