@@ -1,8 +1,10 @@
 r"""Personal data replaced by keyed surrogates of the same type and format.
 
-Detected: e-mail addresses, phone numbers, card numbers (13 to 19 digits with a right check digit), IPv4 addresses,
+Detected: e-mail addresses, phone numbers (a country code with ``+`` and 7 to 15 digits in any groups; 3-3-4 digits
+with separators), card numbers (13 to 19 digits, or groups of 4-4-4-4 and 4-6-5, with a right check digit), IPv4 addresses,
 social security numbers, secrets assigned to a name (``token = "..."``) and names after a title, secrets and names
-however long they are.  Digit strings that fail their check, version numbers and the like stay as they are.
+however long they are.  Digit strings that fail their check, version numbers and the like stay as they are; so do phone
+numbers without ``+`` and separators, which look like any other number, and national ones in other groups.
 
 Every entity has a normal form (digits of a number, lower-cased address, name without its title); equal normal forms
 get one surrogate in the whole corpus, so mentions still refer to each other.  A surrogate is drawn from a keyed
@@ -48,14 +50,20 @@ _NAME = r"\p{Lu}[\p{L}'\-]++(?: \p{Lu}[\p{L}'\-]++)*+"
 _SECRET_HEAD = r"(?i:(?<![\p{L}\p{N}])(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?)"
 #: A secret's value up to its real end, which is no full stop; values without a letter or digit (filling dots) are none.
 _SECRET = r"(?=[/+\-_.=~%]*+[A-Za-z0-9])[A-Za-z0-9_/+\-.=~%]{15,}[A-Za-z0-9_/+\-=~]"
+_NATIONAL = r"(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)"
+#: Country codes of one and two digits; all others have three.
+_COUNTRY = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 PATTERN = "|".join((
     _SECRET_HEAD + _SECRET,
     r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}\-]{1,63}(?:\.[\p{L}\p{N}\-]{1,63}){1,8}",
     rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     r"(?<![\d.])(?:\d{4}[ \-]){3}\d{4}(?!\d)",
+    r"(?<![\d.])\d{4}[ \-]\d{6}[ \-]\d{5}(?!\d)",
     r"(?<![\d.])\d{13,19}(?!\d)",
-    r"(?<![\d(+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[ .\-]\d{4}(?!\d)",
+    rf"(?<![\d(+])(?:\+1[ .\-]?)?{_NATIONAL}",
+    # A country code and 7 to 15 digits in all, in any groups.
+    r"(?<![\p{L}\d+])\+[1-9](?:[ \u00a0\u202f.\-/]?\(?\d\)?){6,14}(?!\d)",
     rf"(?<!\p{{L}})(?:{_TITLE})\.? {_NAME}",
 ))
 #: What a text must hold to have an entity at all: cheap to look for.
@@ -90,7 +98,8 @@ def _sql(pattern: str) -> str:
 def _norm(kind: str, raw: str) -> str:
     digits = f"regexp_replace({raw}, '[^0-9]', '')"
     return (
-        f"CASE {kind} WHEN 'email' THEN lower({raw}) WHEN 'ip' THEN {raw} WHEN 'phone' THEN right({digits}, 10) "
+        f"CASE {kind} WHEN 'email' THEN lower({raw}) WHEN 'ip' THEN {raw} WHEN 'phone' THEN "
+        f"CASE WHEN {raw} rlike '\\\\A[+]' AND NOT {digits} rlike '\\\\A1[0-9]{{10}}\\\\z' THEN concat('+', {digits}) ELSE right({digits}, 10) END "
         f"WHEN 'secret' THEN regexp_replace({raw}, '\\\\A{_sql(_SECRET_HEAD)}', '') "
         f"WHEN 'name' THEN lower(regexp_replace({raw}, '\\\\A(?:{_TITLE})[.]? ', '')) ELSE {digits} END"
     )
@@ -143,6 +152,7 @@ def _draw() -> dict[str, str]:
     domain = f"concat({letters('regexp_extract(norm, _at_(.*)[.][^.]*$_q_, 1)', 'hd')}, '.', substring_index(norm, '.', -1))"
     domain = domain.replace("_at_", "'@").replace("_q_", "'")
     card = f"concat(substr(norm, 1, 1), {digits('length(norm) - 2')})"
+    country = f"regexp_extract(norm, '\\\\A[+](?:{_COUNTRY}|[0-9]{{3}})', 0)"
     zero = luhn("concat(body, '0')")
     script = f"CASE WHEN norm rlike '[{ALPHABETS['Cyrillic']}]' THEN 'Cyrillic' WHEN norm rlike '[{ALPHABETS['Greek']}]' THEN 'Greek' ELSE 'Latin' END"
     array = lambda words: "array(" + ", ".join(f"'{w}'" for w in words) + ")"
@@ -155,7 +165,7 @@ def _draw() -> dict[str, str]:
         "given": f"CASE WHEN kind = 'name' THEN {given} END", "parts": f"CASE WHEN kind = 'name' THEN {syllables} END",
         "surrogate": (
             f"CASE kind WHEN 'email' THEN concat({letters('substring_index(norm, _s_, 1)')}, {more}, '@', {domain}) "
-            f"WHEN 'phone' THEN concat(string(2 + {num(90)} % 8), {digits('length(norm) - 1')}) WHEN 'ssn' THEN {digits('9')} "
+            f"WHEN 'phone' THEN concat({country}, string(2 + {num(90)} % 8), {digits(f'length(norm) - length({country}) - 1')}) WHEN 'ssn' THEN {digits('9')} "
             f"WHEN 'card' THEN concat(body, string((10 - {zero}) % 10)) "
             f"WHEN 'ip' THEN concat(string(1 + {num(0)} % 223), '.', string({num(1)}), '.', string({num(2)}), '.', string({num(3)})) "
             f"WHEN 'secret' THEN CASE WHEN norm rlike '\\\\A[0-9a-fA-F]+\\\\z' THEN {letters('norm', alphabets=('abcdef',))} ELSE {letters('norm')} END "
@@ -200,10 +210,11 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
 
 def _shown(kind: str, raw: str, norm: str, new: str) -> str:
     """SQL: the surrogate in the mention's format."""
+    own = f"replace({new}, '+', '')"
     cased = f"CASE WHEN {raw} = upper({raw}) THEN upper({new}) ELSE {{}} END"
     fill = (
-        f"aggregate(split({raw}, ''), struct(length({new}) - length(regexp_replace({raw}, '[^0-9]', '')) AS p, '' AS o), (s, c) -> "
-        f"CASE WHEN c rlike '[0-9]' THEN struct(s.p + 1 AS p, concat(s.o, CASE WHEN s.p < 0 THEN c ELSE substr({new}, s.p + 1, 1) END) AS o) "
+        f"aggregate(split({raw}, ''), struct(length({own}) - length(regexp_replace({raw}, '[^0-9]', '')) AS p, '' AS o), (s, c) -> "
+        f"CASE WHEN c rlike '[0-9]' THEN struct(s.p + 1 AS p, concat(s.o, CASE WHEN s.p < 0 THEN c ELSE substr({own}, s.p + 1, 1) END) AS o) "
         f"ELSE struct(s.p AS p, concat(s.o, c) AS o) END, s -> s.o)"
     )
     head = f"substr({raw}, 1, length({raw}) - length({norm}))"

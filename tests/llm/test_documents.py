@@ -310,6 +310,26 @@ def test_secrets_and_names_go_to_their_end(spark):
     assert [got[i]["__pii_counts"]["secret"] for i in range(7)] == [1, 1, 1, 0, 0, 0, 1]
 
 
+def test_phones_of_other_countries_and_short_cards(spark):
+    found = [
+        "+49 30 1234567", "+44 20 7946 0958", "+33 1 23 45 67 89", "+493012345678", "+351-21-123.4567", "+49 (0)30/1234567", "+358 9 12345",
+        "+49 301 555 7713 88", "312 345 6789", "+1 312 345 6789", "+1 3123456789", "3782 822463 10005", "3782-822463-10005",
+    ]
+    stay = ["3782 822463 10006", "id 3012345678 of 1700000000", "+12345 and 1+1234567", "12 345 678"]
+    rows = [*(f"call {x}, now" for x in found), *stay, "(+49 30 1234567) or +49-30-1234567"]
+    got = {r.doc_id: r for r in surrogates.replace_entities(frame(spark, rows), "key").collect()}
+    new = [re.fullmatch(r"call (.*), now", got[i].text)[1] for i in range(len(found))]
+    digits = [re.sub(r"\D", "", x) for x in new]
+    for old, now in zip(found, new, strict=True):
+        assert re.sub(r"\d", "0", old) == re.sub(r"\d", "0", now) and old[-4:] != now[-4:]
+    assert [x[:n] for x, n in zip(new, (3, 3, 3, 3, 4, 3, 4, 3), strict=False)] == ["+49", "+44", "+33", "+49", "+351", "+49", "+358", "+49"]
+    assert digits[8] == digits[9][1:] == digits[10][1:] != digits[2][1:] and digits[11] == digits[12]
+    assert digits[11][0] == "3" and sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 * (int(c) > 4)) for i, c in enumerate(reversed(digits[11]))) % 10 == 0
+    assert [got[len(found) + i].text for i in range(len(stay))] == stay
+    assert got[len(rows) - 1].text == f"({new[0]}) or {new[0].replace(' ', '-')}"
+    assert [got[i]["__pii_counts"]["phone"] for i in range(len(rows))] == [1] * 11 + [0] * 6 + [2]
+
+
 def test_surrogates_stay_distinct_in_a_small_space(spark):
     mails = [f"{c}@x.de" for c in "abcdefghijklmnopqrstuvwxyz"] + ["a@y.de"]
     got = [r.text for r in surrogates.replace_entities(frame(spark, mails), "k").collect()]
