@@ -57,14 +57,16 @@ _SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: A random 64-bit value for each byte; white space counts nothing.
 _BYTES = np.where(_SPACE, np.uint64(0), mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)))
 _BASE = 0xF1357AEA2E62A9C5
-_LONG = 4 << 20
+#: Bytes hashed at once; a longer slice, which holds a long word, is hashed in pieces.
+_PIECE = 4 << 20
 
 
 class Shingler:
     """Sorted distinct shingle hashes of a text.
 
     A word's hash is the polynomial of its bytes' random values modulo 2^64, taken for all words at once from running
-    sums: the sum over the word times the base's inverse power at its start.
+    sums: the sum over the word times the base's inverse power at its start.  The sum of a word that runs over the end
+    of a piece is carried on to the next one, so hashes depend on the word only.
     """
 
     def __init__(self):
@@ -76,9 +78,8 @@ class Shingler:
             step[0] = 1
         self.power, self.inverse = (np.cumprod(step) for step in steps)
 
-    def _words(self, part: bytes) -> np.ndarray:
-        if len(part) > _LONG:
-            return np.array([xxhash.xxh3_64_intdigest(w) for w in part.split()], np.uint64)
+    def _sums(self, part: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum, start and end of every word of a piece."""
         if len(part) >= len(self.power):
             self._grow(len(part) + 1)
         data = np.frombuffer(part, np.uint8)
@@ -87,7 +88,25 @@ class Shingler:
         starts, ends = turns[::2], turns[1::2]
         run = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTES[data] * self.power[:len(data)], out=run[1:])
-        return mix((run[ends] - run[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        return (run[ends] - run[starts]) * self.inverse[starts], starts, ends
+
+    def _words(self, part: bytes) -> np.ndarray:
+        out, carried, held = [], 0, 0  # sum and length of a word that runs on
+        for at in range(0, len(part) or 1, _PIECE):
+            piece = part[at:at + _PIECE]
+            sums, starts, ends = self._sums(piece)
+            sizes = (ends - starts).astype(np.uint64)
+            if held:
+                if not len(starts) or starts[0]:
+                    sums, sizes = (np.concatenate([np.array([x], np.uint64), own]) for x, own in ((carried, sums), (held, sizes)))
+                else:
+                    sums[0] = (carried + int(sums[0]) * pow(_BASE, held, 1 << 64)) % (1 << 64)
+                    sizes[0] += np.uint64(held)
+            carried = held = 0
+            if len(ends) and ends[-1] == len(piece) and at + _PIECE < len(part):
+                carried, held, sums, sizes = int(sums[-1]), int(sizes[-1]), sums[:-1], sizes[:-1]
+            out.append(mix(sums + sizes))
+        return out[0] if len(out) == 1 else np.concatenate(out)
 
     def shingles(self, text: bytes | None) -> np.ndarray:
         if not text:

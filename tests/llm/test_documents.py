@@ -241,6 +241,28 @@ def test_near_copies_groups_chains_and_odd_rows(spark, monkeypatch, block):
     assert sorted((r.doc_id or 0, r.component_id) for r in twice) == [(0, None), (1, 1), (3, 1), (3, 1)]
 
 
+def test_words_hash_alike_beside_a_long_word():
+    shingler, rng = near_copies.Shingler(), np.random.default_rng(5)
+    blob = rng.choice(list(b"abcdefghijklmnopqrstuvwxyz0123456789+/"), 5 << 20).astype(np.uint8).tobytes()
+    prose = b" ".join(b"w%d" % i for i in rng.integers(0, 10**6, 110_000))
+    plain, last = shingler.shingles(prose), None
+    for text in (prose + b" " + blob, prose[:70_000] + b" " + blob + prose[70_000:], prose + b" " + blob[:2 << 20], b"  " + blob + b" \n" + prose):
+        own = shingler.shingles(text)
+        assert len(np.intersect1d(plain, own)) >= len(plain) - 2 * near_copies.WORDS and near_copies.alike(plain, own)
+    for before in (b"", b" ", b"a b ", b"x " * 300_000, b"\n" * ((4 << 20) - 1), b"\n" * (4 << 20)):
+        words = shingler._words(before + blob + b" end")
+        assert last is None or words[-2:].tolist() == last
+        last = words[-2:].tolist()
+
+
+def test_pieces_of_any_size_give_the_same_words(monkeypatch):
+    text = b"ab  cdefghij k\n" * 3 + b"lmnopqrstuvw "
+    whole = near_copies.Shingler()._words(text).tolist()
+    for size in range(1, len(text) + 1):
+        monkeypatch.setattr(near_copies, "_PIECE", size)
+        assert near_copies.Shingler()._words(text).tolist() == whole, size
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(3)
     off = []
