@@ -2,10 +2,13 @@
 
 Both steps are linear support vector machines, one for each pair of classes, on counts of three-byte sequences of
 the lower-cased text's letters divided by their number.  A pair's margin becomes a probability by the logistic function; a class's
-share is the mean over its pairs, and the score of a language is its family's share times its own.
+share is the mean over its pairs, and the score of a language is its family's share times its own.  More than ``WIDTH``
+families are first bundled by likeness, over as many steps as it takes; the score is then the product over all steps.
 
-Training takes about ``PER_LANGUAGE`` labelled documents of each of the ``LANGUAGES`` commonest labels, chosen by a
-hash of the document id; every prediction reads the whole text.  Null texts and texts without a letter get ``und``
+Training learns every label, from about ``PER_LANGUAGE`` labelled documents of each, chosen by a hash of the document id;
+with many labels from fewer of each, so that all are about ``ROWS``, but never from fewer than about ``LEAST_ROWS``.
+A pair's weights take a quarter of a megabyte, and there are about four pairs to a label beyond ``WIDTH`` families.
+Every prediction reads the whole text.  Null texts and texts without a letter get ``und``
 and score 0; so does everything if no labelled document exists.  With one label in all, every text with a letter gets
 it with score 1.  Ties go to the alphabetically first class.  Repeated rows get equal results; other columns aren't
 read.
@@ -27,7 +30,9 @@ from millrace.llm.common import bound_batches, utf8
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 PER_LANGUAGE = 1500
-LANGUAGES = 64
+ROWS = 64 * PER_LANGUAGE
+LEAST_ROWS = 20
+WIDTH = 16
 
 #: Families of language codes.  A code that isn't here is a family of its own.
 FAMILIES = {
@@ -129,38 +134,64 @@ class Pairs:
 _SCALE = 20.0
 
 
+def bundles(names: list[str], centres: np.ndarray, number: int) -> list[list[str]]:
+    """Names in bundles of like centres: each joins the nearest of far apart seeds that has room."""
+    seeds, far = [0], np.full(len(names), np.inf)
+    while len(seeds) < number:
+        far = np.minimum(far, ((centres - centres[seeds[-1]]) ** 2).sum(axis=1))
+        far[seeds] = -1
+        seeds.append(int(far.argmax()))
+    out = [[names[i]] for i in seeds]
+    for i in range(len(names)):
+        if i not in seeds:
+            near = np.argsort(((centres[seeds] - centres[i]) ** 2).sum(axis=1), kind="stable")
+            next(out[k] for k in near if len(out[k]) * number < 2 * len(names)).append(names[i])
+    return out
+
+
 class Model:
-    """Families, and the languages of each."""
+    """Families, and the languages of each, as a tree of (machines, class name to language or next node)."""
 
     def __init__(self, rows: list, labels: list[str]):
-        families = [family(x) for x in labels]
-        self.parts: list[Pairs] = []
-        if not labels:
-            self.languages = {}
-            return
-        self.parts.append(Pairs(list(set(families))).fit(rows, families))
-        self.languages = {}
-        for name in self.parts[0].names:
-            own = [i for i, x in enumerate(families) if x == name]
-            self.languages[name] = len(self.parts)
-            self.parts.append(Pairs(list({labels[i] for i in own})).fit([rows[i] for i in own], [labels[i] for i in own]))
-        self.weights = np.concatenate([p.weights for p in self.parts], axis=1)
-        self.columns = np.cumsum([0] + [len(p.pairs) for p in self.parts])
-        for p in self.parts:
-            del p.weights
+        self.languages, families = sorted(set(labels)), {}
+        for x in self.languages:
+            families.setdefault(family(x), []).append(x)
+        if labels:
+            self.root = self._grow(families, rows, labels)
+
+    def _grow(self, groups: dict[str, list[str]], rows: list, labels: list[str]):
+        """``groups`` are classes of this node and their languages; only rows of these languages take part."""
+        names, inner = sorted(groups), {name: {x: [x] for x in own} for name, own in groups.items()}
+        if len(names) > WIDTH:
+            of = {x: i for i, name in enumerate(names) for x in groups[name]}
+            centres, size = np.zeros((len(names), 1024)), np.zeros((len(names), 1))
+            for (at, value), x in zip(rows, labels, strict=True):
+                centres[of[x]] += np.bincount(at % 1024, value, 1024)
+                size[of[x]] += 1
+            parts = bundles(names, centres / size, WIDTH // 2)
+            inner = {min(own): {name: groups[name] for name in own} for own in parts}
+        named = {x: name for name, own in inner.items() for xs in own.values() for x in xs}
+        node = Pairs(list(inner)).fit(rows, [named[x] for x in labels])
+        below = {}
+        for name, own in inner.items():
+            at = [i for i, x in enumerate(labels) if named[x] == name]
+            one = [x for xs in own.values() for x in xs]
+            below[name] = one[0] if len(one) == 1 else self._grow(own, [rows[i] for i in at], [labels[i] for i in at])
+        return node, below
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.parts or not has_letter(text):
+        if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
-        total, count = np.zeros(self.weights.shape[1]), 0
+        found = np.zeros(BUCKETS, np.int64)
         for g in grams(text):
-            total += np.bincount(g, minlength=BUCKETS) @ self.weights[:-1] if len(g) > BUCKETS else self.weights[g].sum(axis=0, dtype=np.float64)
-            count += len(g)
-        margins = total * (_SCALE / count) + self.weights[-1]
-        name, share = self.parts[0].best(margins[:self.columns[1]])
-        k = self.languages[name]
-        language, own = self.parts[k].best(margins[self.columns[k]:self.columns[k + 1]])
-        return language, share * own
+            found += np.bincount(g, minlength=BUCKETS)
+        at = np.flatnonzero(found)
+        number, score, node = found[at] * (_SCALE / found.sum()), 1.0, self.root
+        while not isinstance(node, str):
+            pairs, below = node
+            name, share = pairs.best(number @ pairs.weights[at] + pairs.weights[-1])
+            score, node = score * share, below[name]
+        return node, score
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -172,16 +203,18 @@ def train(docs: DataFrame) -> Model:
     """Fit on a bounded sample of the labelled documents that aren't held out.
 
     Two scans: labels are counted first (a small aggregate), then documents whose hash lies below their label's rate
-    become sparse vectors in the tasks.  The driver gets at most about PER_LANGUAGE x LANGUAGES of them.
+    become sparse vectors in the tasks.  The driver gets at most about ``ROWS`` of them, or LEAST_ROWS of each label.
     """
     bound_batches(docs.sparkSession)
     labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~held_out())
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = labelled.groupBy("lang").count().collect()
     if not counts:
         return Model([], [])
-    rate = F.create_map([x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, PER_LANGUAGE / r["count"])))])
+    each = max(LEAST_ROWS, min(PER_LANGUAGE, ROWS // len(counts)))
+    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, each / r["count"])) for r in counts], "lang string, rate double")
     share = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000)) / 1_000_000.0
-    sample = labelled.where(share < rate[F.col("lang")]).select("lang", "text").mapInArrow(_vectors, "lang string, at binary, value binary")
+    sample = labelled.withColumn("share", share).join(F.broadcast(rates), "lang").where("share < rate")
+    sample = sample.select("lang", "text").mapInArrow(_vectors, "lang string, at binary, value binary")
     rows = sorted((r["lang"], bytes(r["at"]), bytes(r["value"])) for r in sample.collect())
     vectors = [(np.frombuffer(a, np.uint16).astype(np.int64), np.frombuffer(v, np.float32) * np.float32(_SCALE)) for _, a, v in rows]
     return Model(vectors, [r[0] for r in rows])

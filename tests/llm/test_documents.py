@@ -284,6 +284,19 @@ def test_components_of_paths_and_stars(spark, monkeypatch, one_task):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_every_label_is_learned(spark):
+    rng, rows = np.random.default_rng(3), []
+    for k in range(70):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
+        rows += [(100 * k + i, " ".join(rng.choice(words, 20)), f"q{k:02d}") for i in range(30 if k < 64 else 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert len(model.languages) == 70
+    found = language.identify(docs, model).where("held_out").join(docs, "doc_id").collect()
+    assert {r.lang for r in found} == {r.lang_pred for r in found} and all(0 < r.score <= 1 for r in found)
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)
+
+
 CARD, NOT_CARD = "4417744280351547", "9807915762804490"
 
 
