@@ -8,7 +8,13 @@ families are first bundled by likeness, over as many steps as it takes; the scor
 Training learns every label, from about ``PER_LANGUAGE`` labelled documents of each, chosen by a hash of the document id;
 with many labels from fewer of each, so that all are about ``ROWS``, but never from fewer than about ``LEAST_ROWS``.
 A pair's weights take a quarter of a megabyte, and there are about four pairs to a label beyond ``WIDTH`` families.
-Every prediction reads the whole text.  Null texts and texts without a letter get ``und``
+Every prediction reads the whole text.
+
+Every class has a share too, so scores tell languages apart but never reject a text.  That is what ``known`` is for: the
+share of the text's sequences of at least two letters that are usual in a language (``USUAL`` of its training
+documents' sequences or more, in two different texts at least), divided by the median of this share over its training documents, each held against the
+others; the largest of all languages counts, so a text taken for the wrong language stays.  A text without such a sequence has nothing to be rejected by and gets 1, as does a text in
+a language learned from one or two documents.  Junk that makes up a part of a label's documents is usual there.  Null texts and texts without a letter get ``und``
 and score 0; so does everything if no labelled document exists.  With one label in all, every text with a letter gets
 it with score 1.  Ties go to the alphabetically first class.  Repeated rows get equal results; other columns aren't
 read.
@@ -33,6 +39,7 @@ PER_LANGUAGE = 1500
 ROWS = 64 * PER_LANGUAGE
 LEAST_ROWS = 20
 WIDTH = 16
+USUAL = 5e-5
 
 #: Families of language codes.  A code that isn't here is a family of its own.
 FAMILIES = {
@@ -66,7 +73,21 @@ def grams(text: str) -> Iterator[np.ndarray]:
     for at in range(0, len(data) - 2, _SLICE):
         b = _LETTERS[data[at:at + _SLICE + 2]]
         code = b[:-2] | (b[1:-1] << np.uint32(8)) | (b[2:] << np.uint32(16))
-        yield (code * np.uint32(2654435761)) >> np.uint32(16)
+        yield _bucket(code)
+
+
+def _bucket(code: np.ndarray) -> np.ndarray:
+    return (code * np.uint32(2654435761)) >> np.uint32(16)
+
+
+def _bare() -> np.ndarray:
+    """Buckets of sequences with less than two letters, which any text has."""
+    letter, space = np.unique(_LETTERS), np.uint32(32)
+    return np.unique(_bucket(np.concatenate([letter | (space << np.uint32(8)) | (space << np.uint32(16)), space | (letter << np.uint32(8)) | (space << np.uint32(16)), space | (space << np.uint32(8)) | (letter << np.uint32(16))])))
+
+
+#: Whether a bucket's sequences tell of a language.
+_TELLING = ~np.isin(np.arange(BUCKETS), _bare())
 
 
 _SAMPLE = pa.schema([("lang", pa.string()), ("at", pa.binary()), ("value", pa.binary())])
@@ -134,6 +155,18 @@ class Pairs:
 _SCALE = 20.0
 
 
+def usual(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
+    """Which buckets are usual in a language, as bits, and the median share of usual ones in its documents."""
+    once = {(at.tobytes(), value.tobytes()): (at, value) for at, value in rows}.values()
+    told = [(at[own], value[own] / value[own].sum()) for at, value in once if (own := _TELLING[at]).any()]
+    total, texts = np.zeros(BUCKETS), np.zeros(BUCKETS, np.int64)
+    for at, value in told:
+        total[at] += value
+        texts[at] += 1
+    shares = [value[(total[at] - value >= USUAL * (len(told) - 1)) & (texts[at] > 2)].sum() for at, value in told] or [0.0]
+    return np.packbits((total >= USUAL * len(told)) & (texts > 1)), float(np.median(shares))
+
+
 def bundles(names: list[str], centres: np.ndarray, number: int) -> list[list[str]]:
     """Names in bundles of like centres: each joins the nearest of far apart seeds that has room."""
     seeds, far = [0], np.full(len(names), np.inf)
@@ -158,6 +191,11 @@ class Model:
             families.setdefault(family(x), []).append(x)
         if labels:
             self.root = self._grow(families, rows, labels)
+        by = {x: [] for x in self.languages}
+        for r, x in zip(rows, labels, strict=True):
+            by[x].append(r)
+        told = [usual(own) for own in by.values()]
+        self.usual, self.typical = np.array([bits for bits, _ in told]), np.array([typical for _, typical in told])
 
     def _grow(self, groups: dict[str, list[str]], rows: list, labels: list[str]):
         """``groups`` are classes of this node and their languages; only rows of these languages take part."""
@@ -179,9 +217,19 @@ class Model:
             below[name] = one[0] if len(one) == 1 else self._grow(own, [rows[i] for i in at], [labels[i] for i in at])
         return node, below
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def known(self, language: str, at: np.ndarray, number: np.ndarray) -> float:
+        telling = _TELLING[at]
+        at, number = at[telling], number[telling]
+        if not len(at) or not self.typical[self.languages.index(language)]:
+            return 1.0
+        own = (self.usual[:, at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+        share = own @ number / number.sum() / np.where(self.typical > 0, self.typical, np.inf)
+        return float(min(1.0, share.max()))
+
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score and known share."""
         if not self.languages or not has_letter(text):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         found = np.zeros(BUCKETS, np.int64)
         for g in grams(text):
             found += np.bincount(g, minlength=BUCKETS)
@@ -191,7 +239,7 @@ class Model:
             pairs, below = node
             name, share = pairs.best(number @ pairs.weights[at] + pairs.weights[-1])
             score, node = score * share, below[name]
-        return node, score
+        return node, score, self.known(node, at, number)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -220,13 +268,15 @@ def train(docs: DataFrame) -> Model:
     return Model(vectors, [r[0] for r in rows])
 
 
-def _predictor(model: Model):
+def _predictor(model: Model, known: bool = False):
+    names = ["lang_pred", "score", *["known"] * known]
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every column but the last, the text, passes through."""
         for batch in batches:
             found = [model.predict(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            own = batch.columns[:-1] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(own, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            new = [pa.array([x[k] for x in found], pa.float64() if k else pa.string()) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + new, names=[*batch.schema.names[:-1], *names])
 
     return predict
 
@@ -239,8 +289,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def label_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc``, the document's row as it was, with lang_pred and score."""
+    """``doc``, the document's row as it was, with lang_pred, score and known."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
-    ddl = f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(_predictor(model), ddl)
+    ddl = f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double, known double"
+    return rows.mapInArrow(_predictor(model, known=True), ddl)

@@ -1,5 +1,6 @@
 """Vector operators, chats and the pipeline against brute force."""
 
+import base64
 import math
 import random
 
@@ -9,7 +10,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat, lattice, stable_search
+from millrace.llm import chat, language, lattice, stable_search
 from millrace.llm.common import keep
 from millrace.llm.queries import QUERIES
 
@@ -178,6 +179,17 @@ def test_native_operators_have_no_python_nodes(spark):
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow")), name
 
 
+def test_junk_and_unknown_languages_go_clean_documents_stay(spark):
+    docs, rng = spark.read.parquet(f"{SF}/documents.parquet"), np.random.default_rng(11)
+    junk = [rng.bytes(300).hex(), base64.b64encode(rng.bytes(300)).decode(), "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 500))]
+    junk += ["все люди рождаются свободными и равными в своем достоинстве и правах", "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw"]
+    rows = [(10**6 + i, t, lang, "s", len(t)) for i, t in enumerate(junk * 2) for lang in ([None, "en"][i // len(junk)],)]
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.union(spark.createDataFrame(rows, docs.schema)), SF).select("doc_id").collect()}
+    assert not [i for i in kept if i >= 10**6]
+    clean = docs.where(language.held_out() & F.col("text").rlike("[A-Za-z]")).collect()
+    assert len(clean) > 20 and all(r.doc_id in kept for r in clean)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "12 ..", "en", "s", 5), (10**6 + 2, docs.first().text, "en", None, 1)], docs.schema)
