@@ -258,11 +258,12 @@ def shard_files_read_back(spark, d):
 @_R.add("""
 SELECT doc_id, true AS same_slot, true AS in_range FROM documents""")
 def slots_of_wide_keys(spark, d):
-    """Equal slices give equal slots whatever their spelling, also for characters outside the basic plane."""
-    key = F.concat(F.lit("\U0001F600"), F.substring("text", 1, 20))
-    slot = [slots.string_slot(key, part) for part in ("0:32", "0:33", ":", "0:22")]
-    docs = table(spark, d, "documents")
-    return docs.select("doc_id", ((slot[0] == slot[1]) & (slot[1] == slot[2]) & (slot[2] == slot[3])).alias("same_slot"), slot[0].between(0, 1023).alias("in_range"))
+    """Equal slices give equal slots whatever their spelling, for whole texts and for narrow slices of short keys."""
+    wide, short = F.concat(F.lit("\U0001F600"), "text"), F.concat(F.lit("\U0001F600"), F.col("doc_id").cast("string"))
+    slot = [slots.string_slot(wide, part) for part in (":", f"0:{2**31 - 1}", f"-{2**31 - 1}:")]
+    few = [slots.string_slot(short, part) for part in (":", "0:32", "0:64", "-40:")]
+    same = reduce(lambda a, b: a & b, [x == own[0] for own in (slot, few) for x in own[1:]])
+    return table(spark, d, "documents").select("doc_id", same.alias("same_slot"), slot[0].between(0, 1023).alias("in_range"))
 
 
 @_R.add("""

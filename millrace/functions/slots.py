@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 SLOTS = 1024
@@ -36,25 +38,64 @@ def int_slot(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint").bitwiseAND(F.lit(SLOTS - 1)), F.lit(0)).cast("int")
 
 
+#: Slices of at most this many units are columns; wider and open ones fold in numpy.
+NARROW = 64
+
+
 def string_slot(c: Column, hash_slice: str | int = "0:8") -> Column:
     """Low ten bits of ``h = 31 * h + unit`` over a slice of the key's UTF-16 units.
 
-    One rule for every slice: the units are four hex digits each of the UTF-16
-    form, and only the low ten bits are kept on the way, which multiplication
-    keeps exact.  No Python and no branch on the length of slice or key.
+    One rule in two forms, picked by the slice and never by the data: the usual narrow slice is cut out first and
+    folded as a column; a wide or open slice may cover a whole text, where a fold in interpreted columns costs
+    several times a numpy product over Arrow batches.  Both are linear in the length of the slice.
     """
     start, end = parse_slice(hash_slice)
-    units = F.hex(F.encode(F.coalesce(c.cast("string"), F.lit("")), "UTF-16BE"))
-    length = F.length(units) / 4
-    first = F.lit(start) if start >= 0 else F.greatest(length + start, F.lit(0))
-    last = F.least(F.lit(end), length) if end > 0 else length + end
-    places = F.sequence(first.cast("int"), last.cast("int") - 1)
+    key = F.coalesce(c.cast("string"), F.lit(""))
+    if 0 <= start < end <= start + NARROW:
+        # ``end`` characters hold at least ``end`` units, so the rest of a long key is never encoded.
+        return _folded(_units(F.substring(key, 1, end)).substr(4 * start + 1, 4 * (end - start)))
+    if -NARROW <= start < 0 == end:
+        units = _units(F.substring(key, start, -start))
+        return _folded(units.substr(F.greatest(F.length(units) + 4 * start, F.lit(0)) + 1, F.lit(-4 * start)))
+    return _wide(start, end)(key)
+
+
+def _units(key: Column) -> Column:
+    """Four hex digits for each UTF-16 unit."""
+    return F.hex(F.encode(key, "UTF-16BE"))
+
+
+def _folded(units: Column) -> Column:
+    def step(h: Column, unit: Column) -> Column:
+        return (h * 31 + F.conv(unit, 16, 10).cast("int")).bitwiseAND(F.lit(SLOTS - 1))
+
+    return F.aggregate(F.regexp_extract_all(units, F.lit("...."), F.lit(0)), F.lit(0), step)
+
+
+#: Units of one product.
+_PIECE = 1 << 16
+
+
+def _wide(start: int, end: int):
+    """The fold as products of pieces with powers of 31, in wrapping 32-bit numbers, which keep the low ten bits."""
 
-    def step(h: Column, i: Column) -> Column:
-        unit = F.conv(units.substr(i * 4 + 1, F.lit(4)), 16, 10).cast("int")
-        return (h * 31 + unit).bitwiseAND(F.lit(SLOTS - 1))
+    @F.pandas_udf("int")
+    def slot(keys: pd.Series) -> pd.Series:
+        powers = np.cumprod(np.full(_PIECE + 1, 31, np.uint32), dtype=np.uint32) * np.uint32(pow(31, -1, 1 << 32))
+        out = np.zeros(len(keys), np.int32)
+        for i, key in enumerate(keys):
+            units = np.frombuffer(key.encode("utf-16-le"), "<u2")
+            last = min(end, len(units)) if end > 0 else len(units) + end
+            units = units[start if start >= 0 else max(len(units) + start, 0):max(last, 0)]
+            h = 0
+            for at in range(0, len(units), _PIECE):
+                piece = units[at:at + _PIECE]
+                own = piece[::-1].astype(np.uint32) @ powers[:len(piece)]
+                h = (h * int(powers[len(piece)]) + int(own)) % SLOTS
+            out[i] = h
+        return pd.Series(out)
 
-    return F.when(last.cast("int") > first.cast("int"), F.aggregate(places, F.lit(0), step)).otherwise(0)
+    return slot
 
 
 def shard_of(slot: Column, counts: list[int], lengths: list[int]) -> Column:

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -194,7 +195,7 @@ def test_conditional_match_and_nil_rules(spark):
     assert run("math.abs({a})", a=-2.5) == 2.5
 
 
-@pytest.mark.parametrize("key", ["", "abc", "k\U0001F600ey" + "x" * 40, "é" * 33, "\U0001F600" * 20])
+@pytest.mark.parametrize("key", ["", "abc", "k\U0001F600ey" + "x" * 40, "é" * 33, "\U0001F600" * 20, "wé\U0001F600" * 50_000])
 def test_one_slot_rule_for_every_slice(spark, key):
     units = key.encode("utf-16-be")
     units = [units[i] * 256 + units[i + 1] for i in range(0, len(units), 2)]
@@ -219,3 +220,18 @@ def test_statements_split_outside_quotes():
     from millrace.sinks.tables import split_statements
 
     assert [x.strip() for x in split_statements("a ';' b; c \";\" ; `d;`")] == ["a ';' b", 'c ";"', "`d;`"]
+
+
+def test_slot_time_is_linear_in_the_text(spark):
+    """Open and narrow slices of long texts: twice the length takes at most about twice the time."""
+    def seconds(length: int, part: str) -> float:
+        df = spark.range(40).select(F.repeat(F.lit("aé\U0001F600z"), length // 4).alias("k"))
+        taken = []
+        for _ in range(3):
+            start = time.perf_counter()
+            df.select(F.sum(slots.string_slot(F.col("k"), part))).collect()
+            taken.append(time.perf_counter() - start)
+        return min(taken)
+
+    for part in (":", "0:8", "-8:"):
+        assert seconds(200_000, part) < 3 * max(seconds(100_000, part), 0.2), part
