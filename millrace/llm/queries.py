@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.catalogue.common import Registry, table
 from millrace.llm import chat, language, mixing
+from millrace.llm.divergence import divergence
+from millrace.llm.fill_middle import fill_middle, restore
 from millrace.llm.harmonic import pack_documents, packing_digests
 from millrace.llm.lattice import near_vectors
+from millrace.llm.line_dedup import drop_lines
 from millrace.llm.near_copies import near_copies
 from millrace.llm.packed_ids import packed_files
 from millrace.llm.stable_search import nearest
@@ -158,3 +161,75 @@ def op9_near_copies(spark, d):
 @_R.add()
 def op10_lattice_links(spark, d):
     return near_vectors(table(spark, d, "embeddings"))
+
+
+_OP11 = """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS x, sha256('1:' || doc_id) AS h FROM documents),
+  d AS (SELECT doc_id, x, CAST(length(x) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM h),
+  c AS (SELECT doc_id, x, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+  p AS (SELECT *, substr(x, 1, a) AS pre, substr(x, a + 1, b - a) AS mid, substr(x, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(x) AS restored_sha256
+FROM p"""
+
+
+@_R.add(_OP11)
+def op11_fill_middle(spark, d):
+    filled = fill_middle(table(spark, d, "documents"), carry=["doc_id"])
+    return filled.select(
+        "doc.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+_OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+  l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d),
+  k AS (SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+  f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+  m AS (SELECT r, doc_id, place, line, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id"""
+
+
+@_R.add(_OP12)
+def op12_line_dedup(spark, d):
+    kept = drop_lines(table(spark, d, "documents"), carry=["doc_id"])
+    return kept.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_OP13 = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+  g AS (SELECT DISTINCT lang, source FROM d),
+  t AS (SELECT row_number() OVER () AS r, lang, source, regexp_extract_all(x, '[a-z\x{80}-\x{10FFFF}]+') AS ts FROM d),
+  o AS (SELECT r, lang, source, unnest(ts) AS term FROM t),
+  v AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+  size AS (SELECT lang, count(*) AS v, sum(n) AS total FROM v GROUP BY lang),
+  c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN v ON o.lang = v.lang AND o.term = v.term GROUP BY ALL),
+  gt AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY ALL),
+  p AS (SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n,
+      1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (g.total + 5 * size.v) AS p,
+      1 + (CAST(1000000000 AS HUGEINT) * (v.n + 5)) // (size.total + 5 * size.v) AS q
+    FROM gt g JOIN v ON g.lang = v.lang JOIN size ON size.lang = g.lang
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term),
+  s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+  terms AS (SELECT lang, source, term AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms) WHERE rank <= 50"""
+
+
+@_R.add(_OP13)
+def op13_divergence(spark, d):
+    return divergence(table(spark, d, "documents"))
