@@ -6,6 +6,7 @@ from millrace.catalogue.common import Registry, table
 from millrace.operators import cells as c
 from millrace.session import scratch_path
 from millrace.sinks import cells as sink
+from millrace.sinks.keyed import KeyedTable
 
 _R = Registry()
 QUERIES, SQL = _R.queries, _R.sql
@@ -94,6 +95,47 @@ def cell_bulk_files(spark, d):
     return spark.read.parquet(path)
 
 
+_SPLITS = ["tj-1500", "tj-2", "tj-30", "tj-7", "tj-70000"]
+
+
+@_R.add(f"""
+SELECT region, count(*) AS cells, min(row_key) AS first_row, max(row_key) AS last_row FROM (
+  SELECT *, CAST({" + ".join(f"(row_key >= '{s}')::INT" for s in _SPLITS)} AS INTEGER) AS region FROM {_CELLS_SQL}) GROUP BY region""")
+def cell_bulk_regions(spark, d):
+    """Bulk files for the target's own split points: ranges of files don't overlap."""
+    path = scratch_path(spark, "bulk") + "/files"
+    sink.write_bulk(_orders_as_cells(spark, d), path, splits=_SPLITS)
+    told = spark.read.parquet(f"{path}/_index/files")
+    region = F.regexp_extract("file", "region=([0-9]+)/", 1).cast("int").alias("region")
+    return told.groupBy(region).agg(F.sum("rows").alias("cells"), F.min("low").alias("first_row"), F.max("high").alias("last_row"))
+
+
+@_R.add(f"SELECT * FROM {_CELLS_SQL} WHERE row_key IN ('tj-1', 'tj-101', 'tj-999', 'tj-none') AND family = 'f2'")
+def cell_point_scan(spark, d):
+    """Single rows from bulk files; only files whose zone map and Bloom filter let a key pass are opened."""
+    path = scratch_path(spark, "bulk") + "/files"
+    sink.write_bulk(_orders_as_cells(spark, d), path, partitions=16)
+    return sink.read_bulk(spark, path, row_keys=["tj-1", "tj-101", "tj-999", "tj-none"], families=["f2"])
+
+
+@_R.add(f"""
+SELECT * FROM {_CELLS_SQL} WHERE row_key >= 'tj-1000' AND row_key < 'tj-5' AND ts >= TIMESTAMP '1997-01-01'
+ AND ts < TIMESTAMP '1999-06-01'""")
+def cell_range_scan_of_files(spark, d):
+    ntz = lambda s: F.lit(s).cast("timestamp_ntz")
+    path = scratch_path(spark, "bulk") + "/files"
+    sink.write_bulk(_orders_as_cells(spark, d), path, splits=_SPLITS)
+    return sink.read_bulk(spark, path, start_row="tj-1000", stop_row="tj-5", min_ts=ntz("1997-01-01"), max_ts=ntz("1999-06-01"), regions=True)
+
+
+@_R.add(f"SELECT * FROM {_CELLS_SQL} WHERE row_key NOT IN (SELECT 'tj-' || o_orderkey FROM orders WHERE o_orderkey % 100 = 3)")
+def cell_delete_in_place(spark, d):
+    """Rows deleted from a cell table kept by row key, whose files stay."""
+    kept = KeyedTable(spark, scratch_path(spark, "cells") + "/kept", ["row_key"]).create(_orders_as_cells(spark, d))
+    sink.delete_in(kept, table(spark, d, "orders").where("o_orderkey % 100 = 3"), _KEY)
+    return kept.read()
+
+
 @_R.add("SELECT p_partkey, p_brand, p_type, '' AS extra FROM part")
 def pack_and_unpack(spark, d):
     p = table(spark, d, "part")

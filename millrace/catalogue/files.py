@@ -196,8 +196,8 @@ def reprocessed_files(spark, d):
     )
     twice = o.withColumn("o_totalprice", F.col("o_totalprice") * 2)
     for rows in (twice.where("file_id <> 'f2'"), o.where("file_id = 'f2'"), twice.where("file_id = 'f2'")):
-        replace_file_rows(rows, path)
-    return spark.read.schema(o.schema).parquet(path)
+        kept = replace_file_rows(rows, path)
+    return kept.read()
 
 
 @_R.add("""

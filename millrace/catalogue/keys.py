@@ -9,6 +9,7 @@ from millrace.functions import slots
 from millrace.operators.latest import latest_per_key, row_window, within, without
 from millrace.plans.ledger import failure_list, with_details
 from millrace.session import collect_small, scratch_path
+from millrace.sinks.keyed import KeyedTable
 from millrace.sinks.shards import Sharding, shard_counts, with_shard, write_shard_files
 from millrace.sinks.tables import delete_by_key, replace_by_key
 from millrace.sources.ranges import bind, hash_predicates, range_predicates, value_predicates
@@ -99,6 +100,45 @@ def replace_rows_by_key(spark, d):
     return replace_by_key(o, fresh, ["o_custkey"])
 
 
+_AFTER_CHANGES = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 50 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+FROM orders WHERE o_orderkey % 100 <> 3"""
+
+
+def _changed_orders(spark, d):
+    """Orders kept by key: a hundredth deleted by order, a fiftieth of the customers replaced."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    kept = KeyedTable(spark, scratch_path(spark, "keyed") + "/orders", ["o_custkey", "o_orderkey"]).create(o)
+    kept.delete(o.where("o_orderkey % 100 = 3"))
+    fresh = o.where("o_custkey % 50 = 1 and o_orderkey % 100 <> 3").withColumn("o_orderstatus", F.lit("X"))
+    kept.replace(fresh)
+    return kept
+
+
+@_R.add(_AFTER_CHANGES)
+def keyed_table_changes(spark, d):
+    """Deleted and replaced rows beside base files that stay."""
+    return _changed_orders(spark, d).read()
+
+
+@_R.add(_AFTER_CHANGES)
+def keyed_table_compacted(spark, d):
+    """The same after the files that lost rows were rewritten and the old ones removed."""
+    kept = _changed_orders(spark, d)
+    kept.compact(share=0.0)
+    kept.vacuum()
+    return kept.read()
+
+
+@_R.add("SELECT count(*) AS row_count, count(*) FILTER (o_orderkey % 100 = 3) AS deleted FROM orders")
+def keyed_table_files(spark, d):
+    """What the list of files says after a deletion."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    kept = KeyedTable(spark, scratch_path(spark, "keyed") + "/orders", ["o_orderkey"]).create(o)
+    kept.delete(o.where("o_orderkey % 100 = 3").select("o_orderkey"))
+    return kept.files().agg(F.sum("rows").alias("row_count"), F.sum("deleted").alias("deleted"))
+
+
 # --- read splits: the predicates of a parallel database read, applied to a table
 
 

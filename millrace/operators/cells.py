@@ -223,12 +223,37 @@ def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     return cells.join(keys.select("row_key").distinct(), "row_key", "left_anti")
 
 
-def sort_for_bulk(cells: DataFrame, partitions: int | None = None) -> DataFrame:
+def region_of(key: Column, splits: Sequence[str]) -> Column:
+    """Number of the key range a row belongs to: how many of the sorted split points are at or below its key.
+
+    A binary search as a column, so a thousand ranges cost ten comparisons a row.
+    """
+    points = sorted(set(splits), key=str.encode)
+    if not points:
+        return F.lit(0)
+    table = F.lit(points)
+    steps = F.sequence(F.lit(1), F.lit(len(points).bit_length()))
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(points)).alias("high"))
+
+    def step(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        above = F.get(table, middle) <= key
+        open_ = at["low"] < at["high"]
+        return F.struct(
+            F.when(open_ & above, middle + 1).otherwise(at["low"]).alias("low"),
+            F.when(open_ & ~above, middle).otherwise(at["high"]).alias("high"),
+        )
+
+    return F.aggregate(steps, start, step, lambda at: at["low"])
+
+
+def sort_for_bulk(cells: DataFrame, partitions: int | None = None, first: str | None = None) -> DataFrame:
     """Key ranges, each sorted by row, family, qualifier and newest first.
 
     The range covers the whole sort key: a row key with very many cells is
-    spread over several ranges and the files stay in global order.
+    spread over several ranges and the files stay in global order.  ``first``
+    names a column that comes before the key.
     """
-    order = [F.col("row_key"), F.col("family"), F.col("qualifier"), F.col("ts").desc()]
+    order = [*([field(first)] if first else []), F.col("row_key"), F.col("family"), F.col("qualifier"), F.col("ts").desc()]
     ranged = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)

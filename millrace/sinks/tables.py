@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from millrace.functions.text import field
 from millrace.operators.latest import without
 from millrace.plans.spec import SpecError
+from millrace.sinks.keyed import KeyedTable
 from millrace.sinks.text import max_records
 from millrace.sources.hadoop import require_hive
 
@@ -134,6 +135,13 @@ def replace_by_key(target: DataFrame, rows: DataFrame, columns: Sequence[str]) -
     return without(target, rows, columns).unionByName(rows)
 
 
-def replace_file_rows(rows: DataFrame, path: str, id_column: str = "file_id", fmt: str = "parquet") -> None:
-    """Rows of reprocessed files replace their earlier version: one folder per file id."""
-    write_partitioned(rows, path, [id_column], fmt=fmt, replace_partitions=True)
+def replace_file_rows(rows: DataFrame, path: str, id_column: str = "file_id") -> KeyedTable:
+    """Rows of reprocessed files replace their earlier version, in a table kept by file id.
+
+    Only data files that hold an earlier version are touched, and their number follows the rows, not the source files.
+    """
+    table = KeyedTable(rows.sparkSession, path, [id_column])
+    if not table.version():
+        return table.create(rows)
+    table.replace(rows)
+    return table
