@@ -49,6 +49,20 @@ def slices(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
     yield text[start:] if start else text
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches put together up to about ``size`` bytes, so that work per batch pays; one larger stays alone."""
+    held, total = [], 0
+    for batch in batches:
+        if held and total + batch.nbytes > size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, total = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            total += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 class Emitter:
     """Collects output rows as columns and hands them on as Arrow batches of bounded rows and bytes."""
 

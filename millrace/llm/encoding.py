@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import json
-from itertools import chain
+import re
+from array import array
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -18,6 +23,10 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters whose canonical form is themselves and whose lower case is the same in any context and library.
 _PLAIN = regex.compile(r"[\x21-\x7e\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]+")
 _PARTS = regex.compile(WORD_PATTERN)
+#: The same on lower-cased ASCII text without white space.
+_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Bytes of the longest word that is kept.
+_KEPT = 64
 
 
 def byte_characters() -> dict[int, str]:
@@ -50,96 +59,126 @@ def splits_at_spaces(library: Tokenizer) -> bool:
     )
 
 
-class _Index(dict):
-    """Word to number; an unknown word gets the next number and is noted as pending."""
-
-    def __init__(self):
-        super().__init__()
-        self.pending: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.pending.append(word)
-        return number
-
-
 class WordEncoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
 
-    Where the vocabulary drops white space, each distinct word is encoded once by the library and its ids are
-    kept, in about ``words`` words and parts of words; any other vocabulary encodes whole texts.  Most of
-    the library's time goes into normalising and splitting, so words of plain Latin letters, digits and marks are
-    split here and only their parts go to the library's merges; every other word takes the library's whole path.
+    Where the vocabulary drops white space, texts are split at white space and their words numbered by Arrow, a few
+    megabytes at a time, so Python sees each distinct word of a portion once; any other vocabulary encodes whole texts.
+    Words and parts of words keep their ids in two generations of about ``words`` entries: when the young one is full it
+    becomes the old one, and an entry that is met again moves back, so common words are never encoded anew.
+
+    Most of the library's time for a new word goes into normalising and splitting, so words of plain Latin letters,
+    digits and marks are split here and only their new parts go to the library's merges; every other word takes the
+    library's whole path.
     """
 
-    def __init__(self, path: str, words: int = 400_000, size: int = 16 << 20):
+    def __init__(self, path: str, words: int = 300_000):
         self.library = Tokenizer.from_file(path)
         self.by_word = splits_at_spaces(self.library)
-        self.words, self.size = words, size
-        self.model, self.shown = self.library.model, byte_characters()
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.numbers = list(range(self.library.get_vocab_size()))  # ids of all parts share these objects
-        self._clear()
+        self.words = words
+        self.model, shown = self.library.model, byte_characters()
+        self.shown = {b: c for b, c in shown.items() if chr(b) != c}
+        self.added = regex.compile("|".join(regex.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     @property
     def bits(self) -> int:
         """Least width that holds every id of the vocabulary."""
         return max(1, (self.library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
 
-    def _clear(self):
-        self.index, self.held, self.used = _Index(), 0, 0
-        if len(self.parts) > self.words:
-            self.parts.clear()
-        self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
-
-    def _part(self, part: str) -> tuple[int, ...]:
-        written = part if part.isascii() else "".join(map(self.shown.__getitem__, part.encode()))
-        known = self.parts[part] = tuple([self.numbers[t.id] for t in self.model.tokenize(written)])
-        return known
-
-    def _word(self, word: str) -> tuple[int, ...] | list[int]:
-        if word.isascii() and word.isalpha():
-            part = word.lower()
-            return self.parts.get(part) or self._part(part)
-        if not _PLAIN.fullmatch(word) or any(t in word for t in self.added):
-            return self.library.encode(word, add_special_tokens=False).ids
-        found = _PARTS.findall(word.lower())
-        return list(chain.from_iterable([self.parts.get(part) or self._part(part) for part in found]))
-
-    def _learn(self):
-        new = self.index.pending
-        found = [self._word(w.decode("utf-8", "replace")) for w in new]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        base, total = len(self.index) - len(new), int(counts.sum())
-        while len(self.first) < len(self.index):
-            self.first, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.count))
-        while len(self.flat) < self.used + total:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.count[base:len(self.index)] = counts
-        self.first[base:len(self.index)] = self.used + np.cumsum(counts) - counts
-        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.used += total
-        self.held += sum(map(len, new))
-        self.index.pending = []
-
-    def _words(self, words: list[bytes]) -> np.ndarray:
-        if len(self.index) > self.words or self.held + 4 * self.used > self.size:
-            self._clear()
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        if self.index.pending:
-            self._learn()
-        count = self.count[at]
-        ends = np.cumsum(count)
-        within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count)
-        return self.flat[np.repeat(self.first[at], count) + within]
+    def _merge(self, part: str) -> bytes:
+        """Ids of a part by the library's merges."""
+        written = part if part.isascii() else part.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+
+    def _split(self, raw: bytes) -> list[str] | None:
+        """Parts of a plain word."""
+        word = raw.decode("utf-8", "replace")
+        if word.isascii():
+            if word.isprintable() and not self.added.search(word):
+                return _ASCII_PARTS.findall(word.lower())
+        elif _PLAIN.fullmatch(word) and not self.added.search(word):
+            return _PARTS.findall(word.lower())
+        return None
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words not met before."""
+        parts, old, out = self.parts, self.old_parts, []
+        for raw in words:
+            own = [raw.lower().decode()] if raw.isalpha() else self._split(raw)
+            if own is None:
+                out.append(array("I", self.library.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes())
+                continue
+            found = []
+            for part in own:
+                ids = parts.get(part)
+                if ids is None:
+                    ids = parts[part] = old.get(part) or self._merge(part)
+                found.append(ids)
+            out.append(found[0] if len(found) == 1 else b"".join(found))
+        if len(parts) > self.words:
+            self.old_parts, self.parts = parts, {}
+        return out
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words as bytes.  Very long words are not kept, so entries have a bounded size."""
+        young, out = self.young, list(map(self.young.get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        again = list(map(self.old.get, [words[i] for i in missing]))
+        unknown = [words[i] for i, ids in zip(missing, again, strict=True) if ids is None]
+        learned = iter(self._learn(unknown))
+        for i, ids in zip(missing, again, strict=True):
+            out[i] = ids = next(learned) if ids is None else ids
+            if len(words[i]) <= _KEPT:
+                young[words[i]] = ids
+        if len(young) > self.words:
+            self.old, self.young = young, {}
+        return out
+
+    def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts, and each text's number of ids."""
+        split = pc.ascii_split_whitespace(texts)
+        numbered = split.values.dictionary_encode()
+        found = self._ids(numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+        count = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        flat, first = np.frombuffer(b"".join(found), np.uint32), np.cumsum(count) - count
+        at = numbered.indices.to_numpy()
+        own = count[at]
+        ends = np.cumsum(own)
+        ids = flat[np.repeat(first[at] - ends + own, own) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return ids, np.diff(bounds)
+
+    def encode_batch(self, texts: pa.Array, portion: int = 4 << 20) -> Iterator[np.ndarray]:
+        """Ids of each text (null: none) of a string column as unsigned 32-bit values, in order."""
+        if not self.by_word:
+            for text in texts.to_pylist():
+                yield np.array(self.library.encode(text, add_special_tokens=False).ids if text else [], np.uint32)
+            return
+        texts = texts.fill_null("")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            before = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + portion, side="right")))
+            if ends[at] - before > portion:
+                pieces = [self._numbered(pa.array([p], pa.binary()).cast(pa.string()))[0] for p in slices(texts[at].as_py().encode())]
+                yield np.concatenate(pieces)
+            else:
+                ids, counts = self._numbered(texts.slice(at, end - at))
+                bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
+                yield from (ids[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True))
+            at = end
 
     def encode(self, text: bytes | None) -> np.ndarray:
         """Ids of one whole text (null: none) as unsigned 32-bit values."""
-        if not text:
-            return np.zeros(0, np.uint32)
-        if not self.by_word:
-            return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
-        parts = [self._words(part.split()) for part in slices(text)]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+        return next(self.encode_batch(pa.array([text], pa.binary()).cast(pa.string())))
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a process: Spark keeps its Python workers, so a later task goes on with the words of earlier ones."""
+    return WordEncoder(path)

@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Emitter, bound_batches, utf8
-from millrace.llm.encoding import WordEncoder
+from millrace.llm.common import Emitter, bound_batches, gathered
+from millrace.llm.encoding import word_encoder
 from millrace.llm.packed_ids import pack, unpack
 from millrace.session import open_writers, scratch_path
 
@@ -101,11 +101,11 @@ class _Bins:
 
 def _cutter(path: str, end_id: int, capacity: int, waste: float):
     def first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bins = WordEncoder(path), _Bins(capacity, 0)
+        encoder, bins = word_encoder(path), _Bins(capacity, 0)
         bits, end = max(encoder.bits, end_id.bit_length()), np.array([end_id], np.uint32)
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                ids, at = np.concatenate([encoder.encode(text), end]), 0
+        for batch in gathered(batches):
+            for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode_batch(batch.column(1)), strict=True):
+                ids, at = np.concatenate([own, end]), 0
                 for n in cuts(len(ids), capacity, waste):
                     yield from bins.put((doc_id, at, n, len(ids), bits, pack(ids[at:at + n], bits)))
                     at += n

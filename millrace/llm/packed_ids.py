@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Emitter, bound_batches, utf8
-from millrace.llm.encoding import WordEncoder
+from millrace.llm.common import Emitter, bound_batches, gathered
+from millrace.llm.encoding import word_encoder
 from millrace.session import scratch_path
 
 BLOCK = 4096
@@ -99,14 +99,14 @@ class Segment:
 
 def _writer(path: str, end_id: int):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(path), TaskContext.get().partitionId()
+        encoder, part = word_encoder(path), TaskContext.get().partitionId()
         out = Emitter(_SEGMENTS, rows=8)
         names, docs, held, before, number = [], [], 0, 0, 0
         end = np.array([end_id], np.uint32)
         bits = max(encoder.bits, end_id.bit_length())
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                ids = np.concatenate([encoder.encode(text), end])
+        for batch in gathered(batches):
+            for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode_batch(batch.column(1)), strict=True):
+                ids = np.concatenate([own, end])
                 names.append(doc_id)
                 docs.append(ids)
                 held += len(ids)
