@@ -1,9 +1,9 @@
 r"""Personal data replaced by keyed surrogates of the same type and format.
 
-Detected: e-mail addresses, phone numbers (a country code with ``+`` and 7 to 15 digits in any groups; 3-3-4 digits
+Detected: e-mail addresses of any length, phone numbers (a country code with ``+`` and 7 to 15 digits in any groups; 3-3-4 digits
 with separators), card numbers (13 to 19 digits, or groups of 4-4-4-4 and 4-6-5, with a right check digit), IPv4 addresses,
-social security numbers, secrets assigned to a name (``token = "..."``) and names after a title, secrets and names
-however long they are.  Digit strings that fail their check, version numbers and the like stay as they are; so do phone
+social security numbers, secrets assigned to a name (``token = "..."``: to the closing quote, else to white space) and
+names after a title, secrets and names however long they are.  Card numbers lie in an issuer's public range.  Digit strings that fail their check, version numbers and the like stay as they are; so do phone
 numbers without ``+`` and separators, which look like any other number, and national ones in other groups.
 
 Every entity has a normal form (digits of a number, lower-cased address, name without its title); equal normal forms
@@ -20,6 +20,8 @@ through whatever their names.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,15 +49,22 @@ ALPHABETS = {"Latin": "abcdefghijklmnopqrstuvwxyz", "Cyrillic": "абвгдеж
 _TITLE = "|".join(t for own in TITLES.values() for t in own)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _NAME = r"\p{Lu}[\p{L}'\-]++(?: \p{Lu}[\p{L}'\-]++)*+"
-_SECRET_HEAD = r"(?i:(?<![\p{L}\p{N}])(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?)"
-#: A secret's value up to its real end, which is no full stop; values without a letter or digit (filling dots) are none.
-_SECRET = r"(?=[/+\-_.=~%]*+[A-Za-z0-9])[A-Za-z0-9_/+\-.=~%]{15,}[A-Za-z0-9_/+\-=~]"
+_SECRET_NAME = r"(?i:(?<![\p{L}\p{N}])(?:token|secret|password|passwd|api[_\-]?key|access[_\-]?key)[\"']?\s{0,3}[=:]\s{0,3})"
+_SECRET_HEAD = _SECRET_NAME + r"[\"']?"
+#: A secret's value to its real end: in quotes up to the same quote, of any length from 4; else up to white space and without
+#: closing punctuation, if it has 16 characters, or 8 with a digit and a letter.  Values without a letter or digit (filling
+#: dots) are none.
+_SECRET_END = r"[^\s.,;:!?)\]}>\"']"
+_SECRET = "|".join((
+    r"\"(?=[^\"\n]*[A-Za-z0-9])[^\"\n]{4,}+(?=\")", r"'(?=[^'\n]*[A-Za-z0-9])[^'\n]{4,}+(?=')",
+    rf"[\"']?(?=[^\s]*[A-Za-z0-9])[^\s\"']\S{{14}}\S*{_SECRET_END}", rf"[\"']?(?=\S*\d)(?=\S*[A-Za-z])[^\s\"']\S{{6}}\S*{_SECRET_END}",
+))
 _NATIONAL = r"(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)"
 #: Country codes of one and two digits; all others have three.
 _COUNTRY = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 PATTERN = "|".join((
-    _SECRET_HEAD + _SECRET,
-    r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}\-]{1,63}(?:\.[\p{L}\p{N}\-]{1,63}){1,8}",
+    rf"{_SECRET_NAME}(?:{_SECRET})",
+    r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
     rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     r"(?<![\d.])(?:\d{4}[ \-]){3}\d{4}(?!\d)",
@@ -66,10 +75,22 @@ PATTERN = "|".join((
     r"(?<![\p{L}\d+])\+[1-9](?:[ \u00a0\u202f.\-/]?\(?\d\)?){6,14}(?!\d)",
     rf"(?<!\p{{L}})(?:{_TITLE})\.? {_NAME}",
 ))
+#: Public issuer ranges of payment cards with their lengths.  A tenth of all digit strings has a right check
+#: digit by chance; most of those lie outside these ranges.
+ISSUERS = "|".join((
+    "4[0-9]{12,18}",  # Visa
+    "5[0-8][0-9]{11,17}", "(?:222[1-9]|22[3-9][0-9]|2[3-6][0-9]{2}|27[01][0-9]|2720)[0-9]{12}",  # Mastercard, Maestro
+    "3[47][0-9]{13}",  # American Express
+    "3(?:0[0-5]|[689][0-9])[0-9]{11,16}",  # Diners Club
+    "35(?:2[89]|[3-8][0-9])[0-9]{12,15}",  # JCB
+    "6(?:0|2|3|4[4-9]|5|7|9)[0-9]{11,17}",  # Discover, UnionPay, Maestro
+))
 #: What a text must hold to have an entity at all: cheap to look for.
 _HINT = rf"[0-9@]|(?i:token|secret|passw|api[_\-]?key|access[_\-]?key)|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}"
 KINDS = ("email", "phone", "card", "ip", "ssn", "secret", "name")
-_ROUNDS = 40
+#: After this many attempts a kind's own format has no room left (a country code with four free digits has 8,000 numbers):
+#: further surrogates carry an extension, ``x`` and ever more digits.
+_OWN_FORMAT = 20
 
 
 def luhn(digits: str) -> str:
@@ -87,7 +108,8 @@ def _kind(raw: str) -> str:
         f"CASE WHEN {raw} rlike '\\\\A{_sql(_SECRET_HEAD)}' THEN 'secret' WHEN contains({raw}, '@') THEN 'email' "
         f"WHEN {raw} rlike '\\\\p{{L}}' THEN 'name' WHEN {raw} rlike '\\\\A[0-9]+([.][0-9]+){{3}}\\\\z' AND length({digits}) <= 12 THEN 'ip' "
         f"WHEN {raw} rlike '\\\\A[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}\\\\z' THEN 'ssn' "
-        f"WHEN length({digits}) >= 13 AND {raw} rlike '\\\\A[0-9][0-9 -]+\\\\z' THEN CASE WHEN {luhn(digits)} = 0 THEN 'card' END ELSE 'phone' END"
+        f"WHEN length({digits}) >= 13 AND {raw} rlike '\\\\A[0-9][0-9 -]+\\\\z' THEN "
+        f"CASE WHEN {digits} rlike '\\\\A(?:{ISSUERS})\\\\z' AND {luhn(digits)} = 0 THEN 'card' END ELSE 'phone' END"
     )
 
 
@@ -148,10 +170,11 @@ def _draw() -> dict[str, str]:
             f"WHEN c rlike '\\\\p{{L}}' THEN substr('{ALPHABETS['Latin']}', 1 + {at} % 26, 1) ELSE c END), '')"
         )
 
+    wide = f"CASE WHEN attempt >= {_OWN_FORMAT} THEN concat('x', {digits(f'attempt - {_OWN_FORMAT - 4}', '60')}) ELSE '' END"
     more = f"CASE WHEN attempt > 4 THEN {digits('attempt - 4', '100')} ELSE '' END"
     domain = f"concat({letters('regexp_extract(norm, _at_(.*)[.][^.]*$_q_, 1)', 'hd')}, '.', substring_index(norm, '.', -1))"
     domain = domain.replace("_at_", "'@").replace("_q_", "'")
-    card = f"concat(substr(norm, 1, 1), {digits('length(norm) - 2')})"
+    card = f"concat(substr(norm, 1, 4), {digits('length(norm) - 5')})"
     country = f"regexp_extract(norm, '\\\\A[+](?:{_COUNTRY}|[0-9]{{3}})', 0)"
     zero = luhn("concat(body, '0')")
     script = f"CASE WHEN norm rlike '[{ALPHABETS['Cyrillic']}]' THEN 'Cyrillic' WHEN norm rlike '[{ALPHABETS['Greek']}]' THEN 'Greek' ELSE 'Latin' END"
@@ -165,10 +188,10 @@ def _draw() -> dict[str, str]:
         "given": f"CASE WHEN kind = 'name' THEN {given} END", "parts": f"CASE WHEN kind = 'name' THEN {syllables} END",
         "surrogate": (
             f"CASE kind WHEN 'email' THEN concat({letters('substring_index(norm, _s_, 1)')}, {more}, '@', {domain}) "
-            f"WHEN 'phone' THEN concat({country}, string(2 + {num(90)} % 8), {digits(f'length(norm) - length({country}) - 1')}) WHEN 'ssn' THEN {digits('9')} "
-            f"WHEN 'card' THEN concat(body, string((10 - {zero}) % 10)) "
+            f"WHEN 'phone' THEN concat({country}, string(2 + {num(90)} % 8), {digits(f'length(norm) - length({country}) - 1')}, {wide}) WHEN 'ssn' THEN concat({digits('9')}, {wide}) "
+            f"WHEN 'card' THEN concat(body, string((10 - {zero}) % 10), {wide}) "
             f"WHEN 'ip' THEN concat(string(1 + {num(0)} % 223), '.', string({num(1)}), '.', string({num(2)}), '.', string({num(3)})) "
-            f"WHEN 'secret' THEN CASE WHEN norm rlike '\\\\A[0-9a-fA-F]+\\\\z' THEN {letters('norm', alphabets=('abcdef',))} ELSE {letters('norm')} END "
+            f"WHEN 'secret' THEN CASE WHEN norm rlike '\\\\A[0-9a-fA-F]+\\\\z' THEN concat({letters('norm', alphabets=('abcdef',))}, {more}) ELSE concat({letters('norm')}, {more}) END "
             f"ELSE lower(concat(CASE WHEN contains(norm, ' ') THEN concat(given[{num(60)} % size(given)], ' ') ELSE '' END, "
             f"array_join(transform(sequence(1, 2 + attempt), i -> parts[{num('i')} % size(parts)]), ''))) END"
         ).replace("_s_", "'@'"),
@@ -194,7 +217,7 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """
     real = keep(entities.groupBy("kind", "norm").agg(F.min("gender").alias("gender")), "entities")
     taken, rest = None, real
-    for attempt in range(_ROUNDS):
+    for attempt in count():
         tried = keep(drawn(rest, key, attempt), "drawn")
         first = tried.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
         first = first.join(real.select("kind", F.col("norm").alias("surrogate")), ["kind", "surrogate"], "left_anti")
@@ -205,12 +228,11 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         rest = keep(tried.join(won, ["kind", "norm"], "left_anti").select("kind", "norm", "gender"), "rest")
         if rest.isEmpty():
             return taken
-    raise ValueError(f"no distinct surrogates after {_ROUNDS} attempts")
 
 
 def _shown(kind: str, raw: str, norm: str, new: str) -> str:
     """SQL: the surrogate in the mention's format."""
-    own = f"replace({new}, '+', '')"
+    own, extension = f"replace(substring_index({new}, 'x', 1), '+', '')", f"regexp_extract({new}, 'x[0-9]+$', 0)"
     cased = f"CASE WHEN {raw} = upper({raw}) THEN upper({new}) ELSE {{}} END"
     fill = (
         f"aggregate(split({raw}, ''), struct(length({own}) - length(regexp_replace({raw}, '[^0-9]', '')) AS p, '' AS o), (s, c) -> "
@@ -221,7 +243,7 @@ def _shown(kind: str, raw: str, norm: str, new: str) -> str:
     name = f"substr({raw}, 1 + length({raw}) - length({norm}))"
     return (
         f"CASE {kind} WHEN 'email' THEN {cased.format(new)} WHEN 'ip' THEN {new} WHEN 'secret' THEN concat({head}, {new}) "
-        f"WHEN 'name' THEN concat({head}, CASE WHEN {name} = upper({name}) THEN upper({new}) ELSE initcap({new}) END) ELSE {fill} END"
+        f"WHEN 'name' THEN concat({head}, CASE WHEN {name} = upper({name}) THEN upper({new}) ELSE initcap({new}) END) ELSE concat({fill}, {extension}) END"
     )
 
 

@@ -415,3 +415,68 @@ def test_smallest_hashes_keep_every_link():
             told = near_copies.fits(held[0], size, held[1:], np.array([size]))[0]
             linked = near_copies.alike(*sets)
             assert told >= linked and (told == linked or size > near_copies.LEAST)
+
+
+def test_secrets_with_any_characters_and_long_addresses(spark):
+    rows = [
+        'password="abcdefghijklmnop12!REST_of_secret" end', 'password = "P@ssw0rd!longer#than16chars"', "passwd: 'ab c1'.", "token=Zx9$kq#1, next",
+        '{"api_key":"k&1:2*3","x":1}', f"mail {'l' * 90}@x.org now", "a@b.c.d.e.f.g.h.i.j.kk.org", "secret: he left", 'password = "' + "é1 ☃" * 9 + '"',
+        "token = " + "a\U0001F600" * 30_000 + "1", "The password: swordfish was", 'secret = ""', "access_key=0123456789abcdef!.",
+    ]
+    got = {r.doc_id: r for r in surrogates.replace_entities(frame(spark, rows), "key").collect()}
+    new = [got[i].text for i in range(len(rows))]
+    assert not any(old in now for now, parts in zip(new, (
+        ["REST_of", "abcdefgh"], ["P@ss", "longer", "than16"], ["ab c1"], ["Zx9", "kq#1"], ["k&1"], ["llll"], ["a@b", "kk.org@"], [], ["é1"], ["a\U0001F600a\U0001F600a"], [], [], ["0123456789abcdef"],
+    ), strict=True) for old in parts)
+    assert new[7] == rows[7] and new[10] == rows[10] and new[11] == rows[11]
+    assert re.fullmatch(r"token=\w\w\d\$\w\w#\d, next", new[3]) and re.fullmatch(r"passwd: '\w\w \w\d'\.", new[2])
+    assert re.fullmatch(r'\{"api_key":"\w&\d:\d\*\d","x":1\}', new[4]) and new[0].endswith('" end') and re.fullmatch(r"access_key=\w{16}!\.", new[12])
+    assert new[6].count(".") == rows[6].count(".") and new[6].endswith(".org")
+
+
+def test_a_full_space_is_widened(spark):
+    """More numbers of a country code than seven digits leave: the rest get an extension, none twice."""
+    rows = spark.range(12_000).select(F.lit("phone").alias("kind"), F.format_string("+380%04d", "id").alias("norm"), F.lit("").alias("gender"))
+    rows = rows.where("length(norm) = 8")
+    got = surrogates.surrogate_table(rows, "k").collect()
+    made = {r["surrogate"] for r in got}
+    assert len(got) == len(made) == 10_000 and any("x" in s for s in made)
+    assert not {s for s in made if "x" not in s} & {r["norm"] for r in got}
+    shown = spark.sql(f"SELECT {surrogates._shown('kind', 'raw', 'norm', 'new')} FROM VALUES ('phone', '+380 12-34', '+3801234', '+3805678x91') t(kind, raw, norm, new)")
+    assert shown.first()[0] == "+380 56-78x91"
+
+
+def test_cards_need_an_issuer(spark):
+    def card(start, n):
+        body = start + "0" * (n - len(start) - 1)
+        total = sum(int(c) if i % 2 else 2 * int(c) - 9 * (int(c) > 4) for i, c in enumerate(reversed(body)))
+        return body + str(-total % 10)
+
+    cards = [card(*x) for x in (("4", 13), ("4", 16), ("5105", 16), ("2221", 16), ("371", 15), ("3056", 14), ("3530", 16), ("6011", 16), ("62", 17))]
+    other = [card(*x) for x in (("9", 16), ("0", 16), ("1", 16), ("2000", 16), ("35", 14), ("7", 16), ("8", 13))]
+    got = {r.doc_id: r for r in surrogates.replace_entities(frame(spark, [f"no {x} end" for x in cards + other]), "key").collect()}
+    assert [got[i]["__pii_counts"]["card"] for i in range(len(got))] == [1] * len(cards) + [0] * len(other)
+    assert all(got[i].text[:7] == f"no {c[:4]}" and c not in got[i].text for i, c in enumerate(cards))
+
+
+def test_every_detected_entity_goes_and_clean_texts_stay(spark, texts):
+    """An independent detector, written for plain forms only, over the whole table."""
+    def luhn(x):
+        return sum(int(c) if i % 2 == 0 else 2 * int(c) - 9 * (int(c) > 4) for i, c in enumerate(reversed(x))) % 10 == 0
+
+    def found(text):
+        words = [w.strip(".,;:!?()[]\"'") for w in (text or "").split()]
+        out = {w for w in words if w.count("@") == 1 and "." in w.split("@")[1]}
+        out |= {w for w in words if w.count(".") == 3 and all(p.isdigit() and int(p) < 256 for p in w.split("."))}
+        out |= {w for w in words if len(w) == 16 and w[0] == "4" and w.isdigit() and luhn(w)}
+        out |= {a.strip("\"'") for n, eq, a in zip(words, (text or "").split()[1:], words[2:], strict=False) if n.lower() == "token" and eq == "=" and len(a) >= 16}
+        return out | {f"{a} {b}" for a, b in zip(words, words[1:], strict=False) if re.fullmatch(r"\(?\d{3}\)?", a) and re.fullmatch(r"\d{3}-\d{4}", b)}
+
+    everything = set().union(*map(found, texts.values()))
+    got = {r.doc_id: r.text for r in QUERIES["op6_surrogates"](spark, SF).collect()}
+    assert len(got) == len(texts) and len(everything) > 5
+    left = {d: found(t) & everything for d, t in got.items()}
+    assert not any(left.values())
+    hints = re.compile(r"@|\d{3}|(?i:token|secret|passw|key)|\b(?:Mrs?|Ms|Miss|Dr|Prof|Frau|Herr|M[mel]{2,3}|Madame|Monsieur|Se\w+|Sra?|Г\w+|К\w+)\b")
+    clean = [d for d, t in texts.items() if not hints.search(t or "")]
+    assert len(clean) > 20 and all(got[d] == texts[d] for d in clean)
