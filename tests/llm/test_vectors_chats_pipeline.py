@@ -74,6 +74,34 @@ def test_search_odd_rows(spark):
     assert sorted((r.query_id, r.vec_id) for r in twice) == [(1, 2), (2, 1)]
 
 
+@pytest.mark.parametrize("offset,scale", [(0.0, 1.0), (1e5, 1.0), (1e7, 1.0), (0.0, 1e160), (0.0, 1e-170), (3e9, 1e140)])
+def test_search_far_from_zero(spark, monkeypatch, offset, scale):
+    """A common offset and very large or small numbers cost no neighbours."""
+    monkeypatch.setattr(stable_search, "CELL", 200)
+    vectors = (np.random.default_rng(4).standard_normal((800, 64)) * 0.01 + offset) * scale
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = stable_search.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    near = {}
+    for r in got:
+        near.setdefault(r.query_id, []).append(r)
+    hit = 0
+    for q in range(0, 800, 20):
+        far = np.array([math.dist([0.0] * 64, (v / scale - vectors[q] / scale).tolist()) for v in vectors]) if scale != 1 else np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        best = set(np.argsort(far, kind="stable")[:10].tolist())
+        hit += len(best & {r.vec_id for r in near[q]})
+        assert all(r.score == pytest.approx(far[r.vec_id] * scale, rel=1e-9 if scale == 1 else 1e-4) for r in near[q])
+    assert hit >= 0.98 * 400
+
+
+def test_search_cuts_crowded_cells_into_parts(spark, monkeypatch):
+    """One cell, cut into parts and blocks: the same neighbours."""
+    monkeypatch.setattr(stable_search, "PART", 100 * 16)
+    monkeypatch.setattr(stable_search, "BLOCK", 7)
+    vectors = clustered(900, 3, 0.2, seed=9)
+    check_search(stable_search.nearest(frame(spark, vectors), F.col("vec_id") % 20 == 0).collect(), range(900), vectors, range(0, 900, 20))
+
+
 def test_chi_square_quantile():
     assert stable_search.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
     assert stable_search.chi_square_quantile(0.5, 2) == pytest.approx(2 * math.log(2), abs=1e-6)
