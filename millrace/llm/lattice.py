@@ -106,19 +106,16 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each cell of each vector: cell, home, node, weight, embedding."""
+    """A row for each cell of each vector: cell, home, node."""
     for batch in batches:
         for rows, m in matrices(batch.column("embedding")):
             step = max(1, 20_000 // (TABLES * (1 + PROBES)))
             for at in range(0, len(rows), step):
                 own = rows[at:at + step]
                 cells = codes(unit(m[at:at + step])).reshape(len(own), -1)
-                table = batch.take(pa.array(np.repeat(own, cells.shape[1])))
+                node = batch.column("node").take(pa.array(np.repeat(own, cells.shape[1])))
                 home = np.tile(np.arange(cells.shape[1]) % (1 + PROBES) == 0, len(own))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells.ravel()), pa.array(home), table.column("node"), table.column("weight"), table.column("embedding")],
-                    names=["cell", "home", "node", "weight", "embedding"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), pa.array(home), node], names=["cell", "home", "node"])
 
 
 _OUT = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("count", pa.int64())])
@@ -227,12 +224,14 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     rows = vectors.select("vec_id", F.when(usable(), F.col("embedding")).alias("embedding"))
     entries = rows.where("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"))
     entries = keep(entries.withColumn("entry", F.monotonically_increasing_id()), "entries")
-    visits = entries.select("embedding", F.col("entry").alias("node"), "weight")
-    visits = visits.mapInArrow(_visits, f"cell long, home boolean, node long, weight long, embedding {kind}")
+    visits = entries.select("embedding", F.col("entry").alias("node")).mapInArrow(_visits, "cell long, home boolean, node long")
     visits = keep(visits, "visits")
     sizes = visits.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("any")).where("n > 1 and any")
-    sizes = sizes.select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = visits.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    sizes = keep(sizes.select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "sizes")
+    # Vectors move only for visits to cells where they meet another one.
+    met = keep(visits.join(sizes, "cell"), "met")
+    dealt = met.join(entries.select(F.col("entry").alias("node"), "weight", "embedding"), "node")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "cell", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
@@ -242,10 +241,11 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     found = keep(tasks.mapInArrow(_verified, "node long, other long, count long"), "found")
     counts = found.groupBy("node").agg(F.sum("count").alias("links"))
     joined = components(found.where("node <> other").select("node", "other"))
-    labels = entries.select("entry", "node").join(joined.withColumnRenamed("node", "entry"), "entry")
-    smallest = labels.groupBy("component").agg(F.min("node").alias("component_id"))
-    told = entries.join(counts.withColumnRenamed("node", "entry"), "entry", "left").join(joined.withColumnRenamed("node", "entry"), "entry", "left")
-    told = told.join(smallest, "component", "left").select(
+    labels = keep(entries.select("entry", "node").join(joined.withColumnRenamed("node", "entry"), "entry"), "labels")
+    smallest = keep(labels.groupBy("component").agg(F.min("node").alias("component_id")), "smallest")
+    # Only linked entries meet their component; all others have no row here and keep their own id.
+    linked = labels.select("entry", "component").join(smallest, "component").select("entry", "component_id")
+    told = entries.join(counts.withColumnRenamed("node", "entry"), "entry", "left").join(linked, "entry", "left").select(
         "embedding", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "node").alias("component_id")
     )
     out = rows.join(told, "embedding", "left")
