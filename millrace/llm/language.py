@@ -226,8 +226,8 @@ class Model:
         share = own @ number / number.sum() / np.where(self.typical > 0, self.typical, np.inf)
         return float(min(1.0, share.max()))
 
-    def predict(self, text: str | None) -> tuple[str, float, float]:
-        """Language, score and known share."""
+    def predict(self, text: str | None, known: bool = True) -> tuple[str, float, float]:
+        """Language, score and, if asked, known share."""
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, 0.0
         found = np.zeros(BUCKETS, np.int64)
@@ -239,7 +239,7 @@ class Model:
             pairs, below = node
             name, share = pairs.best(number @ pairs.weights[at] + pairs.weights[-1])
             score, node = score * share, below[name]
-        return node, score, self.known(node, at, number)
+        return node, score, self.known(node, at, number) if known else 1.0
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -261,7 +261,7 @@ def train(docs: DataFrame) -> Model:
     each = max(LEAST_ROWS, min(PER_LANGUAGE, ROWS // len(counts)))
     rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, each / r["count"])) for r in counts], "lang string, rate double")
     share = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1_000_000)) / 1_000_000.0
-    sample = labelled.withColumn("share", share).join(F.broadcast(rates), "lang").where("share < rate")
+    sample = labelled.withColumn("share", share).join(rates, "lang").where("share < rate")
     sample = sample.select("lang", "text").mapInArrow(_vectors, "lang string, at binary, value binary")
     rows = sorted((r["lang"], bytes(r["at"]), bytes(r["value"])) for r in sample.collect())
     vectors = [(np.frombuffer(a, np.uint16).astype(np.int64), np.frombuffer(v, np.float32) * np.float32(_SCALE)) for _, a, v in rows]
@@ -274,7 +274,7 @@ def _predictor(model: Model, known: bool = False):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every column but the last, the text, passes through."""
         for batch in batches:
-            found = [model.predict(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            found = [model.predict(t, known) for t in batch.column(batch.num_columns - 1).to_pylist()]
             new = [pa.array([x[k] for x in found], pa.float64() if k else pa.string()) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + new, names=[*batch.schema.names[:-1], *names])
 
