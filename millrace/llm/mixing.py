@@ -14,12 +14,14 @@ the last category's shares exact.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import keep
 
-#: Rounds between two looks at the margins; each look is one written table of cells.
+#: Rounds after which the cells are written, so that plans stay short.
 _STRIDE = 3
 
 
@@ -49,17 +51,25 @@ def _margins(cells: DataFrame, name: str, target: float | dict[str, float]) -> D
 
 
 def fit(cells: DataFrame, targets: dict[str, float | dict[str, float]], tolerance: float = 1e-9, rounds: int = 60) -> DataFrame:
-    """Cells with ``fitted``, their share of the mix.  Cells are far fewer than documents, but stay distributed."""
+    """Cells with ``fitted``, their share of the mix, until all margins are met within ``tolerance``.
+
+    Cells are far fewer than documents, but stay distributed: a category's margins are an aggregate with partial sums
+    in each task, written and joined back, so a value that most cells share is no task of its own.  The margins found
+    before a round's steps tell whether the round before it had ended.
+    """
     for name, target in targets.items():
         cells = cells.join(_margins(cells, name, target), name)
     cells = keep(cells.withColumn("fitted", F.col("mass").cast("double")), "cells")
-    for _ in range(0, rounds, _STRIDE):
-        for name in [*targets] * _STRIDE:
-            total = F.sum("fitted").over(Window.partitionBy(name))
-            cells = cells.withColumn("fitted", F.when(total > 0, F.col("fitted") * F.col(f"t_{name}") / total).otherwise(0.0))
-        cells = keep(cells, "cells")
-        off = [F.abs(F.sum("fitted").over(Window.partitionBy(name)) - F.col(f"t_{name}")) for name in targets]
-        worst = cells.select(F.array_max(F.array(*off)).alias("off")).agg(F.max("off")).first()[0]
+    for number in range(rounds):
+        off = []
+        for name in targets:
+            seen = keep(cells.groupBy(name, f"t_{name}").agg(F.sum("fitted").alias("seen")), "margins")
+            off.append(seen.select(F.abs(F.col("seen") - F.col(f"t_{name}")).alias("off")))
+            scaled = F.when(F.col("seen") > 0, F.col("fitted") * F.col(f"t_{name}") / F.col("seen")).otherwise(0.0)
+            cells = cells.join(seen.select(name, "seen"), name).withColumn("fitted", scaled).drop("seen")
+        if number % _STRIDE == _STRIDE - 1:
+            cells = keep(cells, "cells")
+        worst = reduce(DataFrame.union, off).agg(F.max("off")).first()[0]
         if worst is None or worst <= tolerance:
             break
     return cells

@@ -76,8 +76,9 @@ def op4_language_id(spark, d):
 #: Exponents on observed shares: rare languages, sources and topics get more than their part.
 MIX_TARGETS = {"source": 0.7, "lang": 0.5, "topic": 0.6}
 MIX_PART = 0.5
-#: A fixed number of rounds, which SQL can write out; the last category's shares are exact after any round.
-MIX_ROUNDS = 12
+#: The operator stops where all margins hold; SQL writes out more rounds than that takes.
+MIX_TOLERANCE = 1e-12
+_SQL_ROUNDS, _SQL_SCALES = 15, 16
 
 _STEP = """
   {name} AS (SELECT s, l, t, mass, ts, tl, tt, n, CASE WHEN sum(f) OVER (PARTITION BY {key}) > 0
@@ -92,7 +93,7 @@ def _rake_sql(rounds: int) -> str:
             steps.append(_STEP.format(name=f"r{i}{key}", key=key, target=target, of=of))
             of = f"r{i}{key}"
     scales = ["k0 AS (SELECT (SELECT wanted FROM total) / (SELECT sum(f) FROM fitted) AS k)"]
-    for i in range(1, 9):
+    for i in range(1, _SQL_SCALES + 1):
         scales.append(
             f"k{i} AS (SELECT coalesce(((SELECT wanted FROM total) - sum(CASE WHEN f * p.k >= mass THEN mass ELSE 0 END))"
             f" / nullif(sum(CASE WHEN f * p.k >= mass THEN 0 ELSE f END), 0), max(p.k)) AS k FROM fitted, k{i - 1} p)"
@@ -115,17 +116,17 @@ WITH d AS (
 {",".join(steps)},
   fitted AS (SELECT * FROM {of} WHERE f > 0),
   {", ".join(scales)},
-  p AS (SELECT s, l, t, round(least(1.0, f * (SELECT k FROM k8) / mass), 6) AS probability FROM {of})
+  p AS (SELECT s, l, t, round(least(1.0, f * (SELECT k FROM k{_SQL_SCALES}) / mass), 6) AS probability FROM {of})
 SELECT doc_id, s AS source, l AS lang, t AS topic, w AS weight, probability,
   CAST('0x' || substr(md5('mix:' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0 < probability AS sampled
 FROM d JOIN p USING (s, l, t)"""
 
 
-@_R.add(_rake_sql(MIX_ROUNDS))
+@_R.add(_rake_sql(_SQL_ROUNDS))
 def op5_mixing(spark, d):
     docs = table(spark, d, "documents")
     categories = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of()}
-    mixed = mixing.mix_documents(docs, categories, MIX_TARGETS, MIX_PART, carry=["doc_id"], tolerance=0.0, rounds=MIX_ROUNDS)
+    mixed = mixing.mix_documents(docs, categories, MIX_TARGETS, MIX_PART, carry=["doc_id"], tolerance=MIX_TOLERANCE)
     return mixed.select("doc.doc_id", *categories, "weight", "probability", "sampled")
 
 
