@@ -1,8 +1,8 @@
 """Jobs given as one flat map of string properties.
 
-Only properties that say *what* a job computes are read; those that tune
-another engine (task counts, buffers, hosts, region settings) have no meaning
-here and are left alone.  What cannot be expressed by properties alone (a user
+The names are a closed set: a property is read, or it is listed as one that
+only tunes another engine (task counts, buffers, hosts, region settings), or
+the job is refused.  What cannot be expressed by properties alone (a user
 hook, a connection kept out of the map) is passed as an argument.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -27,6 +28,8 @@ from millrace.sinks.text import publish_path, write_delimited, write_sequence
 from millrace.sources.archives import read_mixed_lines
 from millrace.sources.hadoop import read_query, read_sequence
 from millrace.sources.jdbc import Database, read_by_range, read_table
+from millrace.session import collect_small
+from millrace.sources.ranges import bind, parameter_list
 from millrace.sources.text import parse_fields
 
 # Property names.
@@ -73,6 +76,24 @@ REFUSED = (
     "input.mr.mapred.file.force.do", "input.mr.mapred.file.joblogid.do", "input.mr.mapred.file.joblogtime.do",
     "input.mr.mapred.file.jobfail",
 )
+# A query with parameters, which are literals or a query of their own; some columns fill macros by name or place.
+RDB_QUERY, RDB_PARAMS, RDB_MACROS = "mapred.rdb.input.querysql", "mapred.rdb.input.query.params", "mapred.rdb.input.query.macro.names"
+RDB_IS_MACROS = "input.mr.mapred.query.param.ismacros"
+JDBC_BOUNDS = "input.mr.mapred.jdbc.bounding.query"
+# Names that only tune another engine: split counts, buffers, hosts, storage settings.  They change no result.
+TUNING = (
+    "input.sys.mr.mapred.maper.is.combiner", "input.sys.mr.mapred.class", "input.sys.mr.mapred.resource", "input.sys.mr.mapred.data.source.id",
+    "input.mr.mapred.fs.default.name", "input.mr.mapred.jdbc.count.query", "input.mr.mapred.hbase.zookeeper.quorum",
+    "input.mr.mapred.hbase.zookeeper.znode.parent", "input.mr.mapred.hbase.zookeeper.property.clientPort",
+    "input.mr.mapred.hbase.client.scanner.caching", "output.sys.mr.mapred.data.source.id", "output.mr.mapred.fs.default.name",
+    "output.mr.maperd.write.buffersize", "output.mr.mapred.hive.partition.write.buffersize", "output.mr.mapred.hive.partition.temp.path",
+    "output.mr.mapred.hbase.zookeeper.quorum", "output.mr.mapred.hbase.zookeeper.znode.parent",
+    "output.mr.mapred.hbase.zookeeper.property.clientPort", "output.mr.mapred.hbase.client.scanner.caching", "output.mr.maperd.hbase.wal.flag",
+    "output.mr.maperd.hbase.set.inmemory", "output.mr.maperd.hbase.set.commit.bufferlength", "output.mr.maperd.hbase.memstore.flushsize",
+    "output.mr.maperd.hbase.isdeferredlog.flush", "output.mr.maperd.hbase.hfile.maxfilesize", "output.mr.maperd.hbase.hbasejar.name",
+    "output.mr.maperd.hbase.bloomfiltertype", "output.mr.maperd.hbase.colmun.blocksize", "output.mr.maperd.hbase.colmun.compressiontype",
+    "output.mr.maperd.hbase.colmun.compactioncompressiontype", "output.mr.mapred.is.optimize.table",
+)
 JDBC = {
     "url": "mr.mapred.jdbc.url",
     "user": "mr.mapred.jdbc.username",
@@ -101,9 +122,52 @@ CELLS = {
 TEXT, SEQUENCE = "FILETEXT", "FILESEQUENCE"
 CATALOG = ("HIVETEXT", "HIVESEQUENCE", "HIVERCFILE")
 CELL_TYPES = ("HBASE", "NHFILE", "NHBASE")
+#: Parameter rows of one job; each is the text of a query.
+PARAMETER_ROWS = 100_000
 DATABASES = ("MYSQLROW", "MYSQLDATA", "ORACLEROW", "ORACLEDATA", "POSTGRESQL", "VERTICA", "RDBNORM")
 
 
+_FILES_IN = (INPUT_DIR, IN_FIELD_SEP, IN_ROW_SEP, CHARSET, SKIP_LINES, NAME_FILTER_ON, NAME_FILTER, NAME_FILTER_INCLUDE)
+_FILES_OUT = (OUTPUT_DIR, OUT_FIELD_SEP, OUT_ROW_SEP, OUT_COMPRESS, OUT_CODEC, OUT_CODEC_KIND, *OUT_TARGETS)
+_DATABASE_IN = (*(f"input.{JDBC[k]}" for k in ("url", "user", "password", "table", "query", "where", "column", "fetch")), JDBC_BOUNDS)
+_DATABASE_OUT = (*(f"output.{JDBC[k]}" for k in ("url", "user", "password", "table", "batch")), *OUT_STATEMENTS)
+_CELLS_IN = tuple(f"input.{CELLS[k]}" for k in ("table", "sep", "layout", "start", "stop", "filter", "families", "columns", "times", "time"))
+_CELLS_OUT = (*(f"output.{CELLS[k]}" for k in ("table", "sep", "layout", "key", "unique")), CELL_DELETE, OUTPUT_DIR, *OUT_TARGETS)
+#: Names that have an effect, for every job and by type of source and sink.
+ANY_TYPE = (
+    INPUT_TYPE, OUTPUT_TYPE, INPUT_FIELDS, OUTPUT_FIELDS, MAPPING, MAP_OPS, REDUCE_OPS, MAP_KEEP, REDUCE_KEEP, DEFAULTS, VALIDATE_ONLY,
+    REJECT_PATH, MAP_PLUGIN, REDUCE_PLUGIN,
+    # How lines are written and where files lie: shared by job templates, without meaning for a type that has no files.
+    INPUT_DIR, OUTPUT_DIR, IN_FIELD_SEP, IN_ROW_SEP, OUT_FIELD_SEP, OUT_ROW_SEP,
+)
+SOURCE_NAMES = {
+    TEXT: _FILES_IN, SEQUENCE: (INPUT_DIR, IN_FIELD_SEP), **dict.fromkeys(CATALOG, (IN_QUERY,)), **dict.fromkeys(CELL_TYPES, _CELLS_IN),
+    **dict.fromkeys(DATABASES, _DATABASE_IN), "RDBNORM": (*_DATABASE_IN, RDB_QUERY, RDB_PARAMS, RDB_MACROS, RDB_IS_MACROS),
+}
+SINK_NAMES = {
+    TEXT: (*_FILES_OUT, OUT_PARTITIONS, OUT_MAX_ROWS), SEQUENCE: _FILES_OUT, **dict.fromkeys(CATALOG, (OUT_TABLE, OUT_DDL, OUT_PARTITIONS)),
+    **dict.fromkeys(CELL_TYPES, _CELLS_OUT), **dict.fromkeys(DATABASES, _DATABASE_OUT),
+}
+
+
+def check_names(p: _Reader, own_source: bool, own_sink: bool) -> None:
+    """Every set property of the map is one the job uses, or one known to change no result; any other is an error.
+
+    With a source or sink passed as an argument, the names of any type are accepted for that side.
+    """
+    kinds = [(p.get(key, "").split(",")[-1].strip(), table, own) for key, table, own in ((INPUT_TYPE, SOURCE_NAMES, own_source), (OUTPUT_TYPE, SINK_NAMES, own_sink))]
+    known = {*ANY_TYPE, *TUNING, *REFUSED}
+    for kind, table, own in kinds:
+        known |= {n for names in table.values() for n in names} if own else set(table.get(kind, ()))
+    everywhere = {n for table in (SOURCE_NAMES, SINK_NAMES) for names in table.values() for n in names}
+    for name in sorted(p.values):
+        if name in known or p.get(name) is None or not name.startswith(("input.", "output.", "mapred.rdb.", "mapreduce.input.", "mapreduce.output.")):
+            continue
+        if name in everywhere:
+            raise SpecError(f"property {name} has no effect with source {kinds[0][0]!r} and sink {kinds[1][0]!r}")
+        raise SpecError(f"property {name} is not known")
+
+
 class _Reader:
     def __init__(self, values: Mapping[str, str]):
         self.values = values
@@ -152,6 +216,7 @@ def job_from_properties(
     for key, hook, name in ((MAP_PLUGIN, row_hook, "row_hook"), (REDUCE_PLUGIN, group_hook, "group_hook")):
         if p.get(key) and hook is None:
             raise SpecError(f"the job names a plugin in {key}: pass its Python form as {name}")
+    check_names(p, source is not None, sink is not None)
     for key in REFUSED:
         if p.get(key, "false").strip().lower() not in ("false", "0"):
             raise SpecError(f"property {key} is not supported")
@@ -251,12 +316,49 @@ def _database(p: _Reader, side: str) -> Database:
     )
 
 
+def parameter_rows(spark: SparkSession, db: Database, text: str) -> list[dict]:
+    """Parameter rows of a parameterised query: those of a query, or one row for each listed literal."""
+    if text.lstrip()[:6].lower() == "select":
+        return [r.asDict() for r in collect_small(read_table(spark, db, text), PARAMETER_ROWS, "parameter rows")]
+    return parameter_list(text)
+
+
+def bound_queries(template: str, rows: list[dict], macros: list[str]) -> list[str]:
+    """The query of each parameter row.  ``macros`` name the columns, or their places, that fill macros; the others fill marks."""
+    out = []
+    for row in rows:
+        names = list(row)
+        chosen = {names[int(m)] if m.isdigit() and int(m) < len(names) else m for m in macros}
+        if not chosen <= set(names):
+            raise SpecError(f"macros {sorted(chosen - set(names))} are not among the parameters {names}")
+        out.append(bind(template, row, marks=[v for n, v in row.items() if n not in chosen]))
+    return out
+
+
+def _parameterised_rows(spark: SparkSession, p: _Reader, db: Database, partitions: int) -> DataFrame:
+    """Each parameter row's query; several share a split when there are more rows than splits."""
+    rows = parameter_rows(spark, db, p.need(RDB_PARAMS))
+    if not rows:
+        raise SpecError(f"{RDB_PARAMS} gives no parameters")
+    named = [n.strip() for n in p.get(RDB_MACROS, "").split(",") if n.strip()] if p.flag(RDB_IS_MACROS, True) else []
+    queries = bound_queries(p.need(RDB_QUERY), rows, named)
+    each = -(-len(queries) // partitions)
+    splits = [" UNION ALL ".join(queries[i:i + each]) for i in range(0, len(queries), each)]
+    return reduce(DataFrame.union, [read_table(spark, db, q) for q in splits])
+
+
 def _database_rows(spark: SparkSession, p: _Reader, partitions: int) -> DataFrame:
     db = _database(p, "input.")
+    if p.get(RDB_PARAMS):
+        return _parameterised_rows(spark, p, db, partitions)
+    if p.get(RDB_QUERY):
+        return read_table(spark, db, p.need(RDB_QUERY))
     relation = p.get("input." + JDBC["query"]) or p.need("input." + JDBC["table"])
     where, column = p.get("input." + JDBC["where"]), p.get("input." + JDBC["column"])
     if column:
-        return read_by_range(spark, db, relation, column, None, partitions, where=where)
+        bounds = p.get(JDBC_BOUNDS)
+        found = tuple(collect_small(read_table(spark, db, bounds), 1, "bounds")[0]) if bounds else None
+        return read_by_range(spark, db, relation, column, None, partitions, found, where=where)
     return read_table(spark, db, relation, where=where)
 
 

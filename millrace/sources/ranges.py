@@ -141,17 +141,17 @@ def parameter_list(text: str) -> list[dict]:
 _BOUND = re.compile(r"'\{(?P<whole>[^{}']+)\}'|(?P<quoted>'(?:[^']|'')*')|\{(?P<name>[^{}]+)\}|(?P<mark>\?)")
 
 
-def bind(template: str, row: Mapping, dialect: str = "ansi") -> str:
+def bind(template: str, row: Mapping, dialect: str = "ansi", marks: Sequence | None = None) -> str:
     """Macros and ``?`` marks replaced by literals, in one pass over the template.
 
     Macros are ``{NAME}`` or ``{PARAM_MACROS[i]}`` by position.  A quoted macro
     becomes a text literal; within a longer quoted text a macro's value is
-    escaped and joins that text.  ``?`` marks are filled in column order.  What
+    escaped and joins that text.  ``?`` marks are filled in column order, or with ``marks``.  What
     was filled in is not looked at again, and a ``?`` inside quotes is text.
     """
     values = dict(row)
     values.update({f"PARAM_MACROS[{i}]": v for i, v in enumerate(row.values())})
-    marks = iter(row.values())
+    filled = iter(row.values() if marks is None else marks)
 
     def inside(m: re.Match) -> str:
         if m.group(1) not in values:
@@ -164,7 +164,7 @@ def bind(template: str, row: Mapping, dialect: str = "ansi") -> str:
             return re.sub(r"\{([^{}]+)\}", inside, m.group(0))
         if m.group("mark"):
             try:
-                return sql_literal(next(marks), dialect)
+                return sql_literal(next(filled), dialect)
             except StopIteration:
                 raise ValueError("more parameter marks than parameters") from None
         name = m.group("whole") or m.group("name")

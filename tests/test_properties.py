@@ -186,3 +186,50 @@ def test_windows_line_ends(spark, scratch):
         f.write(b"1^2\r\n3^4\r\n")
     spec = p.job_from_properties(base(scratch, **{p.INPUT_FIELDS: "a,b", p.OUTPUT_FIELDS: "b", p.MAPPING: "b:b"}))
     assert [r[0] for r in build(spark, spec).collect()] == ["2", "4"]
+
+
+@pytest.mark.parametrize("name", [
+    "output.mr.mapred.nonsense.flag", "input.mr.mapred.jdbc.bounding.query", "mapred.rdb.input.querysql", "mapred.rdb.input.query.params",
+    "output.split.partition.params.count", "output.mr.maperd.hive.table", "input.mr.maperd.hbase.table.query.startrow", "input.mr.mapred.ftp.collect.id",
+    "output.mr.mapred.jdbc.table.dropsql", "mapreduce.input.something",
+])
+def test_a_property_is_used_or_refused(spark, scratch, name):
+    with pytest.raises(SpecError, match=name):
+        p.job_from_properties(base(scratch, **{name: "x"}))
+    assert p.job_from_properties(base(scratch, **{name: ""}))  # not set
+
+
+def test_names_that_tune_other_engines_and_other_maps_are_left(spark, scratch):
+    more = {n: "1" for n in p.TUNING} | {"mr.sys.job.id": "7", "mapred.job.tracker": "x", "own.key": "y"}
+    assert p.job_from_properties(base(scratch, **more))
+    with pytest.raises(SpecError, match="row limit|no effect"):
+        p.job_from_properties(base(scratch, **{p.OUTPUT_TYPE: "HIVETEXT", p.OUT_TABLE: "t", p.OUT_MAX_ROWS: "5"}))
+    given = base(scratch, **{p.RDB_QUERY: "select 1"})
+    assert p.job_from_properties(given, source=spark.range(1).selectExpr("id time", "id", "id type", "id price", "id number", "id message"))
+
+
+def test_queries_with_parameters(monkeypatch, spark, scratch):
+    rows = [{"ID": 1, "NAME": "a'b", "DAY": dt.date(2024, 1, 2)}, {"ID": 2, "NAME": "c", "DAY": None}]
+    asked = []
+
+    def read(spark, db, relation, predicates=(), where=None):
+        asked.append(relation)
+        return spark.createDataFrame(rows, "ID int, NAME string, DAY date") if relation.startswith("select * from params") else spark.range(1).select("id")
+
+    monkeypatch.setattr(p, "read_table", read)
+    props = base(scratch, **{
+        p.INPUT_TYPE: "RDBNORM", "input." + p.JDBC["url"]: "jdbc:x", p.RDB_QUERY: "select v from t where k = ? and n = '{NAME}' and d = ?",
+        p.RDB_PARAMS: "select * from params", p.RDB_MACROS: "NAME", p.INPUT_FIELDS: "v", p.OUTPUT_FIELDS: "v", p.MAPPING: "v:v",
+    })
+    assert build(spark, p.job_from_properties(props)).count() == 2
+    assert asked[1:] == ["select v from t where k = 1 and n = 'a''b' and d = DATE '2024-01-02'", "select v from t where k = 2 and n = 'c' and d = NULL"]
+    asked.clear()
+    assert build(spark, p.job_from_properties({**props, p.RDB_MACROS: "1"}, partitions=1)).count() == 1
+    assert asked[1].count(" UNION ALL ") == 1  # several parameter rows in one split
+    with pytest.raises(SpecError, match="OTHER"):
+        build(spark, p.job_from_properties({**props, p.RDB_MACROS: "OTHER"}))
+    literal = {**props, p.RDB_PARAMS: "'a', 3", p.RDB_QUERY: "select v from t where k = ?"}
+    del literal[p.RDB_MACROS]
+    asked.clear()
+    build(spark, p.job_from_properties(literal))
+    assert asked == ["select v from t where k = 'a'", "select v from t where k = '3'"]
