@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.functions.text import field
 from millrace.operators.aggregate import summarize
 from millrace.operators.hooks import flat_map_rows, map_lines
 from millrace.operators.project import apply_column_functions, project
@@ -74,22 +75,38 @@ def build(spark: SparkSession, spec: JobSpec) -> DataFrame:
     return shape(marked_rows(spark, spec.validate()), spec)
 
 
+def staged_rows(marked: DataFrame, spec: JobSpec) -> DataFrame:
+    """What a run keeps of its marked rows: the mapped columns, and for a reject sink all columns of rejected rows.
+
+    Nothing else is read from the source but what row operations need; of accepted rows the columns that only the
+    reject sink sees are null, which takes no room.
+    """
+    mapped = [*dict.fromkeys(m.src for m in spec.fields())]
+    kept = [field(c) for c in mapped]
+    if spec.reject_sink:
+        rest = [c for c in marked.columns if c not in (*mapped, VALID, REASON)]
+        kept = [field(c) if c in mapped else F.when(~is_valid(), field(c)).alias(c) for c in marked.columns if c in mapped or c in rest]
+        kept.append(field(REASON))
+    return marked.select(*kept, field(VALID))
+
+
 def run(spark: SparkSession, spec: JobSpec) -> RunCounts:
     """Run a job with its sinks and return the row counts.
 
-    The marked rows are written once to the shared scratch folder, accepted and
-    rejected apart.  Both sinks read that copy, so the source and its hooks run
-    once, and every count is taken from written rows: a sink that evaluates its
-    input several times, a retried task or a lost executor changes none.
+    The mapped columns of the marked rows are written once to the shared scratch folder, accepted and rejected apart.
+    Both sinks read that copy, so the source and its hooks run once, and every count is taken from written rows: a sink
+    that evaluates its input several times, a retried task or a lost executor changes none.
     """
     if not spec.validate_only and spec.sink is None:
         raise SpecError("the job has no sink")
     marked = marked_rows(spark, spec.validate())
     if spec.validate_only:
         return RunCounts(*count_rows(marked).first())
+    spec.validate([c for c in marked.columns if c not in (VALID, REASON)])
     path = scratch_path(spark, "marked") + "/rows"
-    write_split(marked, path)
-    accepted, rejected = read_split(spark, path, marked.schema)
+    staged = staged_rows(marked, spec)
+    write_split(staged, path)
+    accepted, rejected = read_split(spark, path, staged.schema)
     valid, bad = accepted.count(), rejected.count()
     result = shape(mark_valid(accepted), spec)
     stored = valid
