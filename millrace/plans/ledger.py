@@ -10,7 +10,12 @@ file replaces its earlier rows without any folder being rewritten.
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections import Counter, deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -130,8 +135,14 @@ class Ledger:
             number += 1
 
 
-#: Files of one write, about; a hash of the path deals them out.
+#: Files of one write.
 PORTION = 1000
+#: Portions written side by side.
+AT_ONCE = 4
+#: So many single files failing for the same reason, none done, are a fault of their own.
+SAME_REASON = 8
+# What a lost cluster or a full disk says.
+CLUSTER_FAULTS = ("SparkContext was shut down", "No space left on device", "Disk quota exceeded", "Job aborted due to stage failure: Task not serializable")
 
 
 def process_files(
@@ -156,9 +167,10 @@ def process_files(
     ``read`` gives rows with ``_file_path`` and, if it checks rows, ``_valid``.
 
     The chosen files are listed once, in a scratch table, and go through in
-    portions of about ``PORTION`` files, however many there are.  A portion that
-    cannot be written is halved until the broken file stands alone: that file is
-    FAILED, the others SUCCESS.  Every portion enters the ledger when it is
+    portions of ``PORTION`` files, a few side by side, however many there are.  A
+    portion that cannot be written is halved until the broken file stands alone:
+    that file is FAILED, the others SUCCESS.  A fault that isn't a file's (a lost
+    cluster, or the same error for file after file) ends the run instead.  Every portion enters the ledger when it is
     done, so a run that breaks off keeps what it has stored.
     """
     files = identified(manifest(spark, root, regex), source_id)
@@ -187,22 +199,49 @@ def process_files(
         "run_id": F.lit(this_run), "seq": F.lit(0), "job_id": F.lit(job_id), "start_time": F.lit(run_time),
         "error_path": F.lit(None).cast("string"),
     }
-    portions, stored = -(-count // PORTION), 0
-    share = F.pmod(F.xxhash64("path"), F.lit(portions))
-    for number in range(portions):
-        own = collect_small(listed.filter(share == number), 8 * PORTION, "files of a portion")
+    seen, appending = _Failures(), Lock()
+
+    def store(number: int, own: list) -> int:
         totals: dict[str, tuple | None] = {}
-        for part, counted in _written(spark, read, source_id, own, f"{folder}/portion={number}"):
+        for part, counted in _written(spark, read, source_id, own, f"{folder}/portion={number}", seen):
             totals |= {r["file_id"]: counted.get(r["file_id"], (0, 0, 0)) if counted is not None else None for r in part}
         rows = [(*r[1:], *((SUCCESS, *totals[r["file_id"]]) if totals[r["file_id"]] else (FAILED, None, None, None))) for r in own]
         names = "status int, total bigint, success bigint, failed bigint"
         schema = T.StructType([*kept.schema.fields[1:], *T.StructType.fromDDL(names).fields])
-        ledger.append(spark.createDataFrame(rows, schema).withColumns(constants))
-        stored += sum(t is not None for t in totals.values())
-    return stored
-
-
-def _written(spark, read, source_id: int, files: list, folder: str) -> Iterator[tuple[list, dict | None]]:
+        with appending:  # two writes to one folder would share its temporary files
+            ledger.append(spark.createDataFrame(rows, schema).withColumns(constants))
+        return sum(t is not None for t in totals.values())
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        # The list passes through the driver once, a partition at a time; at most two rounds of portions are held.
+        stored, waiting = 0, deque()
+        for number, own in enumerate(batched(listed.toLocalIterator(), PORTION)):
+            waiting.append(pool.submit(store, number, list(own)))
+            if len(waiting) >= 2 * AT_ONCE:
+                stored += waiting.popleft().result()
+        return stored + sum(w.result() for w in waiting)
+
+
+class _Failures:
+    """Reasons of the single files that failed, to tell broken files from a fault that breaks every file."""
+
+    def __init__(self):
+        self.reasons: Counter[str] = Counter()
+        self.succeeded = False
+
+    def about_a_file(self, error: Exception, files: list) -> bool:
+        """False for a fault of the cluster or of ``read``: one that says so, or the same reason for many files and no success."""
+        text = str(error)
+        if any(sign in text for sign in CLUSTER_FAULTS):
+            return False
+        if len(files) > 1 or self.succeeded or files[0]["path"].rsplit("/", 1)[-1] in text:
+            return True
+        reason = f"{type(error).__name__}: {re.sub(r'[0-9]+', '#', text)[:500]}"
+        self.reasons[reason] += 1
+        return self.reasons[reason] < SAME_REASON
+
+
+def _written(spark, read, source_id: int, files: list, folder: str, seen: _Failures) -> Iterator[tuple[list, dict | None]]:
     """Write the rows of some files; yields them with their totals by file, or a single broken file with None."""
     if not files:
         return
@@ -210,14 +249,17 @@ def _written(spark, read, source_id: int, files: list, folder: str) -> Iterator[
         rows = mark_valid(read(spark, [r["path"] for r in files]))
         rows = rows.withColumn("file_id", file_id(source_id, plain_path(F.col("_file_path")))).drop("_file_path")
         write_split(rows, folder, mode="overwrite")
-    except Exception:
+    except Exception as error:
+        if not seen.about_a_file(error, files):
+            raise
         if len(files) == 1:
             yield files, None
             return
         half = len(files) // 2
-        yield from _written(spark, read, source_id, files[:half], folder + "a")
-        yield from _written(spark, read, source_id, files[half:], folder + "b")
+        yield from _written(spark, read, source_id, files[:half], folder + "a", seen)
+        yield from _written(spark, read, source_id, files[half:], folder + "b", seen)
         return
+    seen.succeeded = True
     # counted on the rows just written: two narrow columns, not the source again
     totals = totals_by_file(spark.read.schema(rows.schema).parquet(folder), "file_id")
     yield files, {r["file_path"]: (r["total"], r["success"], r["failed"]) for r in totals.collect()}
@@ -226,11 +268,15 @@ def _written(spark, read, source_id: int, files: list, folder: str) -> Iterator[
 def current_rows(ledger: Ledger, target: str, job_id: str, rejected: bool = False) -> DataFrame:
     """Accepted (or rejected) rows of every file's latest successful run.
 
-    The join reads only run folders the ledger names.
+    Only run folders the ledger names are listed and read.
     """
     done = ledger.rows().filter((F.col("job_id") == job_id) & (F.col("status") == SUCCESS))
     current = latest_attempts(done.select(*FILE_KEY, *ATTEMPT, "file_id"))
-    stored = ledger.spark.read.parquet(target).withColumns(
+    runs = collect_small(current.select("run_id").distinct(), 100_000, "runs with current rows")
+    folders = [f"{target.rstrip('/')}/run_id={r['run_id']}" for r in runs]
+    if not folders:
+        raise ValueError(f"job {job_id} has stored nothing under {target}")
+    stored = ledger.spark.read.option("basePath", target).parquet(*folders).withColumns(
         {"run_id": F.col("run_id").cast("bigint"), VALID: F.col(VALID).cast("boolean")}
     )
     rows = within(stored, current, ["run_id", "file_id"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import FieldMap, JobSpec, SpecError, build, run
 from millrace.operators.rowops import Compute, Filter, apply_ops
-from millrace.plans import ledger as lg
+from millrace.plans import job, ledger as lg
 from millrace.plans.job import archive_source, row_hook, sample_rows, totals_by_file
 from millrace.plans.macros import date_macros, now_macros, parameters, substitute
 from millrace.plans.measurements import COLUMNS, read_measurements
@@ -483,3 +483,76 @@ def test_line_hook_and_group_hook(spark):
     assert [tuple(r) for r in build(spark, spec).collect()] == [("b", 2)]
     with pytest.raises(SpecError):
         build(spark, JobSpec(source=lines, mapping="v:value", group_hook=lambda d: d))
+
+
+def test_a_run_reads_and_keeps_only_mapped_columns(spark, scratch):
+    """A wide source: unmapped columns are neither read nor copied, unless a reject sink shows them."""
+    wide = spark.range(50).select("id", *[(F.col("id") + i).alias(f"c{i}") for i in range(40)])
+    wide.write.parquet(scratch + "/wide")
+    source = spark.read.parquet(scratch + "/wide")
+    out = {}
+    spec = JobSpec(
+        source=source, ops="filter:{c3}:[0-9]", mapping="a:id,b:c7",
+        sink=lambda df: df.write.parquet(scratch + "/out"),
+    )
+    plan = job.staged_rows(job.marked_rows(spark, spec), spec)._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("ReadSchema"):].split("\n")[0]
+    assert read == "ReadSchema: struct<id:bigint,c3:bigint,c7:bigint>" or sorted(read[19:-1].split(",")) == ["c3:bigint", "c7:bigint", "id:bigint"]
+    counts = run(spark, spec)
+    assert (counts.input, counts.output, counts.filtered, counts.stored) == (50, 7, 43, 7)
+    assert sorted(tuple(r) for r in spark.read.parquet(scratch + "/out").collect()) == [(i, i + 7) for i in range(7)]
+    spec.sink, spec.reject_sink = (lambda df: df.write.parquet(scratch + "/out2")), (lambda df: out.update(bad=df.collect(), columns=df.columns))
+    assert run(spark, spec) == counts
+    assert len(out["bad"]) == 43 and out["columns"][:41] == wide.columns and all(r["c39"] == r["id"] + 39 for r in out["bad"])
+
+
+def _run(spark, scratch, read):
+    ledger = lg.Ledger(spark, scratch + "/ledger")
+    return ledger, lambda: lg.process_files(
+        spark, ledger, job_id="j", source_id=1, root=scratch + "/in", read=read, target=scratch + "/t", run_time=dt.datetime(2024, 1, 1))
+
+
+def test_a_fault_of_every_file_ends_the_run(spark, scratch):
+    """A bug in ``read`` is no broken file: few jobs, then the error; nothing is FAILED."""
+    os.makedirs(scratch + "/in")
+    for i in range(40):
+        with open(f"{scratch}/in/{i:03d}.txt", "w") as f:
+            f.write("x\n")
+    calls = []
+
+    def broken(_, paths):
+        calls.append(len(paths))
+        raise TypeError(f"bug number {len(calls)}")
+
+    ledger, go = _run(spark, scratch, broken)
+    with pytest.raises(TypeError):
+        go()
+    assert len(calls) < 30 and ledger.rows().count() == 0
+
+    def away(_, paths):
+        calls.append(len(paths))
+        raise OSError("No space left on device")
+
+    calls.clear()
+    with pytest.raises(OSError):
+        _run(spark, scratch, away)[1]()
+    assert calls == [40]
+
+
+def test_portions_side_by_side(spark, scratch, monkeypatch):
+    monkeypatch.setattr(lg, "PORTION", 3)
+    os.makedirs(scratch + "/in")
+    for i in range(14):
+        with open(f"{scratch}/in/{i:03d}.txt", "w") as f:
+            f.write(f"{i}\n" * (i + 1))
+
+    def read(session, paths):
+        if any("005" in p for p in paths):
+            raise ValueError("cannot read 005.txt")
+        return session.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file_path"))
+
+    ledger, go = _run(spark, scratch, read)
+    assert go() == 13
+    told = {r["file_path"][-7:-4]: (r["status"], r["total"]) for r in ledger.rows().collect()}
+    assert told == {f"{i:03d}": (lg.FAILED, None) if i == 5 else (lg.SUCCESS, i + 1) for i in range(14)}
+    assert lg.current_rows(ledger, scratch + "/t", "j").count() == sum(range(1, 15)) - 6
