@@ -12,7 +12,8 @@ from millrace.session import collect_small, scratch_path
 from millrace.sinks.keyed import KeyedTable
 from millrace.sinks.shards import Sharding, shard_counts, with_shard, write_shard_files
 from millrace.sinks.tables import delete_by_key, replace_by_key
-from millrace.sources.ranges import bind, hash_predicates, range_predicates, value_predicates
+from millrace.sources.quantiles import quantile_points
+from millrace.sources.ranges import bind, hash_predicates, point_predicates, range_predicates, value_predicates
 from millrace.sources.text import read_delimited
 
 _R = Registry()
@@ -190,6 +191,31 @@ def split_float_ranges(spark, d):
     return _split_counts(li, range_predicates("l_extendedprice", "float", *_bounds(li, "l_extendedprice"), 8))
 
 
+def _even_ranges(df, column, n):
+    """Ranges at quantiles: their number, whether each is within a fifth of its share, and the rows they hold."""
+    told = _split_counts(df, point_predicates(column, quantile_points(df, column, n)))
+    share = F.sum("row_count") / n
+    return told.agg(
+        F.count("*").alias("ranges"), ((F.max("row_count") <= share * 1.2) & (F.min("row_count") >= share * 0.8)).alias("even"),
+        F.sum("row_count").alias("row_count"), F.sum("wrong").cast("bigint").alias("wrong"),
+    )
+
+
+@_R.add("""
+SELECT CAST(8 AS BIGINT) AS ranges, true AS even, count(*) AS row_count, CAST(0 AS BIGINT) AS wrong FROM orders""")
+def split_skewed_numbers(spark, d):
+    """A key whose values crowd at the low end: even steps would put nearly all rows into the first range."""
+    o = table(spark, d, "orders").select(F.pow("o_totalprice", F.lit(6.0)).alias("k"))
+    return _even_ranges(o, "k", 8)
+
+
+@_R.add("""
+SELECT CAST(4 AS BIGINT) AS ranges, true AS even, count(*) AS row_count, CAST(0 AS BIGINT) AS wrong FROM orders""")
+def split_skewed_texts(spark, d):
+    o = table(spark, d, "orders").select(F.concat(F.lit("o-"), F.conv(F.col("o_orderkey").cast("string"), 10, 2), F.lit("-"), "o_orderkey").alias("k"))
+    return _even_ranges(o, "k", 4)
+
+
 @_R.add("""
 SELECT CASE WHEN toxic = 1 THEN 0 WHEN toxic = 0 THEN 1 ELSE 2 END AS split, count(*) AS row_count, CAST(0 AS BIGINT) AS wrong
 FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")

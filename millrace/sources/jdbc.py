@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.session import collect_small
-from millrace.sources.ranges import bind, hash_predicates, kind_of, range_predicates
-
+from millrace.sources.quantiles import quantile_query
+from millrace.sources.ranges import bind, hash_predicates, kind_of, point_predicates, range_predicates
 
 
 @dataclass(frozen=True)
@@ -60,11 +60,17 @@ def read_by_range(
     bounds: tuple | None = None,
     where: str | None = None,
     dialect: str = "ansi",
+    even: bool = False,
 ) -> DataFrame:
     """Ranges between min and max of the split column, found by one aggregate query.
 
-    Without ``kind`` the type of the bounds decides.
+    Without ``kind`` the type of the bounds decides.  With ``even`` the source gives the points where a range's share
+    of the rows ends, in its own order: right for skewed keys and for text under any collation.
     """
+    if even:
+        found = read_table(spark, db, quantile_query(_relation(table_or_query), column, partitions))
+        points = [r[0] for r in collect_small(found, partitions, "split points")]
+        return read_table(spark, db, table_or_query, point_predicates(column, points, dialect), where)
     if bounds is None:
         source = read_table(spark, db, f"select min({column}) lo, max({column}) hi from {_relation(table_or_query)}")
         bounds = tuple(collect_small(source, 1, "bounds")[0])

@@ -105,7 +105,12 @@ def range_predicates(column: str, kind: str, lo, hi, n: int, dialect: str = "ans
     """Half-open ranges of a split column; the first also takes null keys, the ends are open."""
     if kind == "boolean":
         return [f"{column} = TRUE", f"{column} = FALSE", f"{column} IS NULL"]
-    points = [sql_literal(p, dialect) for p in split_points(kind, lo, hi, n)]
+    return point_predicates(column, split_points(kind, lo, hi, n), dialect)
+
+
+def point_predicates(column: str, points: Sequence, dialect: str = "ansi") -> list[str]:
+    """Half-open ranges between ascending points, the ends open; null keys belong to the first."""
+    points = [sql_literal(p, dialect) for p in points]
     if not points:
         return ["1 = 1"]
     inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(points, points[1:])]
