@@ -1,7 +1,10 @@
 """Text, sequence and table round trips through the file sources and sinks."""
 
-from functools import reduce
+import io
+import tarfile
 import uuid
+import zipfile
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -9,10 +12,11 @@ from millrace.catalogue.common import Registry, table
 from millrace.functions.text import file_name
 from millrace.operators.hooks import prefix_with_file_name
 from millrace.operators.rowops import FileNamePart, SourcePath
-from millrace.session import scratch_path
+from millrace.session import collect_small, scratch_path, write_bytes
 from millrace.sinks.fanout import fan_out
 from millrace.sinks.tables import ensure_table, insert_into, replace_file_rows, run_statements, write_partitioned
 from millrace.sinks.text import publish_path, write_delimited, write_sequence
+from millrace.sources.archives import read_mixed_lines
 from millrace.sources.files import manifest, paths_from_query
 from millrace.sources.hadoop import read_query, read_sequence
 from millrace.sources.text import parse_fields, read_delimited, read_lines, read_plain
@@ -45,6 +49,57 @@ def text_skip_head_line(spark, d):
     return read_delimited(spark, path, ORDERS, skip_lines=1)
 
 
+@_R.add("SELECT o_orderkey, o_orderpriority FROM orders")
+def text_three_head_lines(spark, d):
+    """Heads of three lines, found wherever a file's splits cut them."""
+    path = scratch_path(spark, "text") + "/orders"
+    o = table(spark, d, "orders").select(F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("line")).repartition(3)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    o.select(F.when(first, F.concat(F.lit("made by\na test\n"), F.lit("key,priority\n"), "line")).otherwise(F.col("line"))).write.text(path)
+    return read_delimited(spark, path, "o_orderkey bigint, o_orderpriority string", skip_lines=3, skip_in="any split")
+
+
+def _nation_lines(spark, d):
+    """The few rows of a lookup table as text lines; the files made of them are read back by the engine."""
+    rows = collect_small(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey"), 1000, "nations")
+    return [f"{r[0]}^{r[1]}-\u4e2d\u56fd^{r[2]}" for r in rows]
+
+
+_NATIONS = "SELECT n_nationkey, n_name || '-中国' AS n_name, n_regionkey FROM nation"
+_NATION_FIELDS = "n_nationkey int, n_name string, n_regionkey int"
+
+
+@_R.add(_NATIONS)
+def text_gbk(spark, d):
+    path = scratch_path(spark, "text") + "/nation.txt"
+    write_bytes(spark, path, "\n".join(_nation_lines(spark, d)).encode("gbk"))
+    return read_delimited(spark, path, _NATION_FIELDS, sep="^", charset="gbk").select(*_typed(spark, d))
+
+
+@_R.add(_NATIONS)
+def archive_members(spark, d):
+    """Members of a zip, a tar.gz and a plain file of one folder as one set of lines, each with a head line."""
+    path, lines = scratch_path(spark, "packed"), _nation_lines(spark, d)
+    parts = [("head\n" + "\n".join(lines[i::4])).encode() for i in range(4)]
+    packed, tarred = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.txt", parts[0])
+        z.writestr("folder/b.txt", parts[1])
+    with tarfile.open(fileobj=tarred, mode="w:gz") as t:
+        member = tarfile.TarInfo("c.txt")
+        member.size = len(parts[2])
+        t.addfile(member, io.BytesIO(parts[2]))
+    for name, data in (("1.zip", packed.getvalue()), ("2.tar.gz", tarred.getvalue()), ("3.txt", parts[3])):
+        write_bytes(spark, f"{path}/{name}", data)
+    return parse_fields(read_mixed_lines(spark, path, skip_lines=1), _NATION_FIELDS, "^").select(*_typed(spark, d))
+
+
+def _typed(spark, d):
+    """Columns in the types of the table."""
+    kinds = {f.name: f.dataType for f in table(spark, d, "nation").schema}
+    return [F.col(c).cast(kinds[c]).alias(c) for c in ("n_nationkey", "n_name", "n_regionkey")]
+
+
 @_R.add("SELECT conv_id, turn, replace(text, chr(10), ' ') AS text FROM conversations")
 def text_charset(spark, d):
     # written in Latin-1 through the CSV writer; a separator that occurs in no text

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalogue.common import Registry, table
 from millrace.operators.aggregate import summarize
 from millrace.operators.rowops import Filter, apply_ops, valid_rows
-from millrace.plans.ledger import Ledger, current_rows, failed_latest, pending, process_files
+from millrace.plans.ledger import current_rows, failed_in_run, failed_latest, Ledger, pending, process_files, vanished
 from millrace.plans.spec import parse_mapping
 from millrace.session import scratch_path
 from millrace.sinks.text import write_delimited
@@ -89,6 +89,22 @@ def ledger_failed_in_time_range(spark, d):
     return failed.select("file_path", "run_id")
 
 
+@_R.add(f"SELECT '/u/' || user_id AS file_path FROM {_ATTEMPTS_SQL} WHERE event_id = (SELECT max(event_id) FROM events WHERE event_type = 'error') AND status = 3")
+def ledger_failed_in_one_run(spark, d):
+    """Failures of one run, which the mode that repeats a run takes."""
+    last = table(spark, d, "events").where("event_type = 'error'").agg(F.max("event_id")).first()[0]
+    return failed_in_run(_attempts(spark, d), "j", last).select("file_path")
+
+
+@_R.add(f"""
+SELECT '/u/' || user_id AS file_path, 4 AS status, 1 AS seq FROM {_ATTEMPTS_SQL} GROUP BY user_id
+HAVING max_by(status, event_id) = 3 AND user_id % 2 = 1""")
+def ledger_vanished_files(spark, d):
+    """Failed files that are no longer listed get a row of their own."""
+    files = table(spark, d, "events").where("user_id % 2 = 0").select(F.col("user_id").cast("string").alias("file_id")).distinct()
+    return vanished(failed_latest(_attempts(spark, d), "j"), files).select("file_path", "status", "seq")
+
+
 @_R.add(f"""
 SELECT CAST(c_custkey AS VARCHAR) AS file_id FROM customer WHERE c_custkey NOT IN
  (SELECT user_id FROM {_ATTEMPTS_SQL} GROUP BY user_id HAVING max_by(status, event_id) IN (0, 1, 2))""")

@@ -6,7 +6,7 @@ from millrace.catalogue.common import Registry, table
 from millrace.functions import rules
 from millrace.functions.text import template
 from millrace.operators import hooks
-from millrace.operators.project import apply_column_functions, apply_defaults, project, unique_key
+from millrace.operators.project import apply_column_functions, apply_defaults, numbered_key, project, unique_key
 from millrace.operators.rejects import count_rows, read_split, write_split
 from millrace.operators.rowops import (
     Compute, Custom, Filter, ReplaceValue, Reverse, apply_ops, parse_ops, valid_rows,
@@ -119,6 +119,16 @@ def unique_row_keys(spark, d):
     return per_key.agg(F.sum("n").alias("rows_in"), F.count(F.lit(1)).alias("distinct_keys"))
 
 
+@_R.add("""
+SELECT l_orderkey, l_linenumber, 'k-' || l_returnflag || '_' ||
+  row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) AS row_key FROM lineitem""")
+def numbered_row_keys(spark, d):
+    """Gapless numbers in a global order, the same in every run."""
+    li = table(spark, d, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag")
+    keyed = numbered_key(li, F.concat(F.lit("k-"), "l_returnflag"), ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return keyed.select("l_orderkey", "l_linenumber", "row_key")
+
+
 @_R.add("""
 SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN '1' WHEN 'N' THEN '2' ELSE l_returnflag END AS l_returnflag,
        l_quantity * 2 AS twice, reverse(l_linestatus) AS l_linestatus

@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.functions.text import field, nonempty
 from millrace.plans.spec import FieldMap, SpecError
+from millrace.session import scratch_path
 
 # Functions that may be applied to a column on its way to a sink.
 COLUMN_FUNCTIONS = {
@@ -96,3 +97,31 @@ def apply_column_functions(df: DataFrame, functions: Mapping[str, str]) -> DataF
 def unique_key(key: Column) -> Column:
     """Key with a suffix that no other row of the run has (partition and row number)."""
     return F.concat(key, F.lit("_"), F.monotonically_increasing_id().cast("string"))
+
+
+def number_rows(df: DataFrame, order: Sequence[str], column: str = "_number") -> DataFrame:
+    """Rows with gapless numbers from 1 in the order of ``order``, the same in every run and after lost executors.
+
+    Ranges of the order are sorted apart and written with each row's place in its range; a range's numbers start after
+    the rows of all ranges before it, a running sum over one row per range.  Rows of equal order are told apart by a
+    hash of all columns, so only equal rows could change places.
+    """
+    spark = df.sparkSession
+    keys = [*[field(c) for c in order], F.xxhash64(*[field(c) for c in df.columns])]
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    at = F.monotonically_increasing_id()
+    placed = ranged.withColumns({"_range": F.shiftright(at, 33), "_place": at.bitwiseAND(F.lit((1 << 33) - 1))})
+    path = scratch_path(spark, "numbered") + "/rows"
+    placed.write.parquet(path)  # written once: a number depends on the range a row was in
+    kept = spark.read.schema(placed.schema).parquet(path)
+    sizes = kept.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = sizes.select("_range", before.alias("_base"))
+    numbered = kept.join(bases, "_range").withColumn(column, F.col("_base") + F.col("_place") + 1)
+    return numbered.drop("_range", "_place", "_base")
+
+
+def numbered_key(df: DataFrame, key: Column, order: Sequence[str], name: str = "row_key") -> DataFrame:
+    """``df`` with a key of its own for each row, as ``unique_key`` gives, but by number and reproducible."""
+    numbered = number_rows(df.withColumn(name, key), order)
+    return numbered.withColumn(name, F.concat(field(name), F.lit("_"), F.col("_number").cast("string"))).drop("_number")

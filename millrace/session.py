@@ -77,6 +77,16 @@ def create_file(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, such as a control file or an archive of a few rows, through Spark's file systems."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop_path, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 @contextmanager
 def open_writers(spark: SparkSession, count: int):
     """Let a task keep ``count`` partition files open, so a partitioned write needs no sort."""

@@ -8,8 +8,9 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from millrace.session import collect_small
 from millrace.sources.files import select_by_name
 
 # Charsets Spark decodes itself; others are decoded by Python.
@@ -44,7 +45,7 @@ def _skip_head(lines: DataFrame, count: int) -> DataFrame:
 
         def check():
             if current is not None and seen < count and not whole:
-                raise ValueError(f"the {count} head lines do not fit in the first split of a file")
+                raise ValueError(f"the {count} head lines do not fit in the first split of a file: read with skip_in='any split'")
 
         for batch in batches:
             key = batch.column("_at_file").to_numpy(zero_copy_only=False)
@@ -69,6 +70,46 @@ def _skip_head(lines: DataFrame, count: int) -> DataFrame:
     return lines.mapInArrow(work, schema)
 
 
+#: Blocks that hold head lines; about one a file.
+_HEAD_BLOCKS = 1_000_000
+
+
+def _skip_anywhere(lines: DataFrame, count: int) -> DataFrame:
+    """Drop the first ``count`` lines of every file, wherever its splits cut them.
+
+    Lines are counted by block, blocks before each are summed up by file, and the few blocks that lie in a head tell how
+    many of their first lines go.  The counting pass runs when the read is set up and keeps nothing but numbers.
+    """
+    schema = T.StructType([f for f in lines.schema.fields if not f.name.startswith("_at_")])
+    names = schema.fieldNames()
+    blocks = lines.groupBy("_at_file", "_at_start").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("_at_file").orderBy("_at_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    heads = blocks.withColumn("before", before).where(F.col("before") < count)
+    told = collect_small(heads, _HEAD_BLOCKS, "blocks with head lines")
+    skips = {(r["_at_file"], r["_at_start"]): min(count - r["before"], r["n"]) for r in told}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, left = None, 0
+        for batch in batches:
+            key = batch.column("_at_file").to_numpy(zero_copy_only=False)
+            start = batch.column("_at_start").to_numpy(zero_copy_only=False)
+            keep = np.ones(len(key), dtype=bool)
+            edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(start) != 0)) + 1
+            bounds = [0, *edges.tolist(), len(key)] if len(key) else [0]
+            for lo, hi in zip(bounds, bounds[1:]):
+                now = (int(key[lo]), int(start[lo]))
+                if now != block:
+                    block, left = now, skips.get(now, 0)
+                drop = min(hi - lo, left)
+                keep[lo:lo + drop] = False
+                left -= drop
+            out = batch.select(names)
+            yield out if keep.all() else out.filter(pa.array(keep))
+
+    return lines.mapInArrow(work, schema)
+
+
 def read_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -76,6 +117,7 @@ def read_lines(
     line_sep: str = "\n",
     charset: str | None = None,
     skip_lines: int = 0,
+    skip_in: str = "first split",
     provenance: bool = False,
     recursive: bool = False,
     name_glob: str | None = None,
@@ -91,7 +133,12 @@ def read_lines(
     ``charset`` must keep the line separator's bytes apart from other text, as
     GBK and the ISO-8859 family do: files stay splittable because each line is
     decoded by itself.
+
+    ``skip_lines`` head lines of each file go in the same pass if they lie in its first split, else the read fails;
+    with ``skip_in="any split"`` a first pass counts lines, and heads may be of any length.
     """
+    if skip_in not in ("first split", "any split"):
+        raise ValueError(f"unknown place of head lines {skip_in!r}")
     if charset and charset.upper().replace("_", "-").startswith(("UTF-16", "UTF-32")):
         raise ValueError("UTF-16 and UTF-32 text cannot be split by bytes: use spark.read.csv(encoding=...)")
     reader = spark.read
@@ -118,7 +165,7 @@ def read_lines(
         ]
     df = df.select(*cols)
     if skip_lines > 0:
-        df = _skip_head(df, skip_lines)
+        df = (_skip_anywhere if skip_in == "any split" else _skip_head)(df, skip_lines)
     if charset:
         df = df.withColumn("value", decode_bytes(F.col("value"), charset))
     return df

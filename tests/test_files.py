@@ -380,3 +380,24 @@ def test_open_writers_restores_the_setting(spark):
 
 def test_scratch_paths_differ(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_heads_that_span_splits(spark, scratch):
+    """Small splits cut the head lines; each file loses exactly its own, whatever splits they lie in."""
+    os.makedirs(scratch + "/in")
+    for name, n in (("a", 5), ("b", 200), ("c", 2), ("d", 0)):
+        with open(f"{scratch}/in/{name}.txt", "w") as f:
+            f.write("".join(f"{name} head {i} {'x' * 300}\n" for i in range(min(n, 40))) + "".join(f"{name}{i}\n" for i in range(max(n - 40, 0))))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    try:
+        got = sorted(r[0] for r in read_lines(spark, scratch + "/in", skip_lines=40, skip_in="any split").collect())
+        assert got == sorted(f"b{i}" for i in range(160))
+        kept = read_lines(spark, scratch + "/in", skip_lines=3, skip_in="any split", provenance=True)
+        assert kept.count() == 2 + 197 and kept.where("_file_path like '%/a.txt'").count() == 2
+        with pytest.raises(Exception, match="any split"):
+            read_lines(spark, scratch + "/in", skip_lines=40).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(ValueError):
+        read_lines(spark, scratch + "/in", skip_lines=1, skip_in="elsewhere")

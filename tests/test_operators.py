@@ -362,3 +362,15 @@ def test_unknown_filter_rule(spark):
         apply_ops(spark.range(1), [], combine="any")
     with pytest.raises(SpecError):
         rowops.SourcePath("x").apply(spark.range(1))
+
+
+def test_gapless_numbers_in_order(spark):
+    from millrace.operators.project import number_rows
+
+    rows = [(i * 7 % 50, "abc"[i % 3], None if i % 11 == 0 else i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, s string, v int").repartition(5)
+    one = sorted((r["_number"], r["k"], r["s"], r["v"]) for r in number_rows(df, ["k", "s"]).collect())
+    two = sorted((r["_number"], r["k"], r["s"], r["v"]) for r in number_rows(df.repartition(3), ["k", "s"]).collect())
+    assert one == two and [r[0] for r in one] == list(range(1, 501))
+    assert [(r[1], r[2]) for r in one] == sorted((r[0], r[1]) for r in rows)
+    assert number_rows(df.limit(0), ["k"]).count() == 0
