@@ -6,8 +6,8 @@ whole number ``p = 1 + floor(SCALE * (c + ADD) / (N + ADD * V))``, N the sum of
 are ``abs(p - q)`` summed over all kept terms for each pair of a language's sources, and the terms that a group uses more
 than its language.  Whole numbers throughout, so results don't depend on how rows are dealt out.
 
-1. One scan counts terms in each task, in a bounded table that is handed on and started anew when it is full; the
-   counts of a (language, source, term) are then summed in one exchange.
+1. One scan counts terms in each task, in portions of ``HELD`` bytes that Arrow splits and numbers; the counts of a
+   (language, source, term) are then summed in one exchange.
 2. The kept terms are dealt to blocks by ranges of (language, count), which brings terms with equal counts together.
 3. Run-length columns: a task has a block of terms and one or two blocks of sources.  It reorders its terms by their
    counts in all its sources, so that equal counts stand together, encodes each source's column as runs, intersects the
@@ -25,7 +25,7 @@ source has no pair.  Empty tables give no row.  Columns other than text, languag
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +34,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Emitter, bound_batches, keep, slices, utf8
+from millrace.llm.common import bound_batches, gathered, keep, slices
 
 LEAST_DOCS = 30
 SCALE, ADD = 1_000_000_000, 5
 TOP = 50
 TERMS, SOURCES = 4096, 32
-#: Entries (group and term) a task counts before it hands them on.
-HELD = 400_000
+#: Bytes of text whose counts a task sums up before it hands them on.
+HELD = 16 << 20
 
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
@@ -53,32 +53,65 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_LETTERS).split()
 
 
+def _long_text(text: bytes, group: tuple[str, str]) -> pa.RecordBatch:
+    """Rows of one long document, a slice at a time."""
+    own = Counter()
+    for part in slices(text):
+        own.update(terms(part))
+    words, n = [t.decode("utf-8", "replace") for t in own], len(own)
+    return pa.RecordBatch.from_arrays([
+        pa.array([group[0]] * n, pa.string()), pa.array([group[1]] * n, pa.string()), pa.array(words, pa.string()),
+        pa.array(own.values(), pa.int64()), pa.array([1] * n, pa.int64()),
+    ], schema=_COUNTS)
+
+
+def _letters_only(texts: pa.Array) -> pa.Array:
+    """The texts with every byte that is no letter as a space, A-Z lower-cased: one pass over all their bytes."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    held = texts.buffers()[2]
+    data = memoryview(held)[offsets[0]:offsets[-1]].tobytes() if held is not None else b""
+    moved = (offsets - offsets[0]).astype(np.int32).tobytes()
+    return pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(moved), pa.py_buffer(data.translate(_LETTERS))])
+
+
+def _portion(texts: pa.Array, langs: pa.Array, sources: pa.Array) -> pa.RecordBatch:
+    """Counts of the (language, source, term) triples of some documents, and in how many of them each occurs."""
+    split = pc.ascii_split_whitespace(_letters_only(texts))
+    words = split.values.dictionary_encode()
+    lang, source = langs.dictionary_encode(), sources.dictionary_encode()
+    group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+    codes, size = words.indices.to_numpy().astype(np.int64), len(words.dictionary)
+    doc = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    real = codes != (words.dictionary.index("").as_py() if size else -1)
+    codes, doc = codes[real], doc[real]
+    keys, counts = np.unique(group[doc] * size + codes, return_counts=True)
+    pairs = np.unique(doc * size + codes)
+    docs = np.unique(group[pairs // max(size, 1)] * size + pairs % max(size, 1), return_counts=True)[1]
+    at, word = keys // max(size, 1), keys % max(size, 1)
+    some = np.unique(group)  # a row without term for each group
+    at = np.concatenate([at, some])
+    term = pa.concat_arrays([words.dictionary.take(pa.array(word)), pa.nulls(len(some), pa.string())])
+    none = np.zeros(len(some), np.int64)
+    return pa.RecordBatch.from_arrays([
+        lang.dictionary.take(pa.array(at // len(source.dictionary))), source.dictionary.take(pa.array(at % len(source.dictionary))), term,
+        pa.array(np.concatenate([counts, none])), pa.array(np.concatenate([docs, none])),
+    ], schema=_COUNTS)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts and document counts by group and term; a group's row without term says that the group occurs."""
-    counts, docs, out = defaultdict(Counter), defaultdict(Counter), Emitter(_COUNTS)
-
-    def told():
-        for group, own in counts.items():
-            having = docs[group]
-            yield from out.add(*group, None, 0, 0)
-            for term, n in own.items():
-                yield from out.add(*group, term.decode("utf-8", "replace"), n, having[term])
-        counts.clear()
-        docs.clear()
-
-    for batch in batches:
-        groups = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-        for text, group in zip(utf8(batch.column(0)), groups, strict=True):
-            own, seen = counts[group], set()
-            for part in slices(text or b""):
-                found = terms(part)
-                own.update(found)
-                seen.update(found)
-            docs[group].update(seen)
-        if sum(map(len, counts.values())) > HELD:
-            yield from told()
-    yield from told()
-    yield from out.flush()
+    """Counts and document counts by group and term, summed over portions of about ``HELD`` bytes.
+
+    A group's row without term says that the group occurs.  Texts longer than a portion are counted by themselves.
+    """
+    for batch in gathered(batches, HELD):
+        texts = batch.column(0)
+        long = pc.greater(pc.binary_length(texts), HELD)
+        for i in np.flatnonzero(long.to_numpy(zero_copy_only=False)).tolist():
+            yield _long_text(texts[i].as_py().encode(), (batch.column(1)[i].as_py(), batch.column(2)[i].as_py()))
+        short = pc.if_else(long, "", texts)
+        told = _portion(short, batch.column(1), batch.column(2))
+        for start in range(0, told.num_rows, 50_000):
+            yield told.slice(start, 50_000)
 
 
 def count_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

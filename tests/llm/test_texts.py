@@ -211,7 +211,7 @@ def test_divergence_over_many_blocks(spark, monkeypatch):
     """Few terms and sources a task, so that blocks of terms and pairs of blocks of sources add up."""
     monkeypatch.setattr(audit, "TERMS", 3)
     monkeypatch.setattr(audit, "SOURCES", 2)
-    monkeypatch.setattr(audit, "HELD", 10)
+    monkeypatch.setattr(audit, "HELD", 200)
     rows = corpus(2, 400, 9)
     assert told(audit.divergence(frame(spark, rows), least_docs=2)) == audited(rows, 2, 50)
 
