@@ -1,10 +1,11 @@
 r"""Personal data replaced by keyed surrogates of the same type and format.
 
-Detected: e-mail addresses of any length, phone numbers (a country code with ``+`` and 7 to 15 digits in any groups; 3-3-4 digits
-with separators), card numbers (13 to 19 digits, or groups of 4-4-4-4 and 4-6-5, with a right check digit), IPv4 addresses,
-social security numbers, secrets assigned to a name (``token = "..."``: to the closing quote, else to white space) and
-names after a title, secrets and names however long they are.  Card numbers lie in an issuer's public range.  Digit strings that fail their check, version numbers and the like stay as they are; so do phone
-numbers without ``+`` and separators, which look like any other number, and national ones in other groups.
+Detected: e-mail addresses of any length, phone numbers (a country code with ``+`` and 7 to 15 digits in any groups;
+3-3-4 digits with separators), card numbers in an issuer's public range (13 to 19 digits, or groups of 4-4-4-4 and 4-6-5,
+with a right check digit), IPv4 addresses, social security numbers, secrets assigned to a name (``token = "..."``: to the
+closing quote, else to white space) and names after a title, secrets and names however long they are.  Digit strings that
+fail their check, version numbers and the like stay as they are; so do phone numbers without ``+`` and separators, which
+look like any other number, and national ones in other groups.
 
 Every entity has a normal form (digits of a number, lower-cased address, name without its title); equal normal forms
 get one surrogate in the whole corpus, so mentions still refer to each other.  A surrogate is drawn from a keyed
