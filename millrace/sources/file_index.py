@@ -76,9 +76,12 @@ class FileIndex:
             F.max(F.col("key").isNull()).alias("nulls"),
             F.ceil(F.approx_count_distinct("key", 0.02) / BLOCK_KEYS).cast("int").alias("blocks"), *ranges,
         ).withColumn("blocks", F.greatest("blocks", F.lit(1)))
-        bits = rows.where("key is not null").select("file", "key").join(told.select("file", "blocks"), "file")
-        bits = bits.select("file", "blocks", _block(F.col("key"), F.col("blocks")).cast("int").alias("block"), F.explode(F.array(*_positions(F.col("key")))).alias("bit"))
-        blooms = bits.groupBy("file", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+        # One bitmap for each probe in one pass over the keys, put together afterwards: a few rows a file.
+        keys = rows.where("key is not null").select("file", "key").join(told.select("file", "blocks"), "file")
+        probes = [F.bitmap_construct_agg(bit).alias(f"bits{i}") for i, bit in enumerate(_positions(F.col("key")))]
+        own = keys.groupBy("file", "blocks", _block(F.col("key"), F.col("blocks")).cast("int").alias("block")).agg(*probes)
+        each = own.select("file", "blocks", "block", F.explode(F.array(*[f"bits{i}" for i in range(PROBES)])).alias("bits"))
+        blooms = each.groupBy("file", "blocks", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
         blooms.write.mode("append").parquet(f"{self.path}/_index/bloom")
         told.write.mode("append").parquet(f"{self.path}/_index/files")  # last: files without an entry are always read
         return len(new)
