@@ -114,7 +114,7 @@ def cell_bulk_regions(spark, d):
 def cell_point_scan(spark, d):
     """Single rows from bulk files; only files whose zone map and Bloom filter let a key pass are opened."""
     path = scratch_path(spark, "bulk") + "/files"
-    sink.write_bulk(_orders_as_cells(spark, d), path, partitions=16)
+    sink.write_bulk(_orders_as_cells(spark, d), path, partitions=16, bloom=True)
     return sink.read_bulk(spark, path, row_keys=["tj-1", "tj-101", "tj-999", "tj-none"], families=["f2"])
 
 

@@ -27,12 +27,13 @@ def put(
 
 def write_bulk(
     cells: DataFrame, path: str, partitions: int | None = None, mode: str = "errorifexists", splits: Sequence[str] | None = None,
-    index: bool = True,
+    index: bool = True, bloom: bool = False,
 ) -> None:
     """Sorted cell files, one set per key range, with their index (``read_bulk`` opens only files that can hold a key).
 
     ``splits`` are the target's own split points: each of its ranges gets files of its own, in folders ``region=<number>``,
-    and a range with most of the cells is cut further by sampled ranges below it.
+    and a range with most of the cells is cut further by sampled ranges below it.  Ranges of sorted files tell which
+    file can hold a key; ``bloom`` also spares reads of absent keys, for another pass over the keys.
     """
     if splits is None:
         sort_for_bulk(cells, partitions).write.mode(mode).parquet(path)
@@ -40,7 +41,7 @@ def write_bulk(
         placed = cells.withColumn("region", region_of(F.col("row_key"), splits))
         sort_for_bulk(placed, partitions, first="region").write.mode(mode).partitionBy("region").parquet(path)
     if index:
-        bulk_index(cells.sparkSession, path, splits is not None).update()
+        bulk_index(cells.sparkSession, path, splits is not None).update(bloom)
 
 
 def bulk_index(spark: SparkSession, path: str, regions: bool = False) -> FileIndex:

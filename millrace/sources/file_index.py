@@ -61,8 +61,8 @@ class FileIndex:
         """The rows of these files."""
         return self.spark.read.option("basePath", self.path).parquet(*[f"{self.path}/{n}" for n in names])
 
-    def update(self) -> int:
-        """Index the files that have no entry; returns their number."""
+    def update(self, bloom: bool = True) -> int:
+        """Index the files that have no entry; returns their number.  Without ``bloom`` only their ranges are taken."""
         known = self._table("files")
         old = set() if known is None else {r[0] for r in collect_small(known.select("file"), FILES, "indexed files")}
         new = [n for n in self.files() if n not in old]
@@ -74,8 +74,15 @@ class FileIndex:
         told = rows.groupBy("file").agg(
             F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"),
             F.max(F.col("key").isNull()).alias("nulls"),
-            F.ceil(F.approx_count_distinct("key", 0.02) / BLOCK_KEYS).cast("int").alias("blocks"), *ranges,
-        ).withColumn("blocks", F.greatest("blocks", F.lit(1)))
+            (F.ceil(F.approx_count_distinct("key", 0.02) / BLOCK_KEYS) if bloom else F.lit(None)).cast("int").alias("blocks"), *ranges,
+        )
+        if bloom:
+            told = told.withColumn("blocks", F.greatest("blocks", F.lit(1)))
+            self._write_blooms(rows, told)
+        told.write.mode("append").parquet(f"{self.path}/_index/files")  # last: files without an entry are always read
+        return len(new)
+
+    def _write_blooms(self, rows: DataFrame, told: DataFrame) -> None:
         # One bitmap for each probe in one pass over the keys, put together afterwards: a few rows a file.
         keys = rows.where("key is not null").select("file", "key").join(told.select("file", "blocks"), "file")
         probes = [F.bitmap_construct_agg(bit).alias(f"bits{i}") for i, bit in enumerate(_positions(F.col("key")))]
@@ -83,8 +90,6 @@ class FileIndex:
         each = own.select("file", "blocks", "block", F.explode(F.array(*[f"bits{i}" for i in range(PROBES)])).alias("bits"))
         blooms = each.groupBy("file", "blocks", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
         blooms.write.mode("append").parquet(f"{self.path}/_index/bloom")
-        told.write.mode("append").parquet(f"{self.path}/_index/files")  # last: files without an entry are always read
-        return len(new)
 
     def candidates(
         self, keys: Sequence | None = None, low=None, high=None, between: Mapping[str, tuple] | None = None
@@ -118,9 +123,13 @@ class FileIndex:
         kind = files.schema["low"].dataType
         each = F.explode(F.array(*[F.lit(k).cast(kind) for k in keys])) if keys else F.explode(F.array().cast(f"array<{kind.simpleString()}>"))
         asked = files.select("file", "blocks", "low", "high", each.alias("key")).where("key between low and high")
-        asked = asked.withColumn("block", _block(F.col("key"), F.col("blocks")).cast("int"))
-        met = asked.join(self._table("bloom").select("file", "block", "bits"), ["file", "block"])
+        ranged = asked.where("blocks is null").select("file")
+        asked = asked.where("blocks is not null").withColumn("block", _block(F.col("key"), F.col("blocks")).cast("int"))
+        blooms = self._table("bloom")
+        if blooms is None:
+            return ranged.distinct()
+        met = asked.join(blooms.select("file", "block", "bits"), ["file", "block"])
         for bit in _positions(F.col("key")):
             byte = F.conv(F.hex(F.substring("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
             met = met.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1)
-        return met.select("file").distinct()
+        return met.select("file").union(ranged).distinct()
