@@ -556,3 +556,12 @@ def test_portions_side_by_side(spark, scratch, monkeypatch):
     told = {r["file_path"][-7:-4]: (r["status"], r["total"]) for r in ledger.rows().collect()}
     assert told == {f"{i:03d}": (lg.FAILED, None) if i == 5 else (lg.SUCCESS, i + 1) for i in range(14)}
     assert lg.current_rows(ledger, scratch + "/t", "j").count() == sum(range(1, 15)) - 6
+
+
+def test_one_broken_file_of_a_large_landing(spark, scratch):
+    """Tables that land as several files a folder: the query still breaks one file and runs it again."""
+    from millrace.catalogue.increments import QUERIES
+
+    rows = spark.range(400).selectExpr("id AS event_id", "id % 7 AS user_id", "element_at(array('view', 'error'), int(id % 2) + 1) AS event_type", "double(id) AS value")
+    rows.repartition(8).write.parquet(f"{scratch}/events.parquet")
+    assert QUERIES["ledger_broken_file_alone"](spark, scratch).collect() == [(400, 1, 1)]
