@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 SLOTS = 1024
@@ -79,12 +79,13 @@ _PIECE = 1 << 16
 def _wide(start: int, end: int):
     """The fold as products of pieces with powers of 31, in wrapping 32-bit numbers, which keep the low ten bits."""
 
-    @F.pandas_udf("int")
-    def slot(keys: pd.Series) -> pd.Series:
+    @F.arrow_udf("int")
+    def slot(keys: pa.Array) -> pa.Array:
+        # a batch stays in Arrow and one key at a time becomes a text: as texts, a batch takes up to four times the memory
         powers = np.cumprod(np.full(_PIECE + 1, 31, np.uint32), dtype=np.uint32) * np.uint32(pow(31, -1, 1 << 32))
         out = np.zeros(len(keys), np.int32)
         for i, key in enumerate(keys):
-            units = np.frombuffer(key.encode("utf-16-le"), "<u2")
+            units = np.frombuffer(key.as_py().encode("utf-16-le"), "<u2")
             last = min(end, len(units)) if end > 0 else len(units) + end
             units = units[start if start >= 0 else max(len(units) + start, 0):max(last, 0)]
             h = 0
@@ -93,7 +94,7 @@ def _wide(start: int, end: int):
                 own = piece[::-1].astype(np.uint32) @ powers[:len(piece)]
                 h = (h * int(powers[len(piece)]) + int(own)) % SLOTS
             out[i] = h
-        return pd.Series(out)
+        return pa.array(out)
 
     return slot
 

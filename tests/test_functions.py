@@ -235,3 +235,18 @@ def test_slot_time_is_linear_in_the_text(spark):
 
     for part in (":", "0:8", "-8:"):
         assert seconds(200_000, part) < 3 * max(seconds(100_000, part), 0.2), part
+
+
+def test_wide_slots_hold_one_text_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    keys = pa.array(["\U0001F600" + "x" * 20_000] * 500)
+    tracemalloc.start()
+    try:
+        found = slots._wide(0, 0).func(keys)
+        assert tracemalloc.get_traced_memory()[1] < 5 << 20
+    finally:
+        tracemalloc.stop()
+    assert len(set(found.to_pylist())) == 1
