@@ -173,3 +173,14 @@ def test_regions_have_files_of_their_own(spark, scratch):
     assert none.count() == 0 and none.columns == ["row_key", "family", "qualifier", "ts", "value"]
     late = sink.read_bulk(spark, scratch + "/b", min_ts=F.timestamp_seconds(F.lit(2990)), regions=True)
     assert late.count() == 10 and len(late.inputFiles()) == 1
+
+
+def test_names_of_files_are_cut_without_a_pattern(spark, scratch):
+    from millrace.sources.file_index import relative_name
+
+    spark.range(3).coalesce(1).write.parquet(scratch + "/a b/c")
+    named = spark.read.parquet(scratch + "/a b/c").select(F.col("_metadata.file_path").alias("path"), *[relative_name(n).alias(f"n{n}") for n in (0, 1, 2)])
+    for r in named.collect():
+        parts = r["path"].split("/")
+        assert [r["n0"], r["n1"], r["n2"]] == ["/".join(parts[-n:]) for n in (1, 2, 3)]
+    assert "regexp" not in named._jdf.queryExecution().toString()
