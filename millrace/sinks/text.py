@@ -18,6 +18,10 @@ CODECS = {
 }
 _CODEC_CLASSES = {v: k for k, v in CODECS.items() if k.startswith("org.")}
 
+#: For a write of many small files.  Without Hadoop's native library, a ``file:`` path with checksum files starts two
+#: processes (chmod) for each file; plain local files take none.  Other file systems don't look at these keys.
+PLAIN_LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 def codec(name: str | None) -> str:
     if not name:
@@ -39,7 +43,7 @@ def max_records(n: int | None) -> dict[str, str]:
         return {}
     if n <= 0:
         raise ValueError("the row limit of a file must be positive, or -1 for none")
-    return {"maxRecordsPerFile": str(n)}
+    return {"maxRecordsPerFile": str(n), **PLAIN_LOCAL_FILES}
 
 
 def write_delimited(

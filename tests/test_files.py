@@ -239,6 +239,12 @@ def test_row_limit_of_files(spark, scratch):
         write_delimited(spark.range(5), scratch + "/q", max_rows_per_file=0)
 
 
+def test_rolled_files_have_no_checksum_files(spark, scratch):
+    write_delimited(spark.range(0, 95, 1, 1), scratch + "/o", max_rows_per_file=10)
+    assert not [n for n in os.listdir(scratch + "/o") if n.endswith(".crc")]
+    assert read_delimited(spark, scratch + "/o", "id bigint").agg(F.sum("id")).first()[0] == sum(range(95))
+
+
 @pytest.mark.parametrize("compression, block", [(None, True), ("gzip", True), ("default", False)])
 def test_sequence_files(spark, scratch, compression, block):
     df = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
