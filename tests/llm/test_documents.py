@@ -480,3 +480,11 @@ def test_every_detected_entity_goes_and_clean_texts_stay(spark, texts):
     hints = re.compile(r"@|\d{3}|(?i:token|secret|passw|key)|\b(?:Mrs?|Ms|Miss|Dr|Prof|Frau|Herr|M[mel]{2,3}|Madame|Monsieur|Se\w+|Sra?|Г\w+|К\w+)\b")
     clean = [d for d, t in texts.items() if not hints.search(t or "")]
     assert len(clean) > 20 and all(got[d] == texts[d] for d in clean)
+
+
+def test_cells_of_a_round_are_written(spark):
+    from millrace.llm.mixing import fit
+
+    cells = spark.createDataFrame([("a", "x", 10), ("a", "y", 30), ("b", "x", 20), ("b", "y", 40)], "s string, l string, mass bigint")
+    fitted = fit(cells, {"s": 0.5, "l": 0.5}, tolerance=0.0, rounds=2)
+    assert "Join" not in fitted._jdf.queryExecution().toString() and fitted.count() == 4
